@@ -16,7 +16,7 @@ DEFAULTS = {
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", name: str = "polyglotmill") -> SparkSession:
     """A local session for tests and the bench; production sessions come from the cluster."""
-    builder = SparkSession.builder.master(f"local[{cpus}]").appName(name).config("spark.driver.memory", memory)
+    builder = SparkSession.builder.master(f"local[{cpus}]").appName(name).config("spark.driver.memory", memory).config("spark.ui.showConsoleProgress", "false")
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions)).getOrCreate()
