@@ -14,17 +14,21 @@ def chrf(pairs: DataFrame, key: str, candidate: str, reference: str) -> DataFram
     One exchange: both sides' grams are counted together by (key, order, gram).
     """
 
-    def grams(column: str, side: int) -> Column:
-        text = F.regexp_replace(F.coalesce(F.col(column), F.lit("")), r"[ \t\n\r\f\x0b]+", "")
+    def bare(column: str) -> Column:
+        return F.regexp_replace(F.coalesce(F.col(column), F.lit("")), r"[ \t\n\r\f\x0b]+", "")
+
+    def grams(text: Column, side: Column) -> Column:
         n = F.length(text)
 
         def of(order: int) -> Column:
             starts = F.when(n >= order, F.sequence(F.lit(1), F.greatest(n - (order - 1), F.lit(1)))).otherwise(F.array().cast("array<int>"))
-            return F.transform(starts, lambda i: F.struct(F.lit(side).alias("side"), F.lit(order).alias("ord"), F.substr(text, i, F.lit(order)).alias("gram")))
+            return F.transform(starts, lambda i: F.struct(side.alias("side"), F.lit(order).alias("ord"), F.substr(text, i, F.lit(order)).alias("gram")))
 
         return F.concat(*[of(o) for o in range(1, ORDERS + 1)])
 
-    rows = pairs.select(key, F.explode(F.concat(grams(candidate, 0), grams(reference, 1))).alias("g")).select(key, "g.*")
+    # The bare texts are a column of their own: inside the lambdas they would be computed for every gram.
+    bared = pairs.select(key, F.explode(F.array(F.struct(F.lit(0).alias("side"), bare(candidate).alias("t")), F.struct(F.lit(1).alias("side"), bare(reference).alias("t")))).alias("x"))
+    rows = bared.select(key, F.explode(grams(F.col("x.t"), F.col("x.side"))).alias("g")).select(key, "g.*")
     counts = rows.groupBy(key, "ord", "gram").agg(F.count_if(F.col("side") == 0).alias("c"), F.count_if(F.col("side") == 1).alias("r"))
     orders = counts.groupBy(key, "ord").agg(F.sum(F.least("c", "r")).alias("both"), F.sum("c").alias("c"), F.sum("r").alias("r")).where("c > 0 and r > 0")
     means = orders.groupBy(key).agg(F.avg(F.col("both") / F.col("c")).alias("p"), F.avg(F.col("both") / F.col("r")).alias("q"))

@@ -163,10 +163,10 @@ class Reverse:
 
 
 @register_backend
-class Upper:
-    """Offline stand-in: the text in capitals."""
+class Lower:
+    """Offline stand-in: the text in small letters."""
 
-    name = "offline:upper"
+    name = "offline:lower"
 
     def startup(self) -> None:
         pass
@@ -175,7 +175,7 @@ class Upper:
         return True
 
     def translate(self, texts, langs, drafts):
-        return [t.upper() for t in texts]
+        return [t.lower() for t in texts]
 
 
 @register_backend

@@ -218,9 +218,9 @@ def _drafts(spark, sf_dir):
 _SHORT = f"{x.SQL_SOURCE}, rows as (select record_id, target_lang, substr(source_text, 1, 30) as s from source cross join (values ('de'), ('ja'), ('zh')) l(target_lang))"
 
 
-@query(f"with {_SHORT} select record_id, target_lang, 1 as seq, 'offline:upper' as backend, 'ok' as status, upper(s) as text from rows")
+@query(f"with {_SHORT} select record_id, target_lang, 1 as seq, 'offline:lower' as backend, 'ok' as status, lower(s) as text from rows")
 def translate_stub(spark, sf_dir):
-    return models.refine(_drafts(spark, sf_dir), ["offline:upper"], lambda said, source: False).select("record_id", "target_lang", "seq", "backend", "status", "text")
+    return models.refine(_drafts(spark, sf_dir), ["offline:lower"], lambda said, source: False).select("record_id", "target_lang", "seq", "backend", "status", "text")
 
 
 def _refuses(said, source):
@@ -230,9 +230,9 @@ def _refuses(said, source):
 @query(f"""with {_SHORT}, a as (
 select record_id, target_lang, 1 as seq, 'offline:refuser' as backend, case when length(s) % 2 = 0 then 'refused' else 'ok' end as status, length(s) % 2 = 1 as accepted from rows where target_lang <> 'ja'
 union all select record_id, target_lang, 2, 'offline:reverse', 'ok', true from rows where target_lang <> 'zh' and (target_lang = 'ja' or length(s) % 2 = 0)
-union all select record_id, target_lang, 3, 'offline:upper', 'ok', true from rows where target_lang = 'zh' and length(s) % 2 = 0) select * from a""")
+union all select record_id, target_lang, 3, 'offline:lower', 'ok', true from rows where target_lang = 'zh' and length(s) % 2 = 0) select * from a""")
 def refine_with_fallback(spark, sf_dir):
-    out = models.refine(_drafts(spark, sf_dir), ["offline:refuser", "offline:reverse", "offline:upper"], _refuses)
+    out = models.refine(_drafts(spark, sf_dir), ["offline:refuser", "offline:reverse", "offline:lower"], _refuses)
     return out.select("record_id", "target_lang", "seq", "backend", "status", "accepted")
 
 
