@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut
+from .common import cut, map_arrow
 
 K = 20
 RELAX = 1.1
@@ -153,7 +153,7 @@ def search(vectors: DataFrame, query_rule, k: int = K, relax: float = RELAX, sha
                     yield from answer(x, qs[s : s + QUERY_BLOCK], qids[s : s + QUERY_BLOCK])
 
     spread = dealt.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
-    parts = spread.mapInArrow(run, "query_id long, ids array<long>, scores array<double>")
+    parts = map_arrow(spread, run, "query_id long, ids array<long>, scores array<double>")
     flat = parts.select("query_id", F.explode(F.arrays_zip(F.col("scores").alias("score"), F.col("ids").alias("vec_id"))).alias("x")).select("query_id", F.col("x.score").alias("score"), F.col("x.vec_id").alias("vec_id"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return flat.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

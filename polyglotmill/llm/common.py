@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -54,3 +55,21 @@ def to_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     elif pa.types.is_string(column.type):
         column = column.cast(pa.binary())
     return [x if x is not None else b"" for x in column.to_pylist()]
+
+
+#: Rows and bytes of one Arrow batch. Texts can be long, so a batch of the default 10,000 rows has no useful bound.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """df.mapInArrow with small batches, so that a Python worker and its executor hold few texts at a time.
+
+    The session's limits are lowered where they are larger; they are never raised.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        have = conf.get(key, None)
+        amount = int(re.sub(r"\D", "", have) or 0) if have and "-" not in have else 0
+        if not 0 < amount <= most:
+            conf.set(key, str(most))
+    return df.mapInArrow(run, schema)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import to_bytes
+from .common import map_arrow, to_bytes
 from .words import WORD_TABLE, split_words
 
 WINDOW = 10
@@ -223,7 +223,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int
                     items.append(sorted(found))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(items, pa.list_(pa.string()))], ["doc_id", "text", "n_words", "spans", "items"])
 
-        base = base.mapInArrow(run, f"{docs.select('doc_id').schema.simpleString()[7:-1].replace(':', ' ')}, text string, {_SCAN}")
+        base = map_arrow(base, run, f"{docs.select('doc_id').schema.simpleString()[7:-1].replace(':', ' ')}, text string, {_SCAN}")
     return base
 
 
@@ -275,5 +275,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, span_limi
                         columns[c] = pa.array([len(changed[i]) if i in changed else x for i, x in enumerate(columns[c].to_pylist())], columns[c].type)
                 yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep, pa.bool_()))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = map_arrow(out, run, docs.schema)
     return out

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 #: Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
     """a an and are as at be by for from has he in is it its of on or that the this to was were which with you not but have
@@ -233,4 +235,4 @@ def main_text(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return map_arrow(pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")), run, f"page_id {kind}, url string, text string, n_chars long")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sized, to_bytes
+from .common import map_arrow, sized, to_bytes
 
 DIMS = 1 << 12
 CENTROIDS = 3
@@ -122,7 +122,7 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS) -
                 counts = np.minimum(gram_counts([t for _, t in group]), 65535).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays([pa.array([lang for lang, _ in group], pa.string()), pa.array([c.tobytes() for c in counts], pa.binary())], ["lang", "counts"])
 
-    rows = drawn.mapInArrow(count, "lang string, counts binary").limit(fit_rows).collect()
+    rows = map_arrow(drawn, count, "lang string, counts binary").limit(fit_rows).collect()
     names = np.array([r["lang"] for r in rows])
     counts = np.array([np.frombuffer(r["counts"], dtype=np.uint16) for r in rows], dtype=np.float32).reshape(len(rows), DIMS)
     # The order of collected rows may differ from run to run; sorting makes the fit repeatable.
@@ -164,7 +164,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())], ["doc_id", "lang_pred", "score", "rejected"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, rejected boolean")
+    return map_arrow(docs.select("doc_id", F.col("text").cast("string").alias("text")), run, f"doc_id {kind}, lang_pred string, score double, rejected boolean")
 
 
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:
@@ -176,4 +176,4 @@ def keep_known(docs: DataFrame, model: Model) -> DataFrame:
             keep = [not r for _, _, r in _judge(shared.value, batch.column(at).to_pylist(), to_bytes(batch.column(at)))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)

@@ -8,7 +8,7 @@ more and at least MIN_WORDS words are compared across the whole table by a
 other occurrence is removed if its bytes equal the first one's.
 
 Hashes travel first; only chunks whose hash repeats travel with their bytes,
-once to be compared. Counts are partial sums, and the joins on a hash that
+once to be compared. Joins are merge joins at every size: nothing is broadcast. Counts are partial sums, and the joins on a hash that
 repeats in a third of all rows are split by adaptive execution.
 
 A shared passage begins and ends inside chunks. Chunk boundaries depend only
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, to_bytes
+from .common import cut, map_arrow, to_bytes
 
 WINDOW_LINES = 2
 DIVISOR = 4
@@ -94,7 +94,7 @@ def chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
                             body.append(piece)
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null").mapInArrow(run, "doc_id long, at long, h1 long, h2 long" + ", body binary" * with_text)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null"), run, "doc_id long, at long, h1 long, h2 long" + ", body binary" * with_text)
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -133,4 +133,4 @@ def dedup(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(n, pa.int64()), pa.array(chars, pa.int64())], ["doc_id", "text", "n_chunks_removed", "n_chars_removed"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"doc_id {kind}, text string, n_chunks_removed long, n_chars_removed long")
+    return map_arrow(joined, run, f"doc_id {kind}, text string, n_chunks_removed long, n_chars_removed long")

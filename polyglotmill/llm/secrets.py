@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import to_bytes
+from .common import map_arrow, to_bytes
 
 #: The kinds in their order, the base ones first.
 KINDS = ("assign", "access", "hex", "github", "npm")
@@ -111,7 +111,7 @@ def scan(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(span))], ["doc_id", "spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, spans array<struct<kind:string,first:bigint,last:bigint>>")
+    return map_arrow(docs.select("doc_id", F.col("text").cast("string").alias("text")), run, f"doc_id {kind}, spans array<struct<kind:string,first:bigint,last:bigint>>")
 
 
 def report(docs: DataFrame) -> DataFrame:
