@@ -82,10 +82,10 @@ def assign(nodes: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Data
     n = base.count()
     low, extra = divmod(n, shards)
     hubs = base.groupBy("hub").agg(F.count("*").alias("members")).where("members > 1").select("hub")
-    linked = cut(base.select("doc_id", "copy", "hub").join(hubs, "hub", "left_semi").select("doc_id", "copy", "hub", _home(shards, n).alias("shard")))
+    linked = cut(base.select("doc_id", "copy", "hub").join(hubs.hint("merge"), "hub", "left_semi").select("doc_id", "copy", "hub", _home(shards, n).alias("shard")))
     moved = propagate(linked, shards, max(low, 1), rounds).select("doc_id", "copy", F.col("shard").alias("moved"))
     key = base["doc_id"].eqNullSafe(moved["doc_id"]) & (base["copy"] == moved["copy"])
-    rows = base.join(moved, key, "left").select(*[base[c] for c in base.columns], F.col("moved").isNotNull().alias("linked"), F.coalesce("moved", _home_of(base, shards)).alias("shard"))
+    rows = base.join(moved.hint("merge"), key, "left").select(*[base[c] for c in base.columns], F.col("moved").isNotNull().alias("linked"), F.coalesce("moved", _home_of(base, shards)).alias("shard"))
     rows = cut(_ranked(rows, "shard", max(1, n // shards)))
     # Shards 0 .. extra-1 take one row more. What is over goes, in order, to what is under.
     share = (F.lit(low) + (F.col("shard") < extra).cast("int")).cast("long")
@@ -134,4 +134,4 @@ def place(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     own = docs.select(*[docs[c] for c in names], digest.alias("__digest"))
     own = own.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id", "__digest").orderBy("doc_id")))
     match = own["doc_id"].eqNullSafe(placed["__id"]) & (own["__digest"] == placed["__hub"]) & (own["__n"] == placed["__nth"])
-    return own.join(placed, match).select(*[own[c] for c in names], "shard", "slot")
+    return own.join(placed.hint("merge"), match).select(*[own[c] for c in names], "shard", "slot")
