@@ -101,17 +101,17 @@ def removals(docs: DataFrame) -> DataFrame:
     """doc_id, at, h1, h2 of the chunks to remove: those that repeat an earlier chunk byte for byte."""
     hashes = chunk_rows(docs, False)
     repeated = cut(hashes.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").select("h1", "h2", "first"))
-    found = chunk_rows(docs, True).join(repeated, ["h1", "h2"])
+    found = chunk_rows(docs, True).join(repeated.hint("merge"), ["h1", "h2"])
     found = cut(found.select("h1", "h2", "doc_id", "at", "body", ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("at") == F.col("first.at"))).alias("is_first")))
     original = found.where("is_first").groupBy("h1", "h2").agg(F.min("body").alias("kept"))
-    return found.where("not is_first").join(original, ["h1", "h2"]).where("body = kept").select("doc_id", "at", "h1", "h2").distinct()
+    return found.where("not is_first").join(original.hint("merge"), ["h1", "h2"]).where("body = kept").select("doc_id", "at", "h1", "h2").distinct()
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, text without the removed chunks, n_chunks_removed, n_chars_removed (code points)."""
     own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     gone = removals(docs).groupBy("doc_id").agg(F.collect_set(F.struct("at", "h1", "h2")).alias("gone"))
-    joined = own.join(gone.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "gone")
+    joined = own.join(gone.withColumnRenamed("doc_id", "__id").hint("merge"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
