@@ -1,6 +1,7 @@
 """Line dedup (operator 8): content-defined chunks of lines.
 
-Lines are hashed; a rolling hash over the last WINDOW_LINES line hashes ends a
+A newline ends a line, and so does the end of a sentence inside one, so that
+passages in the middle of long lines are in reach. Lines are hashed; a rolling hash over the last WINDOW_LINES line hashes ends a
 chunk where it falls into one of DIVISOR classes, so boundaries move with the
 content and an inserted line shifts no later boundary. Chunks of two lines or
 more and at least MIN_WORDS words are compared across the whole table by a
@@ -13,7 +14,8 @@ repeats in a third of all rows are split by adaptive execution.
 
 A shared passage begins and ends inside chunks. Chunk boundaries depend only
 on the WINDOW_LINES lines before them, so a passage of several chunks loses all
-chunks but those at its edges.
+chunks but those at its edges. MIN_WORDS keeps short repeated phrases in place.
+Where a removed chunk ended a line of text, the newline stays.
 
 Cases: null text stays null and has no chunk; empty text has no chunk. Rows
 with a null doc_id keep their text. Rows that repeat a doc_id are one document
@@ -24,9 +26,9 @@ read, so extra columns can't clash.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -35,19 +37,20 @@ from pyspark.sql import functions as F
 from .common import cut, map_arrow, to_bytes
 
 WINDOW_LINES = 2
-DIVISOR = 4
+DIVISOR = 2
 MIN_LINES = 2
 MAX_LINES = 64
-MIN_WORDS = 8
+MIN_WORDS = 16
+_LINE_END = re.compile(rb"\n|[.!?][\"')\]]*[ \t]+")
 _M = (1 << 64) - 1
 
 
 def chunks(text: bytes) -> list[tuple[int, int, int]]:
-    """(first byte, last byte, lines) of each chunk; together they cover the text. Lines end after their newline."""
+    """(first byte, last byte, lines) of each chunk; together they cover the text. Lines end after their newline or sentence end."""
     out, at, lines, start, before = [], 0, 0, 0, 0
     while at < len(text):
-        end = text.find(b"\n", at)
-        end = len(text) if end < 0 else end + 1
+        found = _LINE_END.search(text, at)
+        end = found.end() if found else len(text)
         own = xxhash.xxh3_64_intdigest(text[at:end].strip())
         lines += 1
         rolled = (before * 0x9E3779B97F4A7C15 + own) & _M
@@ -66,7 +69,7 @@ def _key(piece: bytes) -> tuple[int, int]:
 
 
 def _body(piece: bytes) -> bytes:
-    return piece.rstrip(b"\n")
+    return piece.rstrip(b" \t\n")
 
 
 def _eligible(piece: bytes, lines: int) -> bool:
@@ -125,10 +128,12 @@ def dedup(docs: DataFrame) -> DataFrame:
                         piece = _body(raw[first:last])
                         if _eligible(piece, lines) and (first, *_key(piece)) in drop:
                             n[-1] += 1
+                            if raw[last - 1 : last] == b"\n" and left and not left[-1].endswith(b"\n"):
+                                left.append(b"\n")
                         else:
                             left.append(raw[first:last])
                     if n[-1]:
-                        new = b"".join(left).rstrip(b"\n").decode()
+                        new = b"".join(left).rstrip(b" \t\n").decode()
                         chars[-1], texts[i] = len(texts[i]) - len(new), new
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(n, pa.int64()), pa.array(chars, pa.int64())], ["doc_id", "text", "n_chunks_removed", "n_chars_removed"])
 

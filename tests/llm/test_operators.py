@@ -235,6 +235,18 @@ def test_line_chunks(spark):
     assert linededup.dedup(docs.where("false")).count() == 0
 
 
+def test_passages_inside_long_lines(spark):
+    rng = random.Random(12)
+    passage = " ".join(prose(rng, 9) + "." for _ in range(30))
+    texts = [f"{prose(rng, 30)} {passage} {prose(rng, 20)}.\n{prose(rng, 12)}" for _ in range(3)]
+    texts.append(" ".join(prose(rng, 9) + "." for _ in range(30)))
+    out = {r.doc_id: r for r in linededup.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert out[0].text == texts[0] and out[3].text == texts[3] and out[3].n_chunks_removed == 0
+    for i in (1, 2):
+        assert out[i].n_chars_removed > 0.6 * len(passage)
+        assert out[i].text.startswith(texts[i][:30]) and out[i].text.count("\n") == 1 and out[i].text.endswith(texts[i].rsplit("\n", 1)[1])
+
+
 def test_language_id(spark):
     rng = random.Random(2)
     vocab = {"aa": ["the", "and", "thing", "with"], "bb": ["der", "und", "schön", "nicht"], "cc": ["que", "los", "niño", "para"]}
