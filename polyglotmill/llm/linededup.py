@@ -41,13 +41,15 @@ DIVISOR = 2
 MIN_LINES = 2
 MAX_LINES = 64
 MIN_WORDS = 16
+#: Rows and bytes of a batch of chunks on its way out of Python.
+OUT_ROWS, OUT_BYTES = 4096, 1 << 20
 _LINE_END = re.compile(rb"\n|[.!?][\"')\]]*[ \t]+")
 _M = (1 << 64) - 1
 
 
-def chunks(text: bytes) -> list[tuple[int, int, int]]:
-    """(first byte, last byte, lines) of each chunk; together they cover the text. Lines end after their newline or sentence end."""
-    out, at, lines, start, before = [], 0, 0, 0, 0
+def chunks(text: bytes) -> Iterator[tuple[int, int, int]]:
+    """(first byte, last byte, lines) of each chunk, in order; together they cover the text. Lines end after their newline or sentence end."""
+    at, lines, start, before = 0, 0, 0, 0
     while at < len(text):
         found = _LINE_END.search(text, at)
         end = found.end() if found else len(text)
@@ -56,11 +58,10 @@ def chunks(text: bytes) -> list[tuple[int, int, int]]:
         rolled = (before * 0x9E3779B97F4A7C15 + own) & _M
         before, at = own, end
         if lines >= MIN_LINES and ((rolled ^ rolled >> 29) * 0xBF58476D1CE4E5B9 & _M) >> 40 < (1 << 24) // DIVISOR or lines >= MAX_LINES:
-            out.append((start, at, lines))
+            yield start, at, lines
             start, lines = at, 0
     if start < len(text):
-        out.append((start, len(text), lines))
-    return out
+        yield start, len(text), lines
 
 
 def _key(piece: bytes) -> tuple[int, int]:
@@ -80,22 +81,30 @@ def chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
     """A row for each eligible chunk: doc_id, at (first byte), h1, h2, and its bytes if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, at, h1, h2, body = [], [], [], [], []
+        ids, at, h1, h2, body, held = [], [], [], [], [], 0
 
-            def flush():
-                columns = [pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())]
-                return pa.RecordBatch.from_arrays(columns + [pa.array(body, pa.binary())] * with_text, ["doc_id", "at", "h1", "h2", "body"][: 4 + with_text])
+        def flush() -> pa.RecordBatch:
+            columns = [pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())]
+            out = pa.RecordBatch.from_arrays(columns + [pa.array(body, pa.binary())] * with_text, ["doc_id", "at", "h1", "h2", "body"][: 4 + with_text])
+            for column in (ids, at, h1, h2, body):
+                column.clear()
+            return out
 
+        for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), to_bytes(batch.column(1))):
                 for first, last, lines in chunks(text):
                     piece = _body(text[first:last])
                     if _eligible(piece, lines):
                         a, b = _key(piece)
                         ids.append(doc), at.append(first), h1.append(a), h2.append(b)
+                        held += len(piece)
                         if with_text:
                             body.append(piece)
-            yield flush()
+                        # A long text has many chunks: they leave in small batches.
+                        if len(ids) >= OUT_ROWS or held >= OUT_BYTES:
+                            yield flush()
+                            held = 0
+        yield flush()
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null"), run, "doc_id long, at long, h1 long, h2 long" + ", body binary" * with_text)
 
