@@ -9,6 +9,7 @@ used twice, so that no call is paid for twice.
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
@@ -16,6 +17,8 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..functions import dimensions as d
+
 
 class Backend(Protocol):
     name: str
@@ -74,8 +77,6 @@ def call(model: Backend, texts: list[str], langs: list[str], drafts: list[str |
             return list(model.translate(texts, langs, drafts)), "ok", attempt - 1
         except Exception as e:
             message, limited = str(e).lower(), getattr(e, "status_code", None) == 429
-            from ..functions import dimensions as d
-
             if any(w in message for w in d.TOO_LONG_WORDS):
                 return [None] * len(texts), "too_long", attempt - 1
             transient = limited or getattr(e, "status_code", None) in d.RETRYABLE_STATUSES or any(w in message for w in d.RETRYABLE_WORDS)
@@ -101,7 +102,23 @@ class Pace:
 ATTEMPT = "record_id string, target_lang string, seq int, backend string, text string, status string, retries int, accepted boolean"
 
 
-def refine(rows: DataFrame, names: list[str], refuses: Callable[[str | None, str], bool], per_second: float | None = None) -> DataFrame:
+def never(text: str | None, source: str, lang: str) -> bool:
+    return False
+
+
+_ENGLISH = re.compile("|".join(d.ENGLISH_REFUSALS), re.I)
+_NATIVE = {lang: re.compile("|".join(patterns)) for lang, patterns in d.NATIVE_REFUSALS.items()}
+
+
+def refuses(text: str | None, source: str, lang: str, ratio: float = 0.1) -> bool:
+    """The rule of functions.text.is_refusal for a text that is in Python already, between two calls."""
+    if not (text or "").strip() or _ENGLISH.search(text) or text.strip() == source.strip():
+        return True
+    native = _NATIVE.get(lang.split("-")[0])
+    return bool(native and native.search(text)) or len(source) > 20 and len(text) / len(source) < ratio
+
+
+def refine(rows: DataFrame, names: list[str], refuses: Callable[[str | None, str, str], bool], per_second: float | None = None) -> DataFrame:
     """rows (record_id, target_lang, source_text, draft) -> every attempt; stops at a row's first accepted one.
 
     Short-circuiting lives in one Python operator, as a plan can't express it:
@@ -123,7 +140,7 @@ def refine(rows: DataFrame, names: list[str], refuses: Callable[[str | None, str
                 said, status, retries = call(model, able.source_text.tolist(), able.target_lang.tolist(), drafts)
                 found = able[["record_id", "target_lang"]].copy()
                 found["seq"], found["backend"], found["text"], found["retries"] = seq, model.name, said, retries
-                found["status"] = [("refused" if refuses(x, s) else "ok") if status == "ok" else status for x, s in zip(said, able.source_text)]
+                found["status"] = [("refused" if refuses(x, s, lang) else "ok") if status == "ok" else status for x, s, lang in zip(said, able.source_text, able.target_lang)]
                 found["accepted"] = found.status == "ok"
                 out.append(found)
                 left = left.drop(found.index[found.accepted])

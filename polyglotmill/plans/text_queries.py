@@ -220,10 +220,10 @@ _SHORT = f"{x.SQL_SOURCE}, rows as (select record_id, target_lang, substr(source
 
 @query(f"with {_SHORT} select record_id, target_lang, 1 as seq, 'offline:lower' as backend, 'ok' as status, lower(s) as text from rows")
 def translate_stub(spark, sf_dir):
-    return models.refine(_drafts(spark, sf_dir), ["offline:lower"], lambda said, source: False).select("record_id", "target_lang", "seq", "backend", "status", "text")
+    return models.refine(_drafts(spark, sf_dir), ["offline:lower"], models.never).select("record_id", "target_lang", "seq", "backend", "status", "text")
 
 
-def _refuses(said, source):
+def _refuses(said, source, lang):
     return said is None or said.startswith("I'm sorry")
 
 
