@@ -130,6 +130,15 @@ RETRYABLE_STATUSES = (401, 429, 500, 502, 503, 504)
 RATE_LIMIT_WORDS = ("429", "rate limit", "too many requests")
 #: Language codes of the detector that differ from the part before the hyphen.
 DETECTOR_CODES = {"zh": "zh", "zh-TW": "zh", "nb": "no"}
+#: Codes that a service names otherwise than ISO does; for deepl, all languages that it takes, in capitals unless given.
+SERVICE_CODES = {
+    "google_translate": {"zh": "zh-CN", "zh-TW": "zh-TW"},
+    "amazon_translate": {"zh": "zh", "zh-TW": "zh-TW"},
+    "azure_translate": {"zh": "zh-Hans", "zh-TW": "zh-Hant", "nb": "nb"},
+    "deepl": {"en": "EN-US", "pt": "PT-BR", "zh": "ZH-HANS"},
+}
+DEEPL_LANGUAGES = tuple("ar bg cs da de el en es et fi fr hu id it ja ko lt lv nb nl pl pt ro ru sk sl sv tr uk zh".split())
+
 #: US dollars per 1,000 tokens.
 COST_RATES = {"cohere": 0.002, "openai": 0.00075, "anthropic": 0.003, "gemini": 0.00075}
 #: Smallest accepted score by metric.

@@ -163,6 +163,29 @@ def prompt(strategy_: Column, language: Column, source: Column, draft: Column) -
     )
 
 
+def service_code(service: str, lang: Column) -> Column:
+    """The language code that a service wants; null if it doesn't take the language."""
+    out = F.when(F.lit(False), "")
+    for iso, code in d.SERVICE_CODES[service].items():
+        out = out.when(lang == iso, code)
+    return out.when(lang.isin(*d.DEEPL_LANGUAGES), F.upper(lang)) if service == "deepl" else out.otherwise(lang)
+
+
+def judge_prompt(source_lang: Column, target_lang: Column, source: Column, translation: Column) -> Column:
+    """The prompt of the 0 to 100 judge."""
+    parts = JUDGE_PROMPT.split("{}")
+    slots = (source_lang, target_lang, source_lang, source, target_lang, translation)
+    return F.concat(*[c for part, slot in zip(parts, slots) for c in (F.lit(part), slot)], F.lit(parts[-1]))
+
+
+#: The judge's prompt.
+JUDGE_PROMPT = """Score the following translation from {} to {} on a continuous scale from 0 to 100, where a score of zero means "no meaning preserved" and score of one hundred means "perfect meaning and target language quality".
+
+{} source: "{}"
+{} translation: "{}"
+
+Score (0-100):"""
+
 #: User prompts.
 PROMPTS = {
     "misspellings": "Translate this English text to {target_language}. The English intentionally contains misspellings — your {target_language} translation must also contain deliberate misspellings.\n\nSource (English): {source_text}\n\nOutput only the {target_language} translation with misspellings:",
