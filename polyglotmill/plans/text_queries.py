@@ -174,7 +174,7 @@ def jaccard_tokens(spark, sf_dir):
 
 def _chrf_sql() -> str:
     def side(column: str, n: int) -> str:
-        clean = rf"regexp_replace(substr({column}, 1, 200), '[ \t\n\r\f\x0b]+', '', 'g')"
+        clean = rf"regexp_replace({column}, '[ \t\n\r\f\x0b]+', '', 'g')"
         return f"select doc_id, {n} as side, o.o as ord, substr(c, i::bigint, o.o::bigint) as gram from (select doc_id, {clean} as c from pairs) join (select unnest(range(1, 7)) as o) o on true, unnest(range(1, greatest(length(c) - o.o + 2, 1))) u(i)"
 
     return f"""with pairs as (select d.doc_id, d.text as cand, b.text as ref from documents d join benchmark b on b.item_id = d.doc_id % 40),
@@ -185,10 +185,9 @@ select pairs.doc_id, round(coalesce(case when p + q > 0 then 500 * p * q / (4 *
 
 @query(_chrf_sql())
 def chrf_score(spark, sf_dir):
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 200).alias("ref"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 200).alias("cand"))
-    pairs = docs.join(items, F.col("doc_id") % 40 == F.col("item_id"))
-    return similarity.chrf(pairs, "doc_id", "cand", "ref").withColumn("chrf", F.round("chrf", 6))
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("ref"))
+    pairs = table(spark, sf_dir, "documents").join(items, F.col("doc_id") % 40 == F.col("item_id"))
+    return pairs.select("doc_id", F.round(similarity.chrf(F.col("text"), F.col("ref")), 6).alias("chrf"))
 
 
 def _lang_sql() -> str:
