@@ -22,7 +22,7 @@ SQL_SOURCE = f"""source as (
 SQL_LOG = f"""{SQL_SOURCE}, {SQL_LANGS}, logged as (
   select *, (doc_id * 7 + idx * 3) % 20 as m from source cross join langs), log as (
   select doc_id, record_id, target_lang, prompt_style, m, case m when 0 then 'refused' when 1 then 'too_long' when 2 then 'error: timeout' when 3 then 'success' when 4 then 'success' else 'ok' end as status,
-    case when m <= 2 or m = 9 then '' else substr(source_text, 1, 40) end as text, 100 + (doc_id * 13 + idx * 29) % 900 as latency_ms, m % 3 as retries,
+    case when m <= 2 or m = 9 then '' else source_text end as text, 100 + (doc_id * 13 + idx * 29) % 900 as latency_ms, m % 3 as retries,
     case m % 4 when 0 then 'cohere:a' when 1 then 'openai:b' when 2 then 'gemini:c' else 'nllb' end as backend, length(source_text) // 4 as tokens_in, case when m <= 2 then 0 else length(source_text) // 5 end as tokens_out from logged)"""
 
 #: Assistant turns as responses: refusals, copies, short ones, salvageable ones and blank ones by conv_id.
@@ -47,7 +47,7 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(m == 0, "refused").when(m == 1, "too_long").when(m == 2, "error: timeout").when(m.isin(3, 4), "success").otherwise("ok")
     backend = F.get(F.array(F.lit("cohere:a"), F.lit("openai:b"), F.lit("gemini:c"), F.lit("nllb")), (m % 4).cast("int"))
     return rows.select(
-        "doc_id", "record_id", "target_lang", "prompt_style", m.alias("m"), status.alias("status"), F.when((m <= 2) | (m == 9), "").otherwise(F.substring("source_text", 1, 40)).alias("text"),
+        "doc_id", "record_id", "target_lang", "prompt_style", m.alias("m"), status.alias("status"), F.when((m <= 2) | (m == 9), "").otherwise(F.col("source_text")).alias("text"),
         (100 + (F.col("doc_id") * 13 + idx * 29) % 900).alias("latency_ms"), (m % 3).alias("retries"), backend.alias("backend"), F.floor(n / 4).alias("tokens_in"), F.when(m <= 2, 0).otherwise(F.floor(n / 5)).cast("long").alias("tokens_out"),
     )
 
@@ -83,12 +83,12 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Prompts with examples, a mark and a payload, by doc_id; a third lacks the mark.
 SQL_TEMPLATED = r"""templated as (
   select doc_id, 'Learn the code.' || chr(10) || 'Example 0' || chr(10) || substr(text, 1, 12) || chr(10) || 'Example 1' || chr(10) || substr(text, 13, 9) || chr(10) || chr(10) ||
-    case when doc_id % 3 = 0 then 'No mark here: ' else 'Following is my request you should respond to (in code): ' end || substr(replace(text, chr(10), ' '), 30, 25) || 'Z' as prompt,
+    case when doc_id % 3 = 0 then 'No mark here: ' else 'Following is my request you should respond to (in code): ' end || replace(text, chr(10), ' ') || 'Z' as prompt,
     'T1 [ASCII_CODE_PLACEHOLDER] T2 [CAESAR_CODE_PLACEHOLDER] T3 [MORSE_CODE_PLACEHOLDER].' as template from documents)"""
 
 
 def templated(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
     mark = F.when(F.col("doc_id") % 3 == 0, "No mark here: ").otherwise("Following is my request you should respond to (in code): ")
-    prompt = F.concat(F.lit("Learn the code.\nExample 0\n"), F.substring(t, 1, 12), F.lit("\nExample 1\n"), F.substring(t, 13, 9), F.lit("\n\n"), mark, F.substring(F.replace(t, F.lit("\n"), F.lit(" ")), 30, 25), F.lit("Z"))
+    prompt = F.concat(F.lit("Learn the code.\nExample 0\n"), F.substring(t, 1, 12), F.lit("\nExample 1\n"), F.substring(t, 13, 9), F.lit("\n\n"), mark, F.replace(t, F.lit("\n"), F.lit(" ")), F.lit("Z"))
     return table(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"), F.lit("T1 [ASCII_CODE_PLACEHOLDER] T2 [CAESAR_CODE_PLACEHOLDER] T3 [MORSE_CODE_PLACEHOLDER].").alias("template"))

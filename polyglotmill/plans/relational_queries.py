@@ -30,14 +30,14 @@ def exclude_styles(spark, sf_dir):
     return x.source(spark, sf_dir).where(~F.col("prompt_style").isin(*d.EXCLUDED_STYLES)).select("record_id", "prompt_style")
 
 
-@query("""with n as (select doc_id, case doc_id % 9 when 0 then '' when 1 then 'None' when 2 then '[None]' when 3 then '['''']' when 4 then 'nan' when 5 then null else substr(text, 1, 30) end as v from documents)
+@query("""with n as (select doc_id, case doc_id % 9 when 0 then '' when 1 then 'None' when 2 then '[None]' when 3 then '['''']' when 4 then 'nan' when 5 then null else text end as v from documents)
 select doc_id, v from n where v is not null and v not in ('', 'None', '[None]', '['''']', 'nan')""")
 def null_text_filter(spark, sf_dir):
     k = F.col("doc_id") % 9
     v = F.when(k == 5, F.lit(None).cast("string"))
     for i, bad in enumerate(d.NULL_TEXTS):
         v = v.when(k == i, bad)
-    rows = table(spark, sf_dir, "documents").select("doc_id", v.otherwise(F.substring("text", 1, 30)).alias("v"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", v.otherwise(F.col("text")).alias("v"))
     return rows.where(~t.null_text(F.col("v")))
 
 
@@ -153,10 +153,10 @@ def language_groups(spark, sf_dir):
 
 
 @query("""select d.doc_id, coalesce(case when b.doc_id is null then null else 'TIER2_COMPLETE' end, 'TIER2_FAILED') as status, coalesce(b.body, '') as body
-from documents d left join (select doc_id, substr(text, 1, 20) as body from documents where doc_id % 5 <> 0) b on d.doc_id = b.doc_id""")
+from documents d left join (select doc_id, text as body from documents where doc_id % 5 <> 0) b on d.doc_id = b.doc_id""")
 def batch_result_match(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    results = docs.where("doc_id % 5 <> 0").select("doc_id", F.substring("text", 1, 20).alias("body"))
+    results = docs.where("doc_id % 5 <> 0").select("doc_id", F.col("text").alias("body"))
     return docs.select("doc_id").join(results, "doc_id", "left").select("doc_id", F.when(F.col("body").isNull(), "TIER2_FAILED").otherwise("TIER2_COMPLETE").alias("status"), F.coalesce("body", F.lit("")).alias("body"))
 
 

@@ -37,13 +37,13 @@ def service_codes(spark, sf_dir):
 
 def _judge_sql() -> str:
     parts = t.JUDGE_PROMPT.split("{}")
-    slots = ("'English'", "'German'", "'English'", "text", "'German'", "substr(text, 1, 40)")
+    slots = ("'English'", "'German'", "'English'", "text", "'German'", "lower(text)")
     return "select doc_id, " + " || ".join(f"'{_q(p)}' || {c}" for p, c in zip(parts, slots)) + f" || '{_q(parts[-1])}' as prompt from documents"
 
 
 @query(_judge_sql())
 def judge_prompt(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", t.judge_prompt(F.lit("English"), F.lit("German"), F.col("text"), F.substring("text", 1, 40)).alias("prompt"))
+    return table(spark, sf_dir, "documents").select("doc_id", t.judge_prompt(F.lit("English"), F.lit("German"), F.col("text"), F.lower("text")).alias("prompt"))
 
 
 @query(f"""select doc_id::varchar || '|de' as custom_id, floor({_WORDS.format('text')} * 1.5 + 50)::bigint as max_tokens,

@@ -30,12 +30,12 @@ def word_token_budget(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", t.word_count(F.col("text")).alias("words"), t.token_budget(F.col("text")).alias("max_tokens"))
 
 
-_PLAIN = "substr(regexp_replace(text, '[^A-Za-z ]', '', 'g'), 1, 60)"
+_PLAIN = "regexp_replace(text, '[^A-Za-z ]', '', 'g')"
 
 
 @query(f"select doc_id, {_STRIP.format(_PLAIN)} as first_turn from documents where doc_id % 5 <> 4 union all select doc_id, '' from documents where doc_id % 5 = 4")
 def extract_first_turn(spark, sf_dir):
-    plain = F.substring(F.regexp_replace("text", "[^A-Za-z ]", ""), 1, 60)
+    plain = F.regexp_replace("text", "[^A-Za-z ]", "")
     k = F.col("doc_id") % 5
     turns = F.when(k == 0, F.concat(F.lit("['"), plain, F.lit("']"))).when(k == 1, F.concat(F.lit('["'), plain, F.lit('", "second"]'))).when(k == 4, "[]").otherwise(plain)
     return table(spark, sf_dir, "documents").select("doc_id", t.strip(t.first_of_list(turns)).alias("first_turn"))
@@ -43,7 +43,7 @@ def extract_first_turn(spark, sf_dir):
 
 @query(f"select doc_id, {_STRIP.format(_PLAIN)} as clean_text from documents")
 def unwrap_text(spark, sf_dir):
-    plain = F.substring(F.regexp_replace("text", "[^A-Za-z ]", ""), 1, 60)
+    plain = F.regexp_replace("text", "[^A-Za-z ]", "")
     k = F.col("doc_id") % 6
     wrapped = (
         F.when(k == 0, F.concat(F.lit("['"), plain, F.lit("']"))).when(k == 1, F.concat(F.lit('["'), plain, F.lit('"]'))).when(k == 2, F.concat(F.lit("[“"), plain, F.lit("”]")))
@@ -66,7 +66,7 @@ def extract_examples(spark, sf_dir):
 
 
 @query(r"""with """ + x.SQL_TEMPLATED + r""" select t.doc_id, 'T1 ' || regexp_replace(substr(text, 1, 12), '\n+$', '') || ' T2 ' || case when t.doc_id % 3 = 0 then '[CAESAR_CODE_PLACEHOLDER]' else regexp_replace(substr(text, 13, 9), '\n+$', '') end || ' T3 [MORSE_CODE_PLACEHOLDER]. ' ||
-case when t.doc_id % 3 = 0 then '' else """ + _STRIP.format("substr(replace(text, chr(10), ' '), 30, 25) || 'Z'") + r""" end as spliced from templated t join documents d on t.doc_id = d.doc_id""")
+case when t.doc_id % 3 = 0 then '' else """ + _STRIP.format("replace(text, chr(10), ' ') || 'Z'") + r""" end as spliced from templated t join documents d on t.doc_id = d.doc_id""")
 def splice_template(spark, sf_dir):
     _, payload = t.split_payload(F.col("prompt"))
     return x.templated(spark, sf_dir).select("doc_id", t.splice(F.col("template"), t.examples(F.col("prompt")), payload).alias("spliced"))
@@ -78,7 +78,7 @@ def placeholder_heal(spark, sf_dir):
     return x.templated(spark, sf_dir).select("doc_id", v.rlike(d.PLACEHOLDER).alias("needs_heal"))
 
 
-_BODY = "replace(replace(replace({}, '{{target_language}}', 'German'), '{{mt_output}}', substr(source_text, 1, 20)), '{{source_text}}', substr(source_text, 1, 50))"
+_BODY = "replace(replace(replace({}, '{{target_language}}', 'German'), '{{mt_output}}', lower(source_text)), '{{source_text}}', source_text)"
 
 
 def _prompt_sql() -> str:
@@ -90,8 +90,8 @@ def _prompt_sql() -> str:
 
 @query(_prompt_sql())
 def build_prompt(spark, sf_dir):
-    draft = F.when(F.col("doc_id") % 4 == 0, " ").otherwise(F.substring("source_text", 1, 20))
-    return x.source(spark, sf_dir).select("record_id", t.prompt(t.strategy(F.col("prompt_style")), F.lit("German"), F.substring("source_text", 1, 50), draft).alias("prompt"))
+    draft = F.when(F.col("doc_id") % 4 == 0, " ").otherwise(F.lower("source_text"))
+    return x.source(spark, sf_dir).select("record_id", t.prompt(t.strategy(F.col("prompt_style")), F.lit("German"), F.col("source_text"), draft).alias("prompt"))
 
 
 _BASIC = _q("(?i)" + "|".join(f"(?:{p})" for p in d.BASIC_REFUSALS))
@@ -210,11 +210,11 @@ def embedding_cosine(spark, sf_dir):
 
 
 def _drafts(spark, sf_dir):
-    rows = r.fan_out(x.source(spark, sf_dir).select("record_id", F.substring("source_text", 1, 30).alias("source_text")), ["de", "ja", "zh"])
+    rows = r.fan_out(x.source(spark, sf_dir).select("record_id", "source_text"), ["de", "ja", "zh"])
     return rows.withColumn("draft", F.lit(None).cast("string"))
 
 
-_SHORT = f"{x.SQL_SOURCE}, rows as (select record_id, target_lang, substr(source_text, 1, 30) as s from source cross join (values ('de'), ('ja'), ('zh')) l(target_lang))"
+_SHORT = f"{x.SQL_SOURCE}, rows as (select record_id, target_lang, source_text as s from source cross join (values ('de'), ('ja'), ('zh')) l(target_lang))"
 
 
 @query(f"with {_SHORT} select record_id, target_lang, 1 as seq, 'offline:lower' as backend, 'ok' as status, lower(s) as text from rows")
