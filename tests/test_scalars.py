@@ -99,3 +99,17 @@ def test_entry_module_imports():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_chrf_counts_whole_texts(spark):
+    from pyspark.sql import functions as F
+
+    from polyglotmill.functions import similarity
+
+    assert similarity.chrf_pair("a b c", "abc") == 100.0 and similarity.chrf_pair("", "x") == 0.0 and similarity.chrf_pair("abc", "xyz") == 0.0
+    # One shared letter of two each side, no shared pair: half of order 1, nothing of order 2.
+    assert similarity.chrf_pair("ab", "ac") == pytest.approx(25.0)
+    long = "the quick brown fox " * 200
+    rows = spark.createDataFrame([(1, long + "x", long + "y"), (2, None, "x")], "i int, a string, b string")
+    got = {r.i: r.s for r in rows.select("i", similarity.chrf(F.col("a"), F.col("b")).alias("s")).collect()}
+    assert 99 < got[1] < 100 and got[2] == 0.0
