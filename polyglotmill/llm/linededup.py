@@ -1,21 +1,33 @@
-"""Line dedup (operator 8): content-defined chunks of lines.
+"""Line dedup (operator 8): content-defined chunks of lines, extended to whole passages.
 
-A newline ends a line, and so does the end of a sentence inside one, so that
-passages in the middle of long lines are in reach. Lines are hashed; a rolling hash over the last WINDOW_LINES line hashes ends a
-chunk where it falls into one of DIVISOR classes, so boundaries move with the
-content and an inserted line shifts no later boundary. Chunks of two lines or
-more and at least MIN_WORDS words are compared across the whole table by a
-128-bit hash. The first occurrence (smallest doc_id, then position) stays; an
-other occurrence is removed if its bytes equal the first one's.
+A chunk may end before any token (run of bytes other than spaces and line
+ends). It ends where a hash of the three tokens around is the smallest within
+`least` - 1 tokens to both sides; ends of lines and of sentences are smaller
+than all others. So boundaries depend on the tokens near them only, whatever
+comes before; they lie at line ends where there are any in reach, and inside
+longer lines elsewhere. Chunks have `least` tokens or more, but for the first
+and the last of a text. Where tokens repeat so much that no hash is smallest,
+a chunk ends after MAX_WORDS tokens.
 
-Hashes travel first; only chunks whose hash repeats travel with their bytes,
-once to be compared. Joins are merge joins at every size: nothing is broadcast. Counts are partial sums, and the joins on a hash that
-repeats in a third of all rows are split by adaptive execution.
+Chunks are compared across the whole table by a 128-bit hash. The first
+occurrence (smallest doc_id, then position) stays; an other occurrence is
+removed if its bytes equal the first one's. With `extend`, chunks are of
+ANCHOR_WORDS tokens or more, and a match goes on token by token into the chunks
+before and after it, as far as the bytes are equal; it is removed if it then
+has MIN_WORDS tokens. A longer passage needs no longer reach: its further
+chunks match themselves, and ANCHOR_WORDS is half of MIN_WORDS. Every byte that
+goes has an equal one at a smaller place, so something of each passage stays.
+Without `extend` chunks have MIN_WORDS tokens, and only whole chunks go.
 
-A shared passage begins and ends inside chunks. Chunk boundaries depend only
-on the WINDOW_LINES lines before them, so a passage of several chunks loses all
-chunks but those at its edges. MIN_WORDS keeps short repeated phrases in place.
-Where a removed chunk ended a line of text, the newline stays.
+Hashes travel first. Only texts in which a hash repeats are read for bytes, and
+only the chunks of such hashes, with their neighbours, travel to be compared.
+Joins are merge joins at every size: nothing is broadcast. Counts are partial
+sums, and the joins on a hash that repeats in a third of all rows are split by
+adaptive execution.
+
+A passage within which no two boundaries fall is not found. MIN_WORDS keeps
+short repeated phrases in place. Where what is removed held a line end, one
+stays.
 
 Cases: null text stays null and has no chunk; empty text has no chunk. Rows
 with a null doc_id keep their text. Rows that repeat a doc_id are one document
@@ -27,102 +39,249 @@ read, so extra columns can't clash.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_arrow, to_bytes
+from .common import cut, map_arrow, sized, to_bytes
+from .words import PIECE, _hashes, mix
 
-WINDOW_LINES = 2
-DIVISOR = 2
-MIN_LINES = 2
-MAX_LINES = 64
 MIN_WORDS = 16
+ANCHOR_WORDS = MIN_WORDS // 2
+MAX_WORDS = 256
 #: Rows and bytes of a batch of chunks on its way out of Python.
 OUT_ROWS, OUT_BYTES = 4096, 1 << 20
-_LINE_END = re.compile(rb"\n|[.!?][\"')\]]*[ \t]+")
-_M = (1 << 64) - 1
-
-
-def chunks(text: bytes) -> Iterator[tuple[int, int, int]]:
-    """(first byte, last byte, lines) of each chunk, in order; together they cover the text. Lines end after their newline or sentence end."""
-    at, lines, start, before = 0, 0, 0, 0
-    while at < len(text):
-        found = _LINE_END.search(text, at)
-        end = found.end() if found else len(text)
-        own = xxhash.xxh3_64_intdigest(text[at:end].strip())
-        lines += 1
-        rolled = (before * 0x9E3779B97F4A7C15 + own) & _M
-        before, at = own, end
-        if lines >= MIN_LINES and ((rolled ^ rolled >> 29) * 0xBF58476D1CE4E5B9 & _M) >> 40 < (1 << 24) // DIVISOR or lines >= MAX_LINES:
-            yield start, at, lines
-            start, lines = at, 0
-    if start < len(text):
-        yield start, len(text), lines
+#: Texts are handled in groups of about so many bytes.
+GROUP_BYTES = 1 << 18
+_SPACES = bytes(32 if b in b" \t\n\r\f\v" else b for b in range(256))
+_TOKEN = re.compile(rb"[^ \t\n\r\f\v]+[ \t\n\r\f\v]*")
+_STOP, _CLOSE = (np.isin(np.arange(256), list(marks)) for marks in (b".!?", b"\"')]"))
+_LAST = np.uint64((1 << 64) - 1)
+
+
+def _least(v: np.ndarray, k: int) -> np.ndarray:
+    """The smallest of each k values that follow each other."""
+    size = 1
+    while size * 2 <= k:
+        v, size = np.minimum(v[:-size], v[size:]), size * 2
+    return np.minimum(v[: len(v) - (k - size)], v[k - size :]) if k > size else v
+
+
+def _bounds(texts: list[bytes], least: int) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Text number, first byte, last byte and tokens of each chunk of the texts, in order."""
+    joined = b" ".join(texts) + b" "
+    clean = joined.translate(_SPACES)
+    begin = np.cumsum([0] + [len(t) + 1 for t in texts])
+    starts, hashes, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    while at < len(clean):  # a long text is hashed in pieces, cut between tokens
+        end = clean.find(b" ", at + PIECE) if len(clean) - at > PIECE else -1
+        end = len(clean) if end < 0 else end
+        s, h = _hashes(clean[at:end])
+        starts.append(s + at), hashes.append(h)
+        at = end
+    starts, hashes = np.concatenate(starts), np.concatenate(hashes)
+    n, half = len(starts), least - 1
+    offsets = np.searchsorted(starts, begin)
+    owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    head = offsets[:-1][np.diff(offsets) > 0]
+    raw, spaces = np.frombuffer(joined, dtype=np.uint8), np.frombuffer(clean, dtype=np.uint8)
+    # The rank of each token as the start of a chunk: a hash of it and of the two before it in its text.
+    one, two = np.roll(hashes, 1), np.roll(hashes, 2)
+    one[head] = two[head] = 0
+    two[head[head + 1 < n] + 1] = 0
+    rank = mix(two * np.uint64(0x9E3779B97F4A7C15) + mix(one) * np.uint64(0xD1B54A32D192ED03) + hashes) >> np.uint64(1)
+    # Tokens after a newline or, over at most two spaces, after the end of a sentence come first.
+    lines = np.flatnonzero(raw == 10)
+    line = np.searchsorted(lines, starts)
+    last = np.maximum(starts - 2, 0)
+    last = np.maximum(last - (spaces[last] == 32), 0)
+    x, y, z = raw[last], raw[np.maximum(last - 1, 0)], raw[np.maximum(last - 2, 0)]
+    ends = (line > np.roll(line, 1)) | _STOP[x] | _CLOSE[x] & (_STOP[y] | _CLOSE[y] & _STOP[z])
+    rank |= (~ends).astype(np.uint64) << np.uint64(63)
+    rank[head] = _LAST
+    # Texts are set apart by `half` places, so that no window sees two of them.
+    place = np.arange(n) + half * (owner + 1)
+    wide = np.full(n + half * (len(texts) + 1), _LAST)
+    wide[place] = rank
+    near = _least(wide, half)
+    start = (rank < near[place - half]) & (rank <= near[place + 1]) if n else np.zeros(0, bool)
+    start[head] = True
+    marks = np.flatnonzero(start)
+    counts = np.diff(np.append(marks, n))
+    if len(counts) and counts.max() > MAX_WORDS + least:
+        more = [m + k for m, c in zip(marks.tolist(), counts.tolist()) for k in range(MAX_WORDS, c - least + 1, MAX_WORDS)]
+        marks = np.sort(np.concatenate([marks, np.array(more, np.int64)]))
+        counts = np.diff(np.append(marks, n))
+    of = owner[marks]
+    first = starts[marks] - begin[of]
+    is_head = np.concatenate([[True], of[1:] != of[:-1]]) if len(of) else np.zeros(0, bool)
+    first[is_head] = 0
+    last = np.append(first[1:], 0)
+    tail = np.append(is_head[1:], True)[: len(of)]
+    last = last[: len(of)]
+    last[tail] = (np.diff(begin) - 1)[of[tail]]
+    return of.tolist(), first.tolist(), last.tolist(), counts.tolist()
+
+
+def chunks(text: bytes, least: int = MIN_WORDS) -> Iterator[tuple[int, int, int]]:
+    """(first byte, last byte, tokens) of each chunk, in order; together they cover the text."""
+    _, first, last, counts = _bounds([text], least)
+    yield from zip(first, last, counts) if first or not text else [(0, len(text), 0)]
 
 
 def _key(piece: bytes) -> tuple[int, int]:
-    a, b = divmod(xxhash.xxh3_128_intdigest(piece), 1 << 64)
-    return a - (1 << 63), b - (1 << 63)
+    return struct.unpack(">qq", xxhash.xxh3_128_digest(piece))
 
 
 def _body(piece: bytes) -> bytes:
     return piece.rstrip(b" \t\n")
 
 
-def _eligible(piece: bytes, lines: int) -> bool:
-    return lines >= MIN_LINES and len(piece.split(None, MIN_WORDS)) >= MIN_WORDS
+def _eligible(piece: bytes, words: int, least: int = MIN_WORDS) -> bool:
+    return words >= least
+
+
+def _own(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+
+
+def chunk_rows(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """A row for each eligible chunk: doc_id, at (first byte), h1, h2."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column(0).to_pylist(), to_bytes(batch.column(1)))
+            for group in sized(pairs, lambda p: len(p[1]) + 64, GROUP_BYTES):
+                ids, at, digests = [], [], []
+                for of, first, last, words in zip(*_bounds([t for _, t in group], least)):
+                    if _eligible(b"", words, least):
+                        ids.append(group[of][0]), at.append(first), digests.append(xxhash.xxh3_128_digest(_body(group[of][1][first:last])))
+                keys = np.frombuffer(b"".join(digests), ">i8").reshape(-1, 2).astype(np.int64)
+                out = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())], ["doc_id", "at", "h1", "h2"])
+                # A long text has many chunks: they leave in small batches.
+                yield from (out.slice(i, OUT_ROWS) for i in range(0, len(ids), OUT_ROWS))
+
+    return map_arrow(_own(docs), run, "doc_id long, at long, h1 long, h2 long")
+
+
+_CHUNK = ["doc_id", "at", "last", "h1", "h2", "is_first", "body", "before", "after", "joined"]
+
 
+def chunk_bytes(marked: DataFrame, least: int, extend: bool) -> DataFrame:
+    """doc_id, text, marks -> the marked chunks with their bytes and, to extend, the chunks before and after.
 
-def chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
-    """A row for each eligible chunk: doc_id, at (first byte), h1, h2, and its bytes if asked for."""
+    A neighbour that repeats the chunk that lies beside this one's first
+    occurrence goes by itself: it needn't travel, and `joined` says there is one.
+    """
+    kinds = [pa.int64()] * 5 + [pa.bool_()] + [pa.binary()] * 3 + [pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, at, h1, h2, body, held = [], [], [], [], [], 0
+        rows, held = tuple([] for _ in _CHUNK), 0
 
         def flush() -> pa.RecordBatch:
-            columns = [pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())]
-            out = pa.RecordBatch.from_arrays(columns + [pa.array(body, pa.binary())] * with_text, ["doc_id", "at", "h1", "h2", "body"][: 4 + with_text])
-            for column in (ids, at, h1, h2, body):
+            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], _CHUNK)
+            for column in rows:
                 column.clear()
             return out
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), to_bytes(batch.column(1))):
-                for first, last, lines in chunks(text):
+            for doc, text, marks in zip(batch.column(0).to_pylist(), to_bytes(batch.column(1)), batch.column(2).to_pylist()):
+                wanted = {(m["at"], m["h1"], m["h2"]): (m["d"], m["p"]) for m in marks}
+                places, found, source = {m[0] for m in wanted}, list(chunks(text, least)), {}
+                for i, (first, last, _) in enumerate(found):
+                    if first in places and (of := wanted.get((first, *_key(_body(text[first:last]))))):
+                        source[i] = of
+                for i, of in source.items():
+                    first, last, _ = found[i]
+                    is_first = of == (doc, first)
+                    sides, joined = [b"", b""], False
+                    for side, j in enumerate((i - 1, i + 1)):
+                        if extend and 0 <= j < len(found):
+                            beside = source.get(j)
+                            if not is_first and beside and beside != (doc, found[j][0]) and beside == (of[0], of[1] + found[j][0] - first):
+                                joined = True
+                            else:
+                                sides[side] = text[found[j][0] : found[j][1]]
                     piece = _body(text[first:last])
-                    if _eligible(piece, lines):
-                        a, b = _key(piece)
-                        ids.append(doc), at.append(first), h1.append(a), h2.append(b)
-                        held += len(piece)
-                        if with_text:
-                            body.append(piece)
-                        # A long text has many chunks: they leave in small batches.
-                        if len(ids) >= OUT_ROWS or held >= OUT_BYTES:
-                            yield flush()
-                            held = 0
+                    for column, x in zip(rows, (doc, first, last, *_key(piece), is_first, piece, *sides, joined)):
+                        column.append(x)
+                    held += len(piece) + sum(map(len, sides))
+                    if len(rows[0]) >= OUT_ROWS or held >= OUT_BYTES:
+                        yield flush()
+                        held = 0
         yield flush()
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null"), run, "doc_id long, at long, h1 long, h2 long" + ", body binary" * with_text)
+    return map_arrow(marked, run, "doc_id long, at long, last long, h1 long, h2 long, is_first boolean, body binary, before binary, after binary, joined boolean")
+
+
+def _reach(own: bytes, other: bytes, back: bool) -> int:
+    """Bytes of own that match other token by token, from its end if back."""
+    a, b, n = _TOKEN.findall(own), _TOKEN.findall(other), 0
+    for x, y in zip(reversed(a), reversed(b)) if back else zip(a, b):
+        if x == y:
+            n += len(x)
+        else:
+            # At the far end of a passage, the spaces after its last token may differ.
+            return n if back or _body(x) != _body(y) else n + len(x)
+    return n
+
+
+def _freed(df: DataFrame) -> DataFrame:
+    """df, after the driver dropped what it holds of finished plans, so that Spark deletes their shuffle files."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
+def removals(docs: DataFrame, extend: bool = False) -> DataFrame:
+    """doc_id, at, h1, h2 of the chunks that repeat an earlier chunk byte for byte, and first, last: the bytes to remove."""
+    least = ANCHOR_WORDS if extend else MIN_WORDS
+    hashes = cut(chunk_rows(docs, least))
+    repeated = hashes.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").select("h1", "h2", "first")
+    repeated = _freed(cut(repeated))
+    marks = hashes.join(repeated.hint("merge"), ["h1", "h2"]).groupBy(F.col("doc_id").alias("__id"))
+    marks = _freed(cut(marks.agg(F.collect_set(F.struct("at", "h1", "h2", F.col("first.doc_id").alias("d"), F.col("first.at").alias("p"))).alias("marks"))))
+    marked = _own(docs).join(marks.hint("merge"), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "marks")
+    found = _freed(cut(chunk_bytes(marked, least, extend)))
+    original = found.where("is_first").groupBy("h1", "h2").agg(F.min(F.struct("body", "before", "after")).alias("kept"))
+    same = found.where("not is_first").join(original.hint("merge"), ["h1", "h2"]).where("body = kept.body").select(*_CHUNK, F.col("kept.before").alias("b"), F.col("kept.after").alias("a"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            firsts, lasts, keep = [], [], []
+            for at, last, body, before, after, joined, b, a in zip(*(batch.column(c).to_pylist() for c in ("at", "last", "body", "before", "after", "joined", "b", "a"))):
+                left, right = _reach(before, b, True), _reach(after, a, False)
+                firsts.append(at - left), lasts.append(last + right)
+                n = sum(len(x.split()) for x in (before[len(before) - left :], body, after[:right]))
+                keep.append(n >= MIN_WORDS or joined)
+            columns = [batch.column(c) for c in ("doc_id", "at", "h1", "h2")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())], ["doc_id", "at", "h1", "h2", "first", "last"]).filter(pa.array(keep, pa.bool_()))
+
+    return map_arrow(same, run, "doc_id long, at long, h1 long, h2 long, first long, last long")
 
 
-def removals(docs: DataFrame) -> DataFrame:
-    """doc_id, at, h1, h2 of the chunks to remove: those that repeat an earlier chunk byte for byte."""
-    hashes = chunk_rows(docs, False)
-    repeated = cut(hashes.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").select("h1", "h2", "first"))
-    found = chunk_rows(docs, True).join(repeated.hint("merge"), ["h1", "h2"])
-    found = cut(found.select("h1", "h2", "doc_id", "at", "body", ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("at") == F.col("first.at"))).alias("is_first")))
-    original = found.where("is_first").groupBy("h1", "h2").agg(F.min("body").alias("kept"))
-    return found.where("not is_first").join(original.hint("merge"), ["h1", "h2"]).where("body = kept").select("doc_id", "at", "h1", "h2").distinct()
+def _without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """raw without the spans, which may overlap; a span that held a line end leaves one."""
+    out, at = b"", 0
+    for first, last in sorted(spans):
+        if last > at:
+            out += raw[at : max(at, first)]
+            if out and not out.endswith(b"\n") and b"\n" in raw[max(at, first) : last]:
+                out += b"\n"
+            at = last
+    return (out + raw[at:]).rstrip(b" \t\n")
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, text without the removed chunks, n_chunks_removed, n_chars_removed (code points)."""
+def dedup(docs: DataFrame, extend: bool = False) -> DataFrame:
+    """doc_id, text without what is removed, n_chunks_removed, n_chars_removed (code points)."""
+    least = ANCHOR_WORDS if extend else MIN_WORDS
     own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    gone = removals(docs).groupBy("doc_id").agg(F.collect_set(F.struct("at", "h1", "h2")).alias("gone"))
+    gone = removals(docs, extend).groupBy("doc_id").agg(F.collect_set(F.struct("at", "h1", "h2", "first", "last")).alias("gone"))
+    gone = _freed(cut(gone))
     joined = own.join(gone.withColumnRenamed("doc_id", "__id").hint("merge"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,18 +290,16 @@ def dedup(docs: DataFrame) -> DataFrame:
             for i, marks in enumerate(batch.column(2).to_pylist()):
                 n.append(0), chars.append(0)
                 if marks and texts[i]:
-                    raw, drop = texts[i].encode(), {(m["at"], m["h1"], m["h2"]) for m in marks}
-                    left = []
-                    for first, last, lines in chunks(raw):
-                        piece = _body(raw[first:last])
-                        if _eligible(piece, lines) and (first, *_key(piece)) in drop:
+                    raw, drop, spans = texts[i].encode(), {}, []
+                    for m in marks:
+                        drop.setdefault((m["at"], m["h1"], m["h2"]), []).append((m["first"], m["last"]))
+                    places = {m["at"] for m in marks}
+                    for first, last, _ in chunks(raw, least):
+                        if first in places and (ranges := drop.get((first, *_key(_body(raw[first:last]))))):
                             n[-1] += 1
-                            if raw[last - 1 : last] == b"\n" and left and not left[-1].endswith(b"\n"):
-                                left.append(b"\n")
-                        else:
-                            left.append(raw[first:last])
-                    if n[-1]:
-                        new = b"".join(left).rstrip(b" \t\n").decode()
+                            spans += ranges
+                    if spans:
+                        new = _without(raw, spans).decode()
                         chars[-1], texts[i] = len(texts[i]) - len(new), new
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(n, pa.int64()), pa.array(chars, pa.int64())], ["doc_id", "text", "n_chunks_removed", "n_chars_removed"])
 

@@ -247,6 +247,32 @@ def test_passages_inside_long_lines(spark):
         assert out[i].text.startswith(texts[i][:30]) and out[i].text.count("\n") == 1 and out[i].text.endswith(texts[i].rsplit("\n", 1)[1])
 
 
+def test_chunk_bounds_depend_on_near_tokens_only():
+    rng = random.Random(13)
+    for sentence, words in ((10, 60), (60, 60), (17, 51)):
+        for _ in range(40):
+            passage, *other = [" ".join(prose(rng, sentence) + "." for _ in range(k)) for k in (words // sentence, *(rng.randint(1, 6) for _ in range(4)))]
+            sides = [f"{other[i]} {passage} {other[i + 1]}".encode() for i in (0, 2)]
+            a, b = ({t[x:y].rstrip() for x, y, n in linededup.chunks(t, linededup.ANCHOR_WORDS) if n >= linededup.ANCHOR_WORDS} for t in sides)
+            assert a & b
+            assert all(b"".join(t[x:y] for x, y, _ in linededup.chunks(t, linededup.ANCHOR_WORDS)) == t for t in sides)
+
+
+def test_passages_go_to_their_edges(spark):
+    rng = random.Random(14)
+    passages = [" ".join(prose(rng, n) + "." for _ in range(60 // n)) for n in (10, 60, 20)]
+    rows, own = [], []
+    for p in passages:
+        for _ in range(2):
+            own.append((prose(rng, rng.randint(20, 40)) + f". schön{len(own)} ", " " + prose(rng, rng.randint(20, 40)) + "."))
+            rows.append(own[-1][0] + p + own[-1][1])
+    rows += ["", None, "the same seven words stand here again", "so the same seven words stand here again"]
+    out = {r.doc_id: r for r in linededup.dedup(spark.createDataFrame(list(enumerate(rows)) + [(None, rows[0])], "doc_id long, text string"), extend=True).collect()}
+    for i, (a, b) in enumerate(own):
+        assert out[i].text == (a + b[1:] if i % 2 else rows[i]), i
+    assert [out[i].text for i in (6, 7, 8, 9, None)] == rows[6:] + rows[:1]
+
+
 def test_language_id(spark):
     rng = random.Random(2)
     vocab = {"aa": ["the", "and", "thing", "with"], "bb": ["der", "und", "schön", "nicht"], "cc": ["que", "los", "niño", "para"]}
