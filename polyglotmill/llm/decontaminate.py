@@ -246,34 +246,49 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b" ".join(p for p in (x.strip() for x in out) if p)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, span_limit: int = SPAN_LIMIT, coverage_limit: float = COVERAGE_LIMIT) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, span_limit: int = SPAN_LIMIT, coverage_limit: float = COVERAGE_LIMIT, most: int = MAX_ITEM_WORDS) -> DataFrame:
     """docs without contaminated spans, and without documents that are mostly benchmark; n_chars, if there is one, follows the text.
 
     All columns stay, in their order. A span is cut if it has span_limit words
     or more. A document goes if hit words exceed coverage_limit of its words.
+    The hits of all automata are united on the whole text before that: each
+    pass but the last hands its spans on in a column.
     """
-    names = docs.columns
+    names, shares = docs.columns, automata(benchmark, window, most)
+    marked = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + ["`__spans` array<struct<first:int,last:int>>"])
+    span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
     out = docs
-    for shared in automata(benchmark, window):
+    for k, shared in enumerate(shares):
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, first=k == 0, final=k == len(shares) - 1) -> Iterator[pa.RecordBatch]:
             machine = _automaton(shared, window)
             for batch in batches:
                 at = names.index("text")
-                texts, keep, changed = to_bytes(batch.column(at)), [], {}
+                texts, keep, changed, spans = to_bytes(batch.column(at)), [], {}, []
+                before = [] if first else batch.column(len(names)).to_pylist()
                 for i, text in enumerate(texts):
                     words = split_words(text)
                     hit, _ = machine.scan(words)
+                    if before and before[i]:
+                        hit = np.zeros(len(words), dtype=bool) if hit is None else hit
+                        for s in before[i]:
+                            hit[s["first"] : s["last"]] = True
+                    if not final:
+                        spans.append([{"first": a, "last": b} for a, b in spans_of(hit)])
+                        continue
                     keep.append(hit is None or hit.sum() <= coverage_limit * len(words))
                     if hit is not None and keep[-1]:
                         changed[i] = cut_spans(text, [s for s in spans_of(hit) if s[1] - s[0] >= span_limit]).decode()
-                columns = list(batch.columns)
+                columns, fields = list(batch.columns)[: len(names)], list(batch.schema)[: len(names)]
+                if not final:
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, span)], schema=pa.schema([*fields, pa.field("__spans", span)]))
+                    continue
                 if changed:
                     columns[at] = pa.array([changed.get(i, x) for i, x in enumerate(columns[at].to_pylist())], columns[at].type)
                     if "n_chars" in names:
                         c = names.index("n_chars")
                         columns[c] = pa.array([len(changed[i]) if i in changed else x for i, x in enumerate(columns[c].to_pylist())], columns[c].type)
-                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields)).filter(pa.array(keep, pa.bool_()))
 
-        out = map_arrow(out, run, docs.schema)
+        out = map_arrow(out, run, docs.schema if k == len(shares) - 1 else marked)
     return out

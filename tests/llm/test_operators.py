@@ -181,6 +181,18 @@ def test_decontamination_cuts_spans(spark):
     assert sorted(out) == [1, 3, 4] and out[1].text.startswith("Start é here, ! and c0") and out[1].n_chars == len(out[1].text)
 
 
+@pytest.mark.parametrize("most", [400_000, 25])
+def test_decontamination_unites_the_hits_of_all_chunks(spark, most):
+    a, b = (" ".join(f"{c}{i}" for i in range(20)) for c in "ab")
+    short = [(3, "k1 k2 k3 k4 k5 k6"), (4, "m1 m2 m3 m4 m5 m6")]
+    own = [f"c{i}" for i in range(40)]
+    rows = [(1, " ".join([a, *own[:30], b]), "en", "s", 1), (2, " ".join([*own[:20], short[0][1], short[1][1], *own[20:]]), "en", "s", 1), (3, " ".join([*own, a]), "en", "s", 1), (4, None, None, None, None)]
+    bench = spark.createDataFrame([(1, a), (2, b), *short], "item_id long, text string")
+    out = {r.doc_id: r for r in decontaminate.clean(spark.createDataFrame(rows, DOC).withColumn("items", F.lit(0)), bench, most=most).collect()}
+    assert {i: r.text for i, r in out.items()} == {2: " ".join(own), 3: " ".join(own), 4: None}
+    assert all(r.text is None or r.n_chars == len(r.text) and r["items"] == 0 for r in out.values())
+
+
 def test_shards(docs):
     out = sharding.report(docs, 7).collect()
     sizes = {}
