@@ -66,6 +66,76 @@ def test_near_duplicates_match_brute_force(docs):
     assert neardup.classes(docs.where("doc_id = -1")).count() == 0
 
 
+def exact_classes(rows, similarity=0.8):
+    """Brute force: the smallest id connected by pairs of enough probability Jaccard similarity."""
+    sets = []
+    for i, w in rows:
+        found = [tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))] if w else []
+        sets.append({x: 1 + np.log(found.count(x)) for x in found})
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for n, (i, _) in enumerate(rows):
+        for m in range(n):
+            x, y = sets[n], sets[m]
+            both = x.keys() & y.keys()
+            if len(both) < 0.7 * max(len(x), len(y)):
+                continue
+            j = sum(1 / sum(max(x.get(k, 0) / x[k0], y.get(k, 0) / y[k0]) for k in x.keys() | y.keys()) for k0 in both)
+            if j >= similarity:
+                a, b = sorted((find(i), find(rows[m][0])))
+                root[b] = a
+    return {i: find(i) for i, _ in rows}
+
+
+@pytest.mark.parametrize("block", [128, 3])
+def test_near_duplicates_of_shared_passages(spark, block):
+    rng = random.Random(21)
+    passages = [prose(rng, 12).split() for _ in range(12)]
+    rows = []
+    for i in range(90):  # every bucket on a passage holds many unrelated documents
+        base = [w for p in rng.sample(passages, 6) for w in p]
+        near = list(base)
+        near[rng.randrange(len(near))] = f"x{i}"
+        rows += [(i, base), (1000 + (i * 37) % 90, near)]
+    rows += [(2000 + k, rows[0][1][:-1] + [f"y{k}"]) for k in range(12)]
+    want = exact_classes(rows)
+    made = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.classes(made, block=block).collect()}
+    assert got == want and len(set(want.values())) > 60
+
+
+def test_prefixes_of_similar_texts_meet(spark):
+    rng = random.Random(22)
+    rows, near = [], []
+    for i in range(40):
+        w = prose(rng, 60).split()
+        v = list(w)
+        v[rng.randrange(60)] = "changed"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+    found = {}
+    for r in neardup.prefixes(spark.createDataFrame(rows, "doc_id long, text string"), 0.8).collect():
+        found.setdefault(r.doc_id, set()).add(r.s)
+    sets = dict(zip([i for i, _ in rows], neardup.sets_of([t.encode() for _, t in rows], 5)))
+    for i in range(40):
+        if neardup.probability_jaccard(sets[2 * i], sets[2 * i + 1]) >= 0.8:
+            near.append(i)
+            assert found[2 * i] & found[2 * i + 1]
+    assert len(near) > 10 and all(len(found[i]) <= 0.21 * len(sets[i][0]) + 1 for i in found)
+
+
+def test_keep_one_of_a_repeated_id(spark):
+    rng = random.Random(23)
+    rows = [(1, prose(rng, 30), "a"), (1, prose(rng, 30), "b"), (2, "x y", "c"), (2, "x y", "c"), (None, None, None), (None, None, None)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, __row0 string")
+    first, again = (sorted(map(str, neardup.keep_one(made.repartition(k)).collect())) for k in (1, 5))
+    assert first == again and len(first) == 4 and neardup.keep_one(made.where("false")).count() == 0
+
+
 def test_prob_minhash_estimates_probability_jaccard():
     rng = np.random.default_rng(1)
     a, b = {int(k): float(w) for k, w in zip(range(300), rng.uniform(1, 4, 300))}, {int(k): float(w) for k, w in zip(range(100, 400), rng.uniform(1, 4, 300))}
