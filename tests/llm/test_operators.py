@@ -371,6 +371,67 @@ def test_language_id(spark):
     assert {r.lang_pred for r in langid.predict(test, empty).collect()} == {"und"} and langid.predict(test.where("false"), model).count() == 0
 
 
+def brute_language(texts, model):
+    """Cosines from gram counts in dictionaries, without hashing tricks of arrays."""
+    out = []
+    for t in texts:
+        clean = " ".join(re.sub(r"[\x00-\x40\x5B-\x60\x7B-\x7F]", " ", re.sub("[A-Z]", lambda m: m[0].lower(), t)).split())
+        raw, tf = f" {clean} ".encode() if clean else b" ", {}
+        for n in (2, 3, 4):
+            for i in range(len(raw) - n + 1):
+                code = raw[i]
+                for b in raw[i + 1 : i + n]:
+                    code = code * 0x01000193 % 2**32 ^ b
+                code = (code * 0x9E3779B1 + n * 0x05EBCA6B) % 2**32 >> 20
+                tf[code] = tf.get(code, 0) + 1
+        x = np.zeros(langid.DIMS)
+        for k, v in tf.items():
+            x[k] = np.log1p(v) * model.idf[k]
+        cosines = model.centroids @ (x / max(np.linalg.norm(x), 1e-12))
+        out.append((model.languages[model.owner[int(np.argmax(cosines))]], float(cosines.max())))
+    return out
+
+
+def test_language_id_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(langid, "PIECE", 64)  # texts of several pieces
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(docs)
+    assert max(np.bincount(model.owner)) > 1
+    rows = docs.limit(60).collect()
+    texts = [r.text for r in rows]
+    counts, sizes = langid.gram_counts([t.encode() for t in texts])
+    at, score = model.nearest(counts)
+    for i, (lang, cosine) in enumerate(brute_language(texts, model)):
+        assert model.languages[at[i]] == lang and abs(score[i] - cosine) < 1e-4
+
+
+def test_language_id_rejects_what_it_does_not_know(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    rng = random.Random(5)
+    letters = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(300)) for _ in range(5)]
+    known = ["The cat and the other one are in the house.", "Das ist nicht das Haus, das wir sehen.", "Thank you", "a"]
+    other = [*letters, "Кошка сидит на окне и смотрит на улицу, где идёт дождь.", "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. Jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin oikeuksiin ja vapauksiin ilman rotuun, väriin, sukupuoleen, kieleen tai uskontoon perustuvaa erotusta."]
+    rows = spark.createDataFrame([(i, t, None, "s", 1) for i, t in enumerate(known + other)], DOC)
+    kept = {r.doc_id: r.lang for r in langid.keep_known(rows, model, name=True).collect()}
+    assert sorted(kept) == [0, 1, 2, 3] and kept[1] == "de" and kept[0] == "en"
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1").select("doc_id").distinct()
+    good = docs.join(labels, "doc_id")
+    assert langid.keep_known(good, model).count() == good.count()
+    assert langid.keep_known(docs, model).count() < docs.count()
+
+
+def test_language_id_fits_on_rows_without_ids(spark):
+    base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    nameless = base.withColumn("doc_id", F.lit(None).cast("long"))
+    model = langid.fit(nameless, fit_rows=40)
+    assert model.languages == ["de", "en", "es", "fr"]
+    one = base.limit(1).crossJoin(spark.range(3000)).select("doc_id", "text", F.lit("en").alias("lang"))
+    assert langid.fit(one, fit_rows=10).languages == ["en"]
+    first, again = (langid.fit(base.repartition(k)) for k in (2, 7))
+    assert np.allclose(first.centroids, again.centroids) and np.allclose(first.floor, again.floor)
+
+
 def test_html_pages(spark):
     para = "This is the text of a page that has many of the words of the language in it and so it reads as prose. " * 3
     page = f"""<!DOCTYPE html><head><title>T</title><script>var t="</p><p>no";</script></head><body><header><h2>Site</h2></header><nav><a href=a>Menu</a></nav>
