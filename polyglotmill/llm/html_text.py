@@ -1,21 +1,27 @@
 """HTML extraction (operator 10): two passes of block rules.
 
-Pass one reads the page as tags and text, splits it into blocks at block-level
-tags and classifies each by stop-word density, length and link density. Zones
-decide first: what lies in menus, headers, footers, sidebars, notices, adverts,
-forms, comments, scripts, styles or hidden elements is bad, by tag, role, or a
-word of its class or id; on a page with an article or main element that holds
-text, what lies outside is bad, and inside only link lists are bad. Pass two
-gives each undecided short block the label of its nearest decided neighbours.
+The page is read once as tags and text and split into blocks at block-level
+tags. Pass one classifies every block by stop-word density, length and link
+density; where it lies is evidence beside these. What lies in menus, headers,
+footers, sidebars, notices, adverts, forms, comments, scripts, styles or hidden
+elements is bad, by tag, role, or a word of its class or id; so is what lies
+outside on a page with an article or main element that holds text. Dense
+blocks of some length are good, link lists are bad, and blocks that are short,
+or less dense, stay undecided (less dense ones are bad where there is no
+article around them). Pass two gives each undecided block the label of its
+nearest decided neighbours; in an article it goes only if they are bad on both
+sides.
 
 Good blocks are joined by two newlines in page order. Character references
 are decoded once, white space in a block becomes one space, and nothing else
 is changed.
 
 Cases: null or empty html gives an empty text. Unclosed or unknown tags,
-unclosed comments and scripts, and a lone '<' are handled as browsers do, so
-any string is a page. Equal rows give equal results. Only page_id, url and
-html are read; a page of any length is one row in memory.
+unclosed comments, quotes and scripts, and a lone '<' are handled, so any
+string is a page, in time in proportion to its length: after a quote that
+never ends, quotes up to there don't hide the end of a tag. Equal rows give
+equal results. Only page_id, url and html are read, so other columns can't
+clash. A page of any length is one row in memory. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -58,7 +64,10 @@ BAD_OUTSIDE = frozenset(["header", "topbar"])
 #: If one of these is left open, the start of an article ends it.
 _LEFT_OPEN = frozenset("head title nav header footer menu form".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_TAG_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_TAG_STOP = re.compile(r"[>\"']")
+_RAW_END = {name: re.compile(rf"</{name}\b", re.I) for name in RAW_TAGS}
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HINT = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -86,28 +95,66 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[tuple[str, int, bool, bool, bool]] = []  # text, link chars, bad zone, in article, heading
         self.stack: list[tuple[str, bool, bool]] = []  # tag, bad, article
+        self.open: dict[str, int] = {}  # how often each tag is on the stack
         self.text, self.linked, self.links, self.heading = [], 0, 0, False
+        self.source, self.last_end, self.plain_until = source, source.rfind(">"), 0
         at = 0
         while at < len(source):
-            m = _TOKEN.search(source, at)
-            self._text(source[at : m.start() if m else len(source)])
-            if m is None:
+            start = source.find("<", at)
+            if start < 0 or start > self.last_end:
                 break
-            at = m.end()
-            name = (m[2] or m[5] or "").lower()
-            if not name:
-                if m[0].startswith("<![CDATA["):
-                    self._text(m[0][9:].removesuffix("]]>"))
-                continue
-            if m[1] or m[4]:
-                self._close(name)
-            elif name in RAW_TAGS:
-                end = re.compile(rf"</{name}\b[^>]*>", re.I).search(source, at)
-                at = end.end() if end else len(source)
-            else:
-                self._open(name, m[3] or m[6] or "")
+            end = self._token(start)
+            self._text(source[at:start] if end else source[at : start + 1])
+            at = self._act(start, end) if end else start + 1
+        self._text(source[at:])
         self._flush()
 
+    def _token(self, start: int) -> int:
+        """Where the markup that starts here ends, or 0 if it is text."""
+        source = self.source
+        if source.startswith("<!--", start):
+            end = source.find("-->", start + 4)
+            return end + 3 if end >= 0 else len(source)
+        if source.startswith("<![CDATA[", start):
+            end = source.find("]]>", start + 9)
+            return end + 3 if end >= 0 else len(source)
+        if source.startswith(("<!", "<?"), start) or start < self.plain_until:
+            return source.find(">", start) + 1 if source.startswith(("<!", "<?"), start) or _TAG_NAME.match(source, start + 1) else 0
+        if not (name := _TAG_NAME.match(source, start + 1)):
+            return 0
+        at = name.end()
+        while m := _TAG_STOP.search(source, at):
+            if m[0] == ">":
+                return m.end()
+            at = source.find(m[0], m.end()) + 1
+            if not at:
+                break
+        # A quote never ends, or no tag does: from here on to there, the next > ends a tag.
+        self.plain_until = m.start() + 1 if m else len(source)
+        return source.find(">", start) + 1
+
+    def _act(self, start: int, end: int) -> int:
+        """Handles the markup in source[start:end]; where to go on."""
+        source = self.source
+        if source[start + 1] in "!?":
+            if source.startswith("<![CDATA[", start):
+                self._text(source[start + 9 : end].removesuffix("]]>"))
+            return end
+        tag = _TAG_NAME.match(source, start + 1)
+        name = tag[2].lower()
+        if tag[1]:
+            self._close(name)
+        elif name in RAW_TAGS:
+            close = _RAW_END[name].search(source, end)
+            last = source.find(">", close.end()) if close else -1
+            return last + 1 if last >= 0 else len(source)
+        else:
+            self._open(name, source[tag.end() : end - 1])
+        return end
+
+    def _pop(self) -> None:
+        self.open[self.stack.pop()[0]] -= 1
+
     def _zone(self) -> tuple[bool, bool]:
         return (self.stack[-1][1], self.stack[-1][2]) if self.stack else (False, False)
 
@@ -135,19 +182,19 @@ class Page:
         hints = _hints(attributes) if attributes else set()
         if block:
             self._flush()
-            while self.stack and self.stack[-1][0] in IMPLIED_END and (self.stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or self.stack[-1][0] == name):
-                self.stack.pop()
+            while self.stack and self.stack[-1][0] in IMPLIED_END and (self.stack[-1][0] == "p" or self.stack[-1][0] in _HEADINGS or self.stack[-1][0] == name):
+                self._pop()
             self.links = 0
         if name in VOID_TAGS or attributes.endswith("/") and name in ("svg", "path"):
             return
         bad, article = self._zone()
         if name in ("article", "main") or "@main" in hints or "@article" in hints:
             while self.stack and self.stack[-1][0] in _LEFT_OPEN:
-                self.stack.pop()
+                self._pop()
             bad, article = self._zone()
             article = True
         elif name == "body":
-            self.stack.clear()
+            self.stack.clear(), self.open.clear()
             bad = article = False
         own = name in BAD_TAGS or "\0hidden" in hints or bool(hints & BAD_WORDS) or any("@" + r in hints for r in BAD_ROLES)
         own = own or not article and (name == "header" or bool(hints & BAD_OUTSIDE))
@@ -157,73 +204,81 @@ class Page:
             if own and not block:
                 self._flush()
             self.stack.append((name, bad or own, article))
-            self.heading = name in ("h1", "h2", "h3", "h4", "h5", "h6")
+            self.open[name] = self.open.get(name, 0) + 1
+            self.heading = name in _HEADINGS
 
     def _close(self, name: str) -> None:
         if name == "a":
             self.links = 0
             return
-        if name in BLOCK_TAGS or any(s[0] == name for s in self.stack):
+        if name in BLOCK_TAGS or self.open.get(name):
             self._flush()
             self.heading = False
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] == name:
-                    del self.stack[i:]
-                    break
+            if self.open.get(name):
+                while self.stack[-1][0] != name:
+                    self._pop()
+                self._pop()
+
+
+def stop_density(text: str) -> float:
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
 
 
 def _label(block: tuple[str, int, bool, bool, bool], in_article: bool) -> str:
+    """good, bad, or undecided: near (rather good), short, or low (long, but of low density)."""
     text, linked, bad, article, heading = block
-    links = linked / max(len(text), 1)
+    links, long = linked / max(len(text), 1), len(text) >= LENGTH_HIGH
     if bad or in_article and not article:
         return "bad"
-    if in_article:
-        return "bad" if links > LINKS_HIGH and len(text) < LENGTH_HIGH and not heading else "good" if len(text) >= LENGTH_LOW else "short"
-    if links > LINKS_HIGH or "\N{COPYRIGHT SIGN}" in text and len(text) < LENGTH_HIGH:
+    if links > LINKS_HIGH and not (in_article and (long or heading)):
+        return "bad"
+    if not in_article and not long and "\N{COPYRIGHT SIGN}" in text:
         return "bad"
-    words = _WORD.findall(text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
     if len(text) < LENGTH_LOW:
-        return "bad" if linked else "short"
+        return "bad" if linked and not in_article else "short"
+    stops = stop_density(text)
     if stops >= STOP_HIGH:
-        return "good" if len(text) >= LENGTH_HIGH else "near"
-    return "near" if stops >= STOP_LOW else "bad"
+        return "good" if long or in_article else "near"
+    return "near" if stops >= STOP_LOW else "low" if in_article else "bad"
 
 
-def extract(source: str | None) -> str:
-    if not source:
-        return ""
-    blocks = Page(source).blocks
+def decide(blocks: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
+    """Which blocks (text, link characters, bad zone, in an article, heading) are main text."""
     in_article = any(b[3] and not b[2] for b in blocks)
     first = [_label(b, in_article) for b in blocks]
-    # Nearest decided labels before and after each block, and how far away they are.
+    # In an article only its own blocks count as neighbours, so what lies outside says nothing about it.
+    counts = [f in ("good", "bad") and (not in_article or b[3] and not b[2]) for f, b in zip(first, blocks)]
     n = len(blocks)
-    before, after = [("none", n)] * n, [("none", n)] * n
-    for order, side in ((range(n), before), (range(n - 1, -1, -1), after)):
-        last, far = "none", 0
-        for i in order:
-            far += 1
-            side[i] = (last, far)
-            if first[i] in ("good", "bad"):
-                last, far = first[i], 0
-    good = []
+    before, after = [-1] * n, [n] * n
+    for i in range(1, n):
+        before[i] = i - 1 if counts[i - 1] else before[i - 1]
+        after[n - 1 - i] = n - i if counts[n - i] else after[n - i]
+    out = []
     for i, label in enumerate(first):
-        if label in ("near", "short"):
-            sides = {before[i][0], after[i][0]} - {"none"}
+        if label in ("near", "short", "low"):
+            heading = blocks[i][4]
+            left = first[before[i]] if before[i] >= 0 else None
+            right = first[after[i]] if after[i] < n else None
             if in_article:
-                # In an article only its own blocks count as neighbours: a short one goes with a link list it stands in.
-                inside = [x for x, j in ((before[i], i - before[i][1]), (after[i], i + after[i][1])) if 0 <= j < n and blocks[j][3] and not blocks[j][2]]
-                label = "bad" if len(inside) == 2 and all(x[0] == "bad" for x in inside) and not blocks[i][4] else "good"
-            elif len(sides) == 1:
-                label = sides.pop()
-            elif not sides:
+                label = "bad" if left == right == "bad" and label != "near" and not heading else "good"
+            elif left is None and right is None:
                 label = "good" if label == "near" else "bad"
+            elif left is None or right is None or left == right:
+                label = left or right
+            elif label == "near" or heading and right == "good":
+                label = "good"
             else:
-                nearest = before[i] if before[i][1] < after[i][1] else after[i]
-                label = "good" if label == "near" or blocks[i][4] and after[i][0] == "good" else nearest[0]
-        if label == "good":
-            good.append(blocks[i][0])
-    return "\n\n".join(good)
+                label = left if i - before[i] < after[i] - i else right
+        out.append(label == "good")
+    return out
+
+
+def extract(source: str | None) -> str:
+    if not source:
+        return ""
+    blocks = Page(source).blocks
+    return "\n\n".join(b[0] for b, good in zip(blocks, decide(blocks)) if good)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

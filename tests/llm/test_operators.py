@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -448,6 +449,85 @@ def test_html_pages(spark):
     assert html_text.main_text(rows.where("false")).count() == 0
 
 
+def test_html_broken_markup_takes_linear_time():
+    n = 250_000
+    for page in ("<a " * n, "<a '>' " * 100_000 + '"', "<div>" * 100_000 + "</b>" * 100_000, "<div>" * 100_000 + "</p>" * 100_000, "<script>" + "</script" * n, "<!-- " * n, "<p class=" * 100_000 + ">", "<" * n * 4, "&" * n * 4, "<![CDATA[" * n):
+        begun = time.process_time()
+        html_text.extract(page)
+        assert time.process_time() - begun < 10, page[:20]
+    assert html_text.extract("<p class='a>one</p><p>" + "It is the text that is in the page and it is for you to read as it was. " * 4 + "</p>").endswith("as it was.")
+
+
+def brute_decide(blocks):
+    """Both passes from their description, block by block, with a search for neighbours."""
+    arts = [b for b in blocks if b[3] and not b[2]]
+    kinds = []
+    for text, linked, zone, article, heading in blocks:
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        stops = len([w for w in words if w in html_text.STOP_WORDS]) / len(words) if words else 0
+        share = linked / len(text) if text else 0
+        if zone or (arts and not article):
+            kind = "bad"
+        elif share > 0.33 and not (arts and (heading or len(text) >= 200)):
+            kind = "bad"
+        elif not arts and len(text) < 200 and "©" in text:
+            kind = "bad"
+        elif len(text) < 70:
+            kind = "bad" if not arts and linked else "short"
+        elif stops >= 0.3 and (arts or len(text) >= 200):
+            kind = "good"
+        elif stops >= 0.2:
+            kind = "near"
+        else:
+            kind = "low" if arts else "bad"
+        kinds.append(kind)
+    out = []
+    for i, kind in enumerate(kinds):
+        usable = [j for j, k in enumerate(kinds) if k in ("good", "bad") and (not arts or blocks[j] in arts)]
+        left, right = max([j for j in usable if j < i], default=None), min([j for j in usable if j > i], default=None)
+        if kind in ("near", "short", "low"):
+            sides = [kinds[j] for j in (left, right) if j is not None]
+            if arts:
+                kind = "bad" if sides == ["bad", "bad"] and kind != "near" and not blocks[i][4] else "good"
+            elif not sides:
+                kind = "good" if kind == "near" else "bad"
+            elif len(set(sides)) == 1:
+                kind = sides[0]
+            elif kind == "near" or (blocks[i][4] and kinds[right] == "good"):
+                kind = "good"
+            else:
+                kind = kinds[left] if i - left < right - i else kinds[right]
+        out.append(kind == "good")
+    return out
+
+
+def test_html_passes_match_brute_force():
+    rng = random.Random(31)
+    dense, sparse = "the text of a page that is in it and for you ", "zebra quartz violin hammer lantern copper bridge "
+    labels = set()
+    for _ in range(400):
+        blocks, zones = [], rng.random() < 0.5
+        for k in range(rng.randint(0, 14)):
+            text = (rng.choice([dense, sparse, dense + sparse]) * rng.choice([1, 2, 3, 6]))[: rng.choice([20, 60, 90, 250, 400])].strip() + (" ©" if rng.random() < 0.1 else "") + f" {k}"
+            blocks.append((text, rng.choice([0, 0, 0, 5, len(text)]), rng.random() < 0.15, zones and rng.random() < 0.8, rng.random() < 0.1))
+        got = html_text.decide(blocks)
+        assert got == brute_decide(blocks)
+        labels |= {(zones, g) for g in got}
+    assert len(labels) == 4
+
+
+def test_html_density_counts_on_every_page():
+    dense = "It is the text that is in the page and it is for you to read as it was in the book of the year. " * 3
+    noise = "zebra quartz violin hammer lantern copper bridge marble velvet timber saddle anchor " * 3
+    links = "<ul><li><a href=a>one</a><li><a href=b>two</a></ul>"
+    assert html_text.extract(f"<body><p>{dense}<p>{noise}<p>{dense}") == "\n\n".join([" ".join(dense.split())] * 2)
+    # In an article, a block of low density goes if it stands between link lists, and stays beside text.
+    assert html_text.extract(f"<article><p>{dense}<p>{noise}<p>{dense}</article>").count("zebra") == 3
+    assert html_text.extract(f"<article><p>{dense}</p>{links}<p>{noise}</p>{links}</article>").count("zebra") == 0
+    long = html_text.extract("<body>" + f"<p>{dense}" * 20_000)
+    assert long.count("\n\n") == 19_999
+
+
 def test_html_fixture_pages(spark):
     for r in html_text.main_text(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")).join(spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html"), "page_id").collect():
         body = r.html[r.html.index("<article>") + 9 : r.html.index("</article>")]
