@@ -17,11 +17,11 @@ each assistant turn's body. Offsets are running sums in a window that the
 final aggregation shares its partitioning with, so there is one shuffle.
 
 Cases: null text counts as empty, a null role as an empty one, null parts as
-none. Null turns come first; turns that tie are ordered by role, then by text;
-repeated rows stay, one turn each. A null conversation id is a conversation.
+none. Null turns come first; turns that tie are ordered by role, then by the
+text of their parts as it was before escaping; repeated rows stay, one turn each. A null conversation id is a conversation.
 Parts of an unknown type become <|attachment|> with 0 tokens. Empty tables
-give no rows. Other columns are not read. One conversation is one output row,
-so its whole text must fit a row.
+give no rows. Other columns are not read, so their names can't clash. One
+conversation is one output row, so its whole text, of any length, must fit a row.
 """
 
 from __future__ import annotations
@@ -80,11 +80,12 @@ def visit(part: Column) -> Column:
 def format_chat(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, parts -> conv_id, n_turns, formatted, spans of turns and of loss, attachments, attachment_tokens."""
     parts = F.coalesce(F.col("parts"), F.array().cast(f"array<{PART}>"))
-    rows = messages.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), parts.alias("parts"))
-    rows = rows.select("conv_id", "turn", "role", F.concat(F.lit(START), encode_role(F.col("role")), F.lit("\n")).alias("head"), F.array_join(F.transform("parts", visit), "").alias("body"),
+    # The one shuffle moves the parts; what is made of them is made after it.
+    rows = messages.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), parts.alias("parts")).repartition("conv_id")
+    rows = rows.select("conv_id", "turn", "role", F.array_join(F.transform("parts", lambda p: F.coalesce(p["text"], F.lit(""))), "").alias("raw"), F.concat(F.lit(START), encode_role(F.col("role")), F.lit("\n")).alias("head"), F.array_join(F.transform("parts", visit), "").alias("body"),
         F.transform(F.filter("parts", lambda p: ~p["type"].eqNullSafe("text")), lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), part_tokens(p).alias("tokens"))).alias("attached"))
     rows = rows.withColumn("chunk", F.concat("head", "body", F.lit(END)))
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "chunk")
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "raw", "chunk")
     placed = rows.withColumn("seq", F.row_number().over(order)).withColumn("start", F.sum(F.length("chunk").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.length("chunk"))
     body = F.struct((F.col("start") + F.length("head")).alias("start"), F.length("body").cast("long").alias("length"))
     turn = F.struct("seq", "chunk", F.col("start"), F.when(F.col("role") == "assistant", body).alias("loss"), "attached")
