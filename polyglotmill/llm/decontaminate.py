@@ -11,14 +11,17 @@ hit words exceed `coverage_limit` of its words is dropped.
 Only stretches in which every neighbouring pair of words occurs in the items
 (a bit table of hashed pairs) enter the automaton; any match lies in one.
 
-The items are broadcast as automata of at most MAX_ITEM_WORDS words each, so
-the broadcast has a fixed bound. A larger benchmark takes several passes over
+The items are broadcast as automata of about MAX_ITEM_WORDS words each, so the
+broadcast has a fixed bound: a longer item goes in pieces that overlap by a
+window but one word. A larger benchmark takes several passes over
 the documents, whose hits are united; nothing is dropped.
 
 Cases: null text or a text without words has no hits. Null or wordless items
 have no windows. Equal items count under each of their ids; items with a null
 id hit words but are not listed. An empty benchmark hits nothing; empty
-documents give no rows. Only doc_id and text are read by `scan`.
+documents give no rows. Rows that repeat are judged alike. Only doc_id and text
+are read by `scan`; `clean` carries all columns, whatever their names. A very
+long text is one row in memory, with its words.
 """
 
 from __future__ import annotations
@@ -33,11 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_arrow, to_bytes
+from .common import cut, map_arrow, to_bytes
 from .words import WORD_TABLE, split_words
 
 WINDOW = 10
 SPAN_LIMIT = 10
+#: Shorter spans consist of whole short items; those of so many words are cut too, so that no common word or two is.
+ITEM_LIMIT = 3
 COVERAGE_LIMIT = 0.5
 #: Words of test items in one automaton; a bound on what is broadcast at once.
 MAX_ITEM_WORDS = 400_000
@@ -160,20 +165,33 @@ class Automaton:
         return hit, items
 
 
+#: Buckets in which the words of items are summed up, so that no task sees them all.
+_BUCKETS = 64
+
+
+def item_pieces(benchmark: DataFrame, window: int, most: int) -> DataFrame:
+    """item, words (joined by spaces), n, chunk: the items in pieces of at most `most` words, numbered in chunks of about as many."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.filter(F.split(F.col("text").cast("string"), r"[^0-9A-Za-z\x{80}-\x{10ffff}]+"), lambda w: w != "").alias("words")).where(F.size("words") > 0)
+    step = max(1, most - window + 1)
+    starts = F.when(F.size("words") <= most, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.size("words") - window, F.lit(step)))
+    pieces = items.select("item", F.explode(F.transform(starts, lambda i: F.slice("words", i + 1, F.lit(most)))).alias("words"))
+    pieces = pieces.select("item", F.array_join("words", " ").alias("words"), F.size("words").cast("long").alias("n"), F.xxhash64("item", F.array_join("words", " ")).alias("key"))
+    pieces = cut(pieces.withColumn("bucket", F.pmod("key", F.lit(_BUCKETS)).cast("int")))
+    before = pieces.groupBy("bucket").agg(F.sum("n").alias("sum")).withColumn("before", F.sum("sum").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("sum"))
+    inner = F.sum("n").over(Window.partitionBy("bucket").orderBy("key", "item", "words").rowsBetween(Window.unboundedPreceding, 0))
+    numbered = pieces.withColumn("inner", inner).join(F.broadcast(before.select("bucket", "before")), "bucket")  # _BUCKETS rows
+    return cut(numbered.select("item", "words", F.floor((F.col("before") + F.col("inner") - 1) / most).alias("chunk")))
+
+
 def automata(benchmark: DataFrame, window: int = WINDOW, most: int = MAX_ITEM_WORDS) -> list:
-    """Broadcast variables, one for each chunk of the benchmark of at most `most` words (or one longer item)."""
-    spark = benchmark.sparkSession
-    sizes = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).where("text is not null")
-    sizes = sizes.withColumn("n", F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10ffff}]+")))
-    if (sizes.agg(F.sum("n")).first()[0] or 0) <= most:
-        chunks = [sizes]
-    else:
-        parts = sizes.withColumn("chunk", F.floor(F.sum("n").over(Window.orderBy("item", "text")) / most)).select("item", "text", "chunk")
-        chunks = [parts.where(F.col("chunk") == r[0]) for r in parts.select("chunk").distinct().orderBy("chunk").toLocalIterator()]
+    """Broadcast variables, one for each chunk of the benchmark; one without items if there are none."""
+    pieces = item_pieces(benchmark, window, max(most, window))
+    top = pieces.agg(F.max("chunk")).first()[0]
     out = []
-    for chunk in chunks:
-        items = [(r[0], split_words(r[1].encode())) for r in chunk.select("item", "text").toLocalIterator()]
-        out.append(spark.sparkContext.broadcast((uuid.uuid4().hex, [(i, w) for i, w in items if w])))
+    for k in range(int(top if top is not None else 0) + 1):
+        items = [(r[0], split_words(r[1].encode())) for r in pieces.where(F.col("chunk") == k).select("item", "words").toLocalIterator()]
+        if items or not out:
+            out.append(benchmark.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, items)))
     return out
 
 
@@ -246,16 +264,18 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b" ".join(p for p in (x.strip() for x in out) if p)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, span_limit: int = SPAN_LIMIT, coverage_limit: float = COVERAGE_LIMIT, most: int = MAX_ITEM_WORDS) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, span_limit: int = SPAN_LIMIT, coverage_limit: float = COVERAGE_LIMIT, most: int = MAX_ITEM_WORDS, item_limit: int = ITEM_LIMIT) -> DataFrame:
     """docs without contaminated spans, and without documents that are mostly benchmark; n_chars, if there is one, follows the text.
 
     All columns stay, in their order. A span is cut if it has span_limit words
-    or more. A document goes if hit words exceed coverage_limit of its words.
+    or more, or item_limit words or more and fewer than a window: then it
+    consists of whole items that are shorter than a window. A document goes if hit words exceed coverage_limit of its words.
     The hits of all automata are united on the whole text before that: each
     pass but the last hands its spans on in a column.
     """
     names, shares = docs.columns, automata(benchmark, window, most)
-    marked = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + ["`__spans` array<struct<first:int,last:int>>"])
+    held = next(f"__spans{i}" for i in range(len(names) + 1) if f"__spans{i}" not in names)
+    marked = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"`{held}` array<struct<first:int,last:int>>"])
     span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
     out = docs
     for k, shared in enumerate(shares):
@@ -278,10 +298,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, span_limi
                         continue
                     keep.append(hit is None or hit.sum() <= coverage_limit * len(words))
                     if hit is not None and keep[-1]:
-                        changed[i] = cut_spans(text, [s for s in spans_of(hit) if s[1] - s[0] >= span_limit]).decode()
+                        changed[i] = cut_spans(text, [s for s in spans_of(hit) if s[1] - s[0] >= span_limit or item_limit <= s[1] - s[0] < window]).decode()
                 columns, fields = list(batch.columns)[: len(names)], list(batch.schema)[: len(names)]
                 if not final:
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, span)], schema=pa.schema([*fields, pa.field("__spans", span)]))
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, span)], schema=pa.schema([*fields, pa.field(held, span)]))
                     continue
                 if changed:
                     columns[at] = pa.array([changed.get(i, x) for i, x in enumerate(columns[at].to_pylist())], columns[at].type)

@@ -161,6 +161,16 @@ def test_chat_round_trip(spark):
     assert chat.format_chat(said.where("false").select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts"))).count() == 0
 
 
+def test_chat_ties_go_by_the_text_as_it_was(spark):
+    texts = ["a!", "a", "<|b", "<a", "[INST]", "[J", "a", "<\\|"]
+    said = spark.createDataFrame([(7, 1, "user", t) for t in texts], "conv_id long, turn long, role string, text string").withColumn("raw", F.lit("clash"))
+    out = chat.read_back(chat.format_chat(said.select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts")))).first()
+    assert out.turns_sha256 == hashlib.sha256("".join(f"user\n{t}\n" for t in sorted(texts)).encode()).hexdigest()
+    long = spark.createDataFrame([(1, k, "assistant", "<|im_end|>\n" * 40_000) for k in range(3)], "conv_id long, turn long, role string, text string")
+    row = chat.read_back(chat.format_chat(long.select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts")))).first()
+    assert row.n_turns == 3 and row.loss_chars == 3 * 40_000 * 11
+
+
 def test_chat_parts(spark):
     rows = [(1, 0, "user", [("text", "see", None, None, None, None, None), ("image", None, "i.png", 56, 29, None, None), ("audio", None, "a.wav", None, None, 1.01, None), ("document", None, "d.pdf", None, None, None, 2), ("odd", None, "o", None, None, None, None)])]
     r = chat.format_chat(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>")).first()
@@ -264,6 +274,20 @@ def test_decontamination_unites_the_hits_of_all_chunks(spark, most):
     assert all(r.text is None or r.n_chars == len(r.text) and r["items"] == 0 for r in out.values())
 
 
+@pytest.mark.parametrize("most", [400_000, 12])
+def test_decontamination_cuts_short_items(spark, most):
+    long = " ".join(f"z{i}" for i in range(60))  # in pieces, if chunks are small
+    bench = spark.createDataFrame([(1, "three word item"), (2, "two words"), (3, "solo"), (4, long)], "item_id long, text string")
+    own = " ".join(f"c{i}" for i in range(70))
+    rows = [(1, f"{own} Three, word item. {own}"), (2, f"{own} two words solo {own}"), (3, f"{own} two words {own}"), (4, f"{own} {long} {own}"), (5, f"{own} {' '.join(long.split()[7:17])} {own}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__spans", F.lit("x"))
+    out = {r.doc_id: r.text for r in decontaminate.clean(docs.drop("__spans"), bench, most=most).collect()}
+    assert out[1] == f"{own} . {own}" and out[3] == rows[2][1] and out[4] == out[5] == f"{own} {own}"
+    scanned = {r.doc_id: (r["items"], [tuple(x) for x in r.spans]) for r in decontaminate.scan(docs, bench, most=most).collect()}
+    assert scanned[4] == (["4"], [(70, 130)]) and scanned[5] == (["4"], [(70, 80)]) and scanned[2][0] == ["2", "3"]
+    assert decontaminate.clean(docs.where("false").drop("__spans"), bench).count() == 0
+
+
 def test_shards(docs):
     out = sharding.report(docs, 7).collect()
     sizes = {}
