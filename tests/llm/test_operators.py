@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from polyglotmill.llm.common import cut
 from polyglotmill.llm import ann, chat, decontaminate, html_text, langid, linededup, mixing, neardup, secrets, sharding
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -295,11 +296,38 @@ def test_shards(docs):
         sizes.setdefault(r.shard, []).append(r.slot)
     assert len(out) == docs.count() and max(map(len, sizes.values())) - min(map(len, sizes.values())) <= 1
     assert all(sorted(s) == list(range(len(s))) for s in sizes.values())
+    # Brute force of what a row holds.
+    want = sorted((str(r.doc_id), len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode())) for r in docs.collect())
+    assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in out) == want
     placed = {r.doc_id: r.shard for r in out if r.doc_id is not None and 200 <= r.doc_id < 212}
     assert len(set(placed.values())) <= 2  # twelve equal texts, shards of about 13
-    mine = sharding.place(docs.withColumn("slot", F.lit("old")).withColumn("hub", F.lit(1)), 7)
-    assert mine.count() == docs.count() and set(docs.columns) < set(mine.columns)
+    mine = sharding.place(docs.withColumn("slot", F.lit("old")).withColumn("hub", F.lit(1)).withColumn("__key0", F.lit(2)), 7)
+    assert mine.count() == docs.count() and set(docs.columns) | {"hub", "__key0"} < set(mine.columns)
+    assert sorted(map(str, mine.select("doc_id", "text").collect())) == sorted(map(str, docs.select("doc_id", "text").collect()))
     assert sharding.report(docs.where("false")).count() == 0 and sharding.report(docs.limit(2)).count() == 2
+    assert sharding.place(docs.where("false")).count() == 0
+
+
+def spread(spark, hub_sql, n, shards):
+    base = cut(spark.sql(f"select id as doc_id, md5(string({hub_sql})) as hub, id as key from range({n})"))
+    report = []
+    out = sharding.assign(base, shards, report=report).toPandas()
+    assert len(report) < sharding.ROUNDS and set(out.groupby("shard").size()) == {n // shards}
+    return out.groupby("hub").shard.agg(["size", "nunique"]).query("size > 1"), out
+
+
+def test_shards_keep_groups_whole(spark):
+    # Groups that fit a shard, with room: none is split.
+    hubs, _ = spread(spark, "case when id < 1200 then floor(id / 8) when id < 2200 then 1000 + floor(id / 2) else 10000 + id end", 8000, 20)
+    assert len(hubs) == 650 and hubs["nunique"].max() == 1
+
+
+def test_shards_gather_a_group_larger_than_a_shard(spark):
+    hubs, out = spread(spark, "case when id < 2700 then 1 when id < 3000 then 2 else 10000 + id end", 8000, 20)
+    # A third of all rows fills seven of twenty shards of 400, one of 300 stays in one or two.
+    assert hubs["nunique"].max() <= 8 and hubs["nunique"].min() <= 2
+    counts = out[out.hub == hubs["size"].idxmax()].groupby("shard").size().sort_values(ascending=False)
+    assert counts.head(6).min() >= 350
 
 
 def test_mixture(docs):
