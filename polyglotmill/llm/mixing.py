@@ -1,38 +1,47 @@
 """Mixing sources to target weights (operator 7): iterative proportional fitting, in DataFrame operations only.
 
-Documents are counted into cells (source, language, topic) with their tokens.
-Raking scales each cell's weight so that the weighted tokens meet the target
-share of every source, then of every language, then of every topic, ROUNDS
-times. A document is kept with probability min(1, c * weight), decided by a hash
-of its id. c is calibrated so that KEEP_SHARE of all tokens are expected to be
-kept: tokens beyond a probability of one are spread over the other cells. In
-expectation the kept tokens have the target shares but for cells that are kept
-whole.
-
-Targets: shares proportional to tokens ** TEMPERATURE for each value of a
-dimension (a tempered mix), unless explicit shares are given. The topic is a
-rule over text shape: see `topic`. The cells are as many as the distinct
-triples; the driver sees none of them.
+Documents are counted into cells (source, language, topic) with their tokens. A
+document is kept with the probability of its cell, decided by a hash of its id.
+Raking finds the probabilities: they start at KEEP_SHARE, and each step scales
+the cells of every source, then of every language, then of every topic, so that
+the tokens expected to be kept meet the value's target, but never beyond a
+probability of one. The bound is inside the loop, so what a whole cell can't
+give is asked of the others, in all three dimensions, until the largest miss
+of a round is TOLERANCE of the kept tokens, or for ROUNDS rounds.
+
+Targets: KEEP_SHARE of all tokens in shares proportional to tokens **
+TEMPERATURE for each value of a dimension (a tempered mix), unless explicit
+shares are given. No value can give more tokens than it has: such a target is
+lowered to them, and the rest is shared by the other values in proportion. If
+explicit shares leave too little to share, fewer tokens are kept. `marginals`
+reports what was asked, targeted and met. The topic is a rule over text shape:
+see `topic`; `rule` replaces it. The cells are as many as the distinct triples;
+the driver sees sums only.
 
 Cases: null source, language or topic is the value '(none)'. Null text has no
 tokens; a text of spaces or line ends only has none either. Cells without
-tokens get weight 1. A null doc_id is decided by the text 'null'; repeated rows
-are decided alike. An empty table gives no rows. Only the named columns are
-read; `sample` returns all columns unchanged.
+tokens get weight and probability 1. A null doc_id is decided by the text
+'null'; repeated rows are decided alike, and ties can't arise. Very long texts
+are counted in place. An empty table gives no rows. Only the named columns are
+read; `sample` returns all columns unchanged, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
 
 DIMENSIONS = ("source", "lang", "topic")
 TEMPERATURE = 0.7
-ROUNDS = 8
+ROUNDS = 40
+TOLERANCE = 1e-3
 KEEP_SHARE = 0.8
-CALIBRATIONS = 6
+#: Steps in which targets beyond what there is are lowered; each lowers one more value at least, or is the last.
+FILLS = 12
 SEED = "mix-1"
 SHORT_TOKENS, LONG_TOKENS, LINE_TOKENS = 60, 800, 12
 
@@ -47,38 +56,62 @@ def topic(n: Column, lines: Column) -> Column:
     return F.when(n < SHORT_TOKENS, "short").when(n < lines * LINE_TOKENS, "listed").when(n >= LONG_TOKENS, "long").otherwise("prose")
 
 
-def described(docs: DataFrame) -> DataFrame:
+def described(docs: DataFrame, rule: Callable = topic) -> DataFrame:
     """doc_id, source, lang, topic, tokens of every row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     rows = docs.select("doc_id", *[F.coalesce(F.col(c).cast("string"), F.lit("(none)")).alias(c) for c in ("source", "lang")], tokens(text).alias("tokens"), lines.alias("lines"))
-    return rows.select("doc_id", "source", "lang", topic(F.col("tokens"), F.col("lines")).alias("topic"), "tokens")
-
+    return rows.select("doc_id", "source", "lang", F.coalesce(rule(F.col("tokens"), F.col("lines")), F.lit("(none)")).alias("topic"), "tokens")
 
-def rake(cells: DataFrame, rounds: int = ROUNDS, temperature: float = TEMPERATURE, targets: dict[str, dict[str, float]] | None = None) -> DataFrame:
-    """cells (source, lang, topic, tokens) with `weight`.
 
-    The windows are over cells, not documents. A dimension's targets are its
-    values' shares of all target mass; explicit ones are given by value.
-    """
-    now = cells.withColumn("weight", F.lit(1.0))
-    every = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+def goals(cells: DataFrame, keep_share: float, temperature: float, shares: dict[str, dict[str, float]] | None) -> DataFrame:
+    """dim, value, tokens, share (asked), target (in tokens) of each value of each dimension."""
+    parts = []
     for d in DIMENSIONS:
-        if targets and d in targets:
-            given = F.create_map(*[F.lit(x) for kv in targets[d].items() for x in kv])[F.col(d)]
-            now = now.withColumn(f"to_{d}", F.coalesce(given, F.lit(0.0)) * every)
-        else:
-            sizes = cells.groupBy(d).agg(F.pow(F.sum("tokens").cast("double"), F.lit(temperature)).alias("mass"))
-            mass = float(sizes.agg(F.sum("mass")).first()[0] or 0) or 1.0
-            now = now.join(sizes.select(d, (F.col("mass") / mass * every).alias(f"to_{d}")), d)
-    now = cut(now)
+        part = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").cast("double").alias("tokens"))
+        mass = F.pow("tokens", F.lit(temperature))
+        if shares and d in shares:
+            given = F.create_map(*[F.lit(x) for v, share in shares[d].items() for x in (v, float(share))])
+            mass = F.coalesce(given[F.col("value")], F.lit(0.0))
+        parts.append(part.select(F.lit(d).alias("dim"), "value", "tokens", mass.alias("mass")))
+    sizes = cut(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    totals = {r["dim"]: r for r in sizes.groupBy("dim").agg(F.sum("mass").alias("mass"), F.sum("tokens").alias("tokens")).collect()}  # three rows
+    dims = lambda values: F.create_map(*[x for d, v in values.items() for x in (F.lit(d), F.lit(float(v)))])[F.col("dim")]
+    if not totals:
+        return sizes.select("dim", "value", "tokens", F.lit(0.0).alias("share"), F.lit(0.0).alias("target"))
+    sizes = sizes.select("dim", "value", "tokens", (F.col("mass") / dims({d: r["mass"] or 1.0 for d, r in totals.items()})).alias("share"))
+    keep = {d: keep_share * r["tokens"] for d, r in totals.items()}
+    scale = dict(keep)
+    for _ in range(FILLS):
+        full = F.col("share") * dims(scale) >= F.col("tokens")
+        sums = sizes.groupBy("dim").agg(F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("share"))).alias("rest")).collect()  # three rows
+        new = {r["dim"]: (keep[r["dim"]] - r["full"]) / r["rest"] if r["rest"] > 0 else scale[r["dim"]] for r in sums}
+        if new == scale:
+            break
+        scale = new
+    return cut(sizes.withColumn("target", F.least("tokens", F.col("share") * dims(scale))))
+
+
+def rake(cells: DataFrame, goal: DataFrame, keep_share: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[DataFrame, float]:
+    """cells (source, lang, topic, tokens) with `probability`, and the largest miss of the last round, as a share of the kept tokens."""
+    now = cells.withColumn("probability", F.lit(keep_share))
+    for d in DIMENSIONS:
+        now = now.join(goal.where(F.col("dim") == d).select(F.col("value").alias(d), F.col("target").alias(f"to_{d}")), d)
+    now, miss = cut(now), 0.0
+    kept = float(goal.where(F.col("dim") == DIMENSIONS[0]).agg(F.sum("target")).first()[0] or 0) or 1.0
     for _ in range(rounds):
+        now = now.withColumn("miss", F.lit(0.0))
         for d in DIMENSIONS:
-            have = F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(d))
-            factor = F.when(have > 0, F.col(f"to_{d}") / have).otherwise(1.0)
-            now = now.withColumn("weight", F.col("weight") * factor)
+            have = now.groupBy(d).agg(F.sum(F.col("tokens") * F.col("probability")).alias("have"))
+            now = now.join(have, d).withColumn("miss", F.greatest("miss", F.abs(F.col("have") - F.col(f"to_{d}")) / kept))
+            factor = F.when(F.col("have") > 0, F.col(f"to_{d}") / F.col("have")).otherwise(1.0)
+            now = now.withColumn("probability", F.least(F.lit(1.0), F.col("probability") * factor)).drop("have")
         now = cut(now)
-    return now.select(*DIMENSIONS, "tokens", "weight")
+        miss = float(now.agg(F.max("miss")).first()[0] or 0)
+        now = now.drop("miss")
+        if miss <= tolerance:
+            break
+    return now.select(*DIMENSIONS, "tokens", "probability"), miss
 
 
 def uniform(key: Column, seed: str = SEED) -> Column:
@@ -86,33 +119,43 @@ def uniform(key: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null"))).cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def cell_probabilities(rows: DataFrame, keep_share: float = KEEP_SHARE, **options) -> DataFrame:
-    """source, lang, topic, weight, probability of every cell of the described rows. The driver sees sums only."""
+def _raked(rows: DataFrame, keep_share: float = KEEP_SHARE, temperature: float = TEMPERATURE, targets: dict | None = None, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame, float]:
     cells = cut(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")))
-    raked = cut(rake(cells, **options))
-    total = float(raked.agg(F.sum("tokens")).first()[0] or 0)
-    c = keep_share
-    for _ in range(CALIBRATIONS):
-        full = F.col("weight") * c >= 1
-        whole, rest = raked.agg(F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("tokens") * F.col("weight")))).first()
-        c = (keep_share * total - float(whole or 0)) / rest if rest else c
+    goal = goals(cells, keep_share, temperature, targets)
+    raked, miss = rake(cells, goal, keep_share, rounds)
     some = F.col("tokens") > 0
-    return raked.select(*DIMENSIONS, F.when(some, F.col("weight")).otherwise(1.0).alias("weight"), F.when(some, F.least(F.lit(1.0), F.col("weight") * c)).otherwise(1.0).alias("probability"))
+    raked = raked.select(*DIMENSIONS, "tokens", F.when(some, F.col("probability") / keep_share).otherwise(1.0).alias("weight"), F.when(some, F.col("probability")).otherwise(1.0).alias("probability"))
+    return cut(raked), goal, miss
+
+
+def cell_probabilities(rows: DataFrame, **options) -> DataFrame:
+    """source, lang, topic, weight (relative to KEEP_SHARE), probability of every cell of the described rows."""
+    return _raked(rows, **options)[0].drop("tokens")
+
+
+def marginals(docs: DataFrame, rule: Callable = topic, **options) -> tuple[DataFrame, float]:
+    """dim, value, tokens, share (asked), target and expected (tokens kept) of every value; and the largest miss of the last round."""
+    raked, goal, miss = _raked(described(docs, rule), **options)
+    met = [raked.groupBy(F.lit(d).alias("dim"), F.col(d).alias("value")).agg(F.sum(F.col("tokens") * F.col("probability")).alias("expected")) for d in DIMENSIONS]
+    return goal.join(met[0].unionByName(met[1]).unionByName(met[2]), ["dim", "value"]), miss
 
 
-def probabilities(docs: DataFrame, **options) -> DataFrame:
+def probabilities(docs: DataFrame, rule: Callable = topic, **options) -> DataFrame:
     """doc_id, source, lang, topic, tokens, weight, probability, kept of every row."""
-    rows = described(docs)
+    rows = described(docs, rule)
     out = rows.join(cell_probabilities(rows, **options), list(DIMENSIONS))
     return out.select("doc_id", *DIMENSIONS, "tokens", "weight", "probability", (uniform(F.col("doc_id")) < F.col("probability")).alias("kept"))
 
 
-def sample(docs: DataFrame, **options) -> DataFrame:
+def sample(docs: DataFrame, rule: Callable = topic, **options) -> DataFrame:
     """The kept documents with their columns as they are."""
-    ready = cell_probabilities(described(docs), **options)
-    ready = ready.select(*[F.col(c).alias(f"__{c}") for c in DIMENSIONS], F.col("probability").alias("__p"))
+    free = lambda stem: next(f"{stem}{i}" for i in range(len(docs.columns) + 1) if f"{stem}{i}" not in docs.columns)
+    names, chance = {d: free(f"__{d}") for d in DIMENSIONS}, free("__chance")
+    ready = cell_probabilities(described(docs, rule), **options)
+    ready = ready.select(*[F.col(d).alias(names[d]) for d in DIMENSIONS], F.col("probability").alias(chance))
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    own = {"source": F.coalesce(docs["source"].cast("string"), F.lit("(none)")), "lang": F.coalesce(docs["lang"].cast("string"), F.lit("(none)")), "topic": topic(tokens(text), lines)}
-    match = (own["source"] == ready["__source"]) & (own["lang"] == ready["__lang"]) & (own["topic"] == ready["__topic"])
-    return docs.join(ready, match).where(uniform(docs["doc_id"]) < F.col("__p")).select(*[docs[c] for c in docs.columns])
+    own = {d: F.coalesce(docs[d].cast("string"), F.lit("(none)")) for d in ("source", "lang")}
+    own["topic"] = F.coalesce(rule(tokens(text), lines), F.lit("(none)"))
+    match = (own["source"] == ready[names["source"]]) & (own["lang"] == ready[names["lang"]]) & (own["topic"] == ready[names["topic"]])
+    return docs.join(ready, match).where(uniform(docs["doc_id"]) < F.col(chance)).select(*[docs[c] for c in docs.columns])

@@ -87,28 +87,36 @@ from sized group by conv_id"""
 
 
 def _mix_sql() -> str:
-    steps, last = [], "c0"
-    for i in range(mixing.ROUNDS):
-        for d in mixing.DIMENSIONS:
-            name = f"c{len(steps) + 1}"
-            steps.append(f"{name} as (select * replace (weight * case when sum(tokens * weight) over (partition by {d}) > 0 then to_{d} / sum(tokens * weight) over (partition by {d}) else 1.0 end as weight) from {last})")
-            last = name
-    calibrated = f"k0 as (select {mixing.KEEP_SHARE}::double as c), " + ", ".join(
-        f"k{i + 1} as (select ({mixing.KEEP_SHARE}::double * sum(tokens) - coalesce(sum(tokens) filter (weight * c >= 1), 0)) / sum(tokens * weight) filter (weight * c < 1) as c from {last}, k{i} group by k{i}.c)" for i in range(mixing.CALIBRATIONS)
-    )
-    targets = ", ".join(f"t_{d} as (select {d}, pow(sum(tokens)::double, {mixing.TEMPERATURE}) as mass from cells group by {d})" for d in mixing.DIMENSIONS)
-    to = ", ".join(f"mass_{d}.m / (select sum(mass) from t_{d}) * (select sum(tokens) from cells)::double as to_{d}" for d in mixing.DIMENSIONS)
-    joins = " ".join(f"join (select {d}, mass as m from t_{d}) mass_{d} using ({d})" for d in mixing.DIMENSIONS)
+    dims = mixing.DIMENSIONS
+    sizes = " union all ".join(f"select '{d}' as dim, {d} as value, sum(tokens)::double as tokens from cells group by {d}" for d in dims)
+    fills, last = [], "x0"
+    for k in range(mixing.FILLS):
+        fills.append(f"""x{k + 1} as (select dim, case when rest > 0 then (keep - full_) / rest else x end as x, keep from (
+  select s.dim, any_value(x) as x, any_value(keep) as keep, sum(case when share * x >= tokens then tokens else 0.0 end) as full_, sum(case when share * x >= tokens then 0.0 else share end) as rest
+  from shares s join {last} using (dim) group by s.dim))""")
+        last = f"x{k + 1}"
+    joins = " ".join(f"join (select value as {d}, target as to_{d} from goal where dim = '{d}') using ({d})" for d in dims)
+    step = "(select *, 0.0::double as miss from (select round, source, lang, topic, tokens, p, to_source, to_lang, to_topic, kept from steps where round = 0 or miss_all > {t} and round < {r}))"
+    step = step.format(t=mixing.TOLERANCE, r=mixing.ROUNDS)
+    for d in dims:
+        have = f"sum(tokens * p) over (partition by {d})"
+        step = f"(select * replace (greatest(miss, abs({have} - to_{d}) / kept) as miss, least(1.0, p * case when {have} > 0 then to_{d} / {have} else 1.0 end) as p) from {step})"
     return rf"""
-with d as (select doc_id, coalesce(source, '(none)') as source, coalesce(lang, '(none)') as lang, coalesce(text, '') as t from documents),
+with recursive d as (select doc_id, coalesce(source, '(none)') as source, coalesce(lang, '(none)') as lang, coalesce(text, '') as t from documents),
 e as (select doc_id, source, lang, len(regexp_extract_all(t, '[^ \t\n\r]+'))::bigint as tokens, length(t) - length(replace(t, chr(10), '')) + 1 as lines from d),
 f as (select doc_id, source, lang, case when tokens < {mixing.SHORT_TOKENS} then 'short' when tokens < lines * {mixing.LINE_TOKENS} then 'listed' when tokens >= {mixing.LONG_TOKENS} then 'long' else 'prose' end as topic, tokens from e),
 cells as (select source, lang, topic, sum(tokens)::bigint as tokens from f group by source, lang, topic),
-{targets},
-c0 as (select source, lang, topic, tokens, 1.0::double as weight, {to} from cells {joins}),
-{", ".join(steps)},
-{calibrated},
-w as (select source, lang, topic, case when tokens > 0 then weight else 1.0 end as weight, case when tokens > 0 then least(1.0, weight * (select c from k{mixing.CALIBRATIONS})) else 1.0 end as p from {last})
+sizes as ({sizes}),
+shares as (select dim, value, tokens, pow(tokens, {mixing.TEMPERATURE}) / sum(pow(tokens, {mixing.TEMPERATURE})) over (partition by dim) as share from sizes),
+x0 as (select dim, {mixing.KEEP_SHARE} * sum(tokens) as x, {mixing.KEEP_SHARE} * sum(tokens) as keep from sizes group by dim),
+{", ".join(fills)},
+goal as (select dim, value, least(tokens, share * x) as target from shares join {last} using (dim)),
+steps as (
+  select 0 as round, source, lang, topic, tokens, {mixing.KEEP_SHARE}::double as p, to_source, to_lang, to_topic, (select sum(target) from goal where dim = 'source') as kept, 0.0::double as miss_all from cells {joins}
+  union all
+  select round + 1, source, lang, topic, tokens, p, to_source, to_lang, to_topic, kept, max(miss) over () as miss_all from {step}
+),
+w as (select source, lang, topic, case when tokens > 0 then p / {mixing.KEEP_SHARE} else 1.0 end as weight, case when tokens > 0 then p else 1.0 end as p from steps where round = (select max(round) from steps))
 select doc_id, source, lang, topic, f.tokens, round(weight, 6) as weight, round(p, 6) as probability,
   ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::varchar, 'null')), 1, 8))::bigint / 4294967296.0::double < p as kept
 from f join w using (source, lang, topic)"""

@@ -11,8 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from polyglotmill.llm.common import cut
 from polyglotmill.llm import ann, chat, decontaminate, html_text, langid, linededup, mixing, neardup, secrets, sharding
+from polyglotmill.llm.common import cut
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 EDGES = [(900, None, None, None, None), (901, "", "en", "s", 0), (902, "  \n ", "en", "s", 4), (903, "one two", "en", "s", 7), (903, "one two", "en", "s", 7), (None, "x y z", "de", None, 5), (904, "123 !!", None, "s", 6)]
@@ -333,18 +333,68 @@ def test_shards_gather_a_group_larger_than_a_shard(spark):
 def test_mixture(docs):
     out = mixing.probabilities(docs).collect()
     assert len(out) == docs.count() and all(0 <= r.probability <= 1 for r in out)
-    total = sum(r.tokens for r in out)
-    assert abs(sum(r.tokens * r.weight for r in out) / total - 1) < 1e-6
-    assert abs(sum(r.tokens * r.probability for r in out) / total - mixing.KEEP_SHARE) < 0.02
     # Expected kept rows of the sample are those of the probabilities.
-    kept = sorted(str(r.doc_id) for r in mixing.sample(docs.withColumn("topic", F.lit(0)).withColumn("tokens", F.lit(0))).collect())
-    assert kept == sorted(str(r.doc_id) for r in out if r.kept)
-    assert mixing.sample(docs.where("false")).count() == 0
-    by = {}
-    for r in mixing.probabilities(docs, targets={"source": {"s0": 0.7, "s1": 0.1, "s2": 0.1, "s3": 0.1}}).collect():
-        by[r.source] = by.get(r.source, 0) + r.tokens * r.weight
-    # The long document fills a topic of its own, so the sources' targets can't all be met; they still pull.
-    assert by["s0"] / total > sum(r.tokens * r.weight for r in out if r.source == "s0") / total
+    clash = docs.withColumn("topic", F.lit(0)).withColumn("tokens", F.lit(0)).withColumn("__chance0", F.lit(1)).withColumn("__lang0", F.lit("x"))
+    kept = mixing.sample(clash)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in out if r.kept) and kept.columns == clash.columns
+    assert mixing.sample(docs.where("false")).count() == 0 and mixing.probabilities(docs.where("false")).count() == 0
+
+
+def mixed(spark, n=600):
+    rng = random.Random(41)
+    rows = []
+    for i in range(n):
+        source, lang = ("s0" if rng.random() < 0.4 else rng.choice(["s1", "s2", "s3"])), rng.choice(["en", "en", "en", "de", "fr"])
+        rows.append((i, prose(rng, rng.choice([20, 100, 300, 900])), lang, source, 0))
+    return spark.createDataFrame(rows, DOC)
+
+
+def brute_rake(cells, goal, share, rounds):
+    p = dict.fromkeys(cells, share)
+    for _ in range(rounds):
+        miss = 0
+        for d in range(3):
+            have = {}
+            for c, n in cells.items():
+                have[c[d]] = have.get(c[d], 0) + n * p[c]
+            miss = max(miss, *(abs(have[v] - goal[d, v]) / sum(x for (k, _), x in goal.items() if k == 0) for v in have))
+            p = {c: min(1, x * goal[d, c[d]] / have[c[d]]) for c, x in p.items()}
+        if miss <= mixing.TOLERANCE:
+            break
+    return p
+
+
+def test_mixture_meets_its_targets(spark):
+    docs = mixed(spark)
+    out = mixing.probabilities(docs).collect()
+    found, miss = mixing.marginals(docs)
+    found = {(r.dim, r.value): r for r in found.collect()}
+    total, kept = sum(r.tokens for r in out), sum(r.tokens * r.probability for r in out)
+    assert abs(kept / total - mixing.KEEP_SHARE) < 0.002 and miss < 2 * mixing.TOLERANCE
+    for (dim, value), r in found.items():
+        expected = sum(x.tokens * x.probability for x in out if x[dim] == value)
+        assert abs(expected - r.expected) < 1e-6 * total and abs(expected - r.target) < 0.005 * kept
+        have = sum(x.tokens for x in out if x[dim] == value)
+        assert r.target <= have * (1 + 1e-9) and abs(r.tokens - have) < 1e-6
+    names = sorted({v for _, v in found})
+    assert abs(sum(r.share for (d, _), r in found.items() if d == "source") - 1) < 1e-9 and names
+    cells, goal = {}, {(mixing.DIMENSIONS.index(d), v): r.target for (d, v), r in found.items()}
+    for r in out:
+        cells[r.source, r.lang, r.topic] = cells.get((r.source, r.lang, r.topic), 0) + r.tokens
+    brute = brute_rake(cells, goal, mixing.KEEP_SHARE, mixing.ROUNDS)
+    assert all(abs(brute[r.source, r.lang, r.topic] - r.probability) < 1e-6 for r in out)
+    # The sample itself: hashes of ids decide, so shares come near.
+    got = sum(r.tokens for r in out if r.kept and r.source == "s0") / sum(r.tokens for r in out if r.kept)
+    assert abs(got - found["source", "s0"].target / kept) < 0.06
+
+
+def test_mixture_with_explicit_shares(spark):
+    docs = mixed(spark)
+    found, _ = mixing.marginals(docs, targets={"source": {"s0": 0.7, "s1": 0.1, "s2": 0.1, "s3": 0.1}})
+    found = {(r.dim, r.value): r for r in found.collect()}
+    # s0 has less than 0.7 of what is to be kept: all of it is asked, the rest is shared by the others.
+    assert found["source", "s0"].target == found["source", "s0"].tokens
+    assert abs(found["source", "s1"].target - found["source", "s2"].target) < 1e-6 * found["source", "s1"].target
 
 
 def test_line_chunks(spark):
