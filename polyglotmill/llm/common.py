@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -22,18 +24,40 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="polyglotmill-")
+        atexit.register(shutil.rmtree, found, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
+#: Folders of the scratch tables of this process that `settled` has not deleted.
+_WRITTEN: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df as Parquet to shared storage and read it again: lineage ends there, and a lost executor costs nothing."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """cut(make()); then the scratch tables that make wrote are deleted, since nothing reads them any more."""
+    before = len(_WRITTEN)
+    out = cut(make())
+    own, _WRITTEN[before:] = _WRITTEN[before:-1], _WRITTEN[-1:]
+    for path in own:
+        delete(out.sparkSession, path)
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def sized(rows: Iterator, size: Callable, most: int) -> Iterator[list]:
     """Group rows into lists whose sizes add up to about most; a larger row is alone."""
     held, total = [], 0
