@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), reads all that its predecessor kept,
 and returns the columns of documents; the last one adds the shard. Between
-stages the rows are written as Parquet to shared storage and read again.
+stages the rows are written as Parquet to shared storage and read again; a
+stage's own scratch tables are deleted then.
 
 Cases (nulls, empty texts, repeats, empty tables, further columns) are those
 of the operators: a document without a letter is rejected by the first stage;
@@ -14,12 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from polyglotmill.llm import decontaminate, langid, mixing, neardup, sharding
-from polyglotmill.llm.common import cut, table
+from polyglotmill.llm.common import settled, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that language ID rejects: no letter, or too far from every centroid."""
-    return langid.keep_known(docs, langid.fit(docs))
+    """Drops the documents that language ID rejects, without a letter or too far from every centroid; lang of the others is what it predicts."""
+    return langid.keep_known(docs, langid.fit(docs), name=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,13 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.place(docs)
 
 
-STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mixture", mixture), ("shards", shards)]
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixture", mixture),
+    ("shards", shards),
+]
 
 #: SQL can't express ProbMinHash classes or fitted centroids; tests/llm holds brute-force versions.
 ORACLE_SQL = None
@@ -51,7 +58,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = cut(docs)
+        last = i == len(STAGES) - 1
+        docs = stage(spark, docs, sf_dir) if last else settled(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
     return docs
