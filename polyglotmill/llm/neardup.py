@@ -14,8 +14,9 @@
    the whole texts; 0.8 or more links the two. First all members of a bucket
    are compared with its smallest and its largest id, which settles groups of
    copies. What is then still in different classes is compared in full, in
-   blocks: a bucket of up to BLOCK such members is one block. A larger one is
-   split by a prefix filter: similarity of `s` or more means that the shingles
+   blocks of BLOCK members, every two of which meet; a class of which a bucket
+   holds more than a block only meets the others. A bucket of more than CROWD
+   blocks is first split by a prefix filter: similarity of `s` or more means that the shingles
    that two documents share hold at least `s` of the weight of each, so in any
    common order the two prefixes that hold more than 1 - s of the weight meet.
    The order is by frequency, rarest first, so texts that share only a common
@@ -58,6 +59,8 @@ BANDS, ROWS = 16, 4
 GROUP_BYTES = 1 << 19
 #: Documents compared with each other in one block, and partners of one centre in a group.
 BLOCK, STAR = 128, 512
+#: A bucket of more blocks than this is split by the prefix filter before it is compared.
+CROWD = 16
 #: Cells of the frequency table of the prefix filter.
 CELLS = 1 << 16
 #: Parts that the copies of one word sequence are dealt to when they meet their smallest id.
@@ -209,7 +212,9 @@ def compared(groups: DataFrame, texts: DataFrame, similarity: float, n: int = SH
 
     # Merge joins at every size: what moves then grows as the input does, and nothing is broadcast.
     rows = groups.join(texts.hint("merge"), "doc_id").select("g", "kind", "doc_id", "comp", "text")
-    return map_arrow(rows.repartition("g").sortWithinPartitions("g", "kind", "doc_id"), run, "a long, b long").distinct()
+    # The work of a group is not in proportion to its bytes, so partitions must not be put together by size.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_arrow(rows.repartition(parts, "g").sortWithinPartitions("g", "kind", "doc_id"), run, "a long, b long").distinct()
 
 
 def prefixes(docs: DataFrame, similarity: float, n: int = SHINGLE_WORDS) -> DataFrame:
@@ -272,10 +277,10 @@ def blocks(rows: DataFrame, key: str, block: int = BLOCK) -> DataFrame:
     kind = F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1)
     few = few.select(F.xxhash64(key, F.least("i", "j"), F.greatest("i", "j")).alias("g"), kind.alias("kind"), "doc_id", "comp")
     # Each part of the large class meets each block.
-    held = dealt.where("not apart and parts > 0").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    held = held.select(F.xxhash64(key, F.lit(-1), "i", "part").alias("g"), F.lit(0).alias("kind"), "doc_id", "comp")
-    large = dealt.where("apart").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    large = large.select(F.xxhash64(key, F.lit(-1), "j", "part").alias("g"), F.lit(1).alias("kind"), "doc_id", "comp")
+    held = dealt.where("not apart and parts > 0").withColumn("section", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    held = held.select(F.xxhash64(key, F.lit(-1), "i", "section").alias("g"), F.lit(0).alias("kind"), "doc_id", "comp")
+    large = dealt.where("apart").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).withColumn("section", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    large = large.select(F.xxhash64(key, F.lit(-1), "j", "section").alias("g"), F.lit(1).alias("kind"), "doc_id", "comp")
     return few.unionByName(held).unionByName(large)
 
 
@@ -310,7 +315,7 @@ def joined_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
     return cut(nodes.join(moved.select(F.col("node").alias("comp"), F.col("comp").alias("to")).hint("merge"), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, n: int = SHINGLE_WORDS, block: int = BLOCK) -> DataFrame:
+def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, n: int = SHINGLE_WORDS, block: int = BLOCK, crowd: int = CROWD) -> DataFrame:
     """One row per document: doc_id, class_id (the smallest doc_id of its class), exact_id (the smallest of equal word sequences)."""
     made = cut(sketch(docs, bands, rows, n))
     worded = made.where(F.size("bands") > 0)
@@ -335,8 +340,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     placed = buckets.where("n > 3 and doc_id not in (low, high)").select("bucket", "doc_id").join(labels.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
     apart = cut(undecided(placed, "bucket", block))
     if apart.limit(1).count():
-        groups = blocks(apart.where(F.col("n") + F.col("many") <= block), "bucket", block)
-        crowded = apart.where(F.col("n") + F.col("many") > block)
+        groups = blocks(apart.where(F.col("n") <= crowd * block), "bucket", block)
+        crowded = apart.where(F.col("n") > crowd * block)
         if crowded.limit(1).count():
             rare = prefixes(texts.join(crowded.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), similarity, n)
             parts = crowded.select("bucket", "doc_id", "comp").join(rare.hint("merge"), "doc_id").select(F.xxhash64("bucket", "s").alias("part"), "doc_id", "comp").distinct()

@@ -94,8 +94,8 @@ def exact_classes(rows, similarity=0.8):
     return {i: find(i) for i, _ in rows}
 
 
-@pytest.mark.parametrize("block", [128, 3])
-def test_near_duplicates_of_shared_passages(spark, block):
+@pytest.mark.parametrize("block, crowd", [(128, 16), (3, 16), (3, 1)])
+def test_near_duplicates_of_shared_passages(spark, block, crowd):
     rng = random.Random(21)
     passages = [prose(rng, 12).split() for _ in range(12)]
     rows = []
@@ -107,7 +107,7 @@ def test_near_duplicates_of_shared_passages(spark, block):
     rows += [(2000 + k, rows[0][1][:-1] + [f"y{k}"]) for k in range(12)]
     want = exact_classes(rows)
     made = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
-    got = {r.doc_id: r.class_id for r in neardup.classes(made, block=block).collect()}
+    got = {r.doc_id: r.class_id for r in neardup.classes(made, block=block, crowd=crowd).collect()}
     assert got == want and len(set(want.values())) > 60
 
 
