@@ -47,7 +47,7 @@ FIT_ROWS = 4_000
 #: classes before LONG_CLASS (256 bytes or less) vary more, and have the smaller share.
 REJECT_SHARE, SHORT_SHARE, FLOOR_QUANTILE, LONG_CLASS = 0.6, 0.4, 0.1, 5
 #: One row of so many is held back from the centroids, for the floors.
-HELD_BACK = 4
+HELD_BACK = 8
 #: Length classes: up to 16 bytes, up to 32, and so on; the last has no upper end.
 FIRST_CLASS, CLASSES = 16, 9
 #: Shorter classes than this one are too short to be judged by distance.
@@ -103,9 +103,11 @@ def length_class(sizes: np.ndarray) -> np.ndarray:
 
 
 def unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(counts) * idf
+    x = np.log1p(counts)
+    x *= idf
     norm = np.linalg.norm(x, axis=1, keepdims=True)
-    return x / np.where(norm > 0, norm, 1)
+    x /= np.where(norm > 0, norm, 1)
+    return x
 
 
 @dataclass
@@ -132,9 +134,10 @@ def cluster(x: np.ndarray, k: int, turns: int = 12) -> np.ndarray:
     mean = _scaled(x.mean(axis=0))
     near = x @ mean
     bulk = x[near >= np.quantile(near, 0.1)]
-    axis = bulk.var(axis=0)
+    centred = bulk - bulk.mean(axis=0)
+    axis = np.square(centred).mean(axis=0)
     for _ in range(20):  # the direction in which the bulk differs most
-        axis = _scaled((bulk - bulk.mean(axis=0)).T @ ((bulk - bulk.mean(axis=0)) @ axis) + 1e-12)
+        axis = _scaled(centred.T @ (centred @ axis) + 1e-12)
     order = np.argsort(bulk @ axis, kind="stable")
     c = _scaled(np.array([bulk[part].mean(axis=0) for part in np.array_split(order, min(k, len(bulk)))]))
     for _ in range(turns):
@@ -204,21 +207,25 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS) -
     held = {lang: sum(r[0] == lang and r[1] % HELD_BACK != 0 for r in whole) >= 8 for lang in languages}
     # A language of few rows is fitted on all of them.
     own = [r for r in whole if not held[r[0]] or r[1] % HELD_BACK != 0]
-    names, counts = np.array([r[0] for r in own]), _unpacked([r[4] for r in own])
-    idf = (np.log((1 + len(own)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    x = unit(counts, idf).astype(np.float32)
+    # One language at a time is unpacked, so the driver holds few dense rows.
+    often = np.zeros(DIMS)
+    for r in own:
+        often[np.frombuffer(r[4], dtype=np.uint16).reshape(2, -1)[0]] += 1
+    idf = (np.log((1 + len(own)) / (1 + often)) + 1).astype(np.float32)
     owner, found, floor = [], [], np.zeros((len(languages), CLASSES))
     for k, lang in enumerate(languages):
-        c = cluster(x[names == lang], centroids)
+        c = cluster(unit(_unpacked([r[4] for r in own if r[0] == lang]), idf), centroids)
         owner += [k] * len(c)
         found.append(c)
         tests = [r for r in rows if r[0] == lang and not r[2]] or [r for r in whole if r[0] == lang]
-        cosines = (unit(_unpacked([r[4] for r in tests]), idf) @ c.T).max(axis=1)
         at = length_class(np.array([r[3] for r in tests]))
         for j in range(FIRST_JUDGED, CLASSES):
-            here = cosines[at == j]
+            here = [r[4] for r, kind in zip(tests, at) if kind == j]
             last = floor[k, j - 1]
-            floor[k, j] = max(last, (REJECT_SHARE if j >= LONG_CLASS else SHORT_SHARE) * float(np.quantile(here, FLOOR_QUANTILE))) if len(here) >= 5 else last
+            floor[k, j] = last
+            if len(here) >= 5:
+                cosines = (unit(_unpacked(here), idf) @ c.T).max(axis=1)
+                floor[k, j] = max(last, (REJECT_SHARE if j >= LONG_CLASS else SHORT_SHARE) * float(np.quantile(cosines, FLOOR_QUANTILE)))
     return Model(languages, np.array(owner, int), np.concatenate(found), idf, floor)
 
 
