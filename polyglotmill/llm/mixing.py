@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -42,6 +42,8 @@ TOLERANCE = 1e-3
 KEEP_SHARE = 0.8
 #: Steps in which targets beyond what there is are lowered; each lowers one more value at least, or is the last.
 FILLS = 12
+#: Cells of one task at most, a few MB; they are raked so many rounds a job. More cells are raked by joins, a round a job, to the same result.
+TASK_CELLS, TASK_ROUNDS = 20_000, 5
 SEED = "mix-1"
 SHORT_TOKENS, LONG_TOKENS, LINE_TOKENS = 60, 800, 12
 
@@ -99,14 +101,16 @@ def rake(cells: DataFrame, goal: DataFrame, keep_share: float, rounds: int = ROU
         now = now.join(goal.where(F.col("dim") == d).select(F.col("value").alias(d), F.col("target").alias(f"to_{d}")), d)
     now, miss = cut(now), 0.0
     kept = float(goal.where(F.col("dim") == DIMENSIONS[0]).agg(F.sum("target")).first()[0] or 0) or 1.0
-    for _ in range(rounds):
-        now = now.withColumn("miss", F.lit(0.0))
-        for d in DIMENSIONS:
-            have = now.groupBy(d).agg(F.sum(F.col("tokens") * F.col("probability")).alias("have"))
-            now = now.join(have, d).withColumn("miss", F.greatest("miss", F.abs(F.col("have") - F.col(f"to_{d}")) / kept))
-            factor = F.when(F.col("have") > 0, F.col(f"to_{d}") / F.col("have")).otherwise(1.0)
-            now = now.withColumn("probability", F.least(F.lit(1.0), F.col("probability") * factor)).drop("have")
-        now = cut(now)
+    few = now.count() <= TASK_CELLS
+    done = 0
+    while done < rounds:
+        if few:
+            steps = min(TASK_ROUNDS, rounds - done)
+            now = cut(_rounds_in_a_task(now.coalesce(1), kept, steps, tolerance))
+        else:
+            steps = 1
+            now = cut(_round(now, kept, _joined))
+        done += steps
         miss = float(now.agg(F.max("miss")).first()[0] or 0)
         now = now.drop("miss")
         if miss <= tolerance:
@@ -114,6 +118,37 @@ def rake(cells: DataFrame, goal: DataFrame, keep_share: float, rounds: int = ROU
     return now.select(*DIMENSIONS, "tokens", "probability"), miss
 
 
+def _joined(now: DataFrame, dim: str) -> DataFrame:
+    """`have`: the tokens expected of each cell's value, by partial sums."""
+    return now.join(now.groupBy(dim).agg(F.sum(F.col("tokens") * F.col("probability")).alias("have")), dim)
+
+
+def _windowed(now: DataFrame, dim: str) -> DataFrame:
+    """The same for cells in one partition, where a window needs no exchange."""
+    return now.withColumn("have", F.sum(F.col("tokens") * F.col("probability")).over(Window.partitionBy(dim)))
+
+
+def _round(now: DataFrame, kept: float, have: Callable) -> DataFrame:
+    """Every dimension scaled once, with `miss`: the largest miss that a cell's values had."""
+    now = now.withColumn("miss", F.lit(0.0))
+    for d in DIMENSIONS:
+        now = have(now, d).withColumn("miss", F.greatest("miss", F.abs(F.col("have") - F.col(f"to_{d}")) / kept))
+        factor = F.when(F.col("have") > 0, F.col(f"to_{d}") / F.col("have")).otherwise(1.0)
+        now = now.withColumn("probability", F.least(F.lit(1.0), F.col("probability") * factor)).drop("have")
+    return now
+
+
+def _rounds_in_a_task(now: DataFrame, kept: float, steps: int, tolerance: float) -> DataFrame:
+    """Several rounds of one partition in one job; rounds after the one that settles change nothing."""
+    now = now.withColumn("last", F.lit(float("inf")))
+    for _ in range(steps):
+        now = _round(now.withColumn("before", F.col("probability")), kept, _windowed)
+        over = F.col("last") <= tolerance
+        now = now.withColumn("probability", F.when(over, F.col("before")).otherwise(F.col("probability")))
+        now = now.withColumn("last", F.when(over, F.col("last")).otherwise(F.max("miss").over(Window.partitionBy()))).drop("before", "miss")
+    return now.withColumnRenamed("last", "miss")
+
+
 def uniform(key: Column, seed: str = SEED) -> Column:
     """A number in [0, 1) from the key: 32 bits of an MD5."""
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null"))).cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)

@@ -388,6 +388,14 @@ def test_mixture_meets_its_targets(spark):
     assert abs(got - found["source", "s0"].target / kept) < 0.06
 
 
+def test_mixture_rakes_many_cells_as_it_does_few(spark, monkeypatch):
+    docs = mixed(spark, 300)
+    few = {r.doc_id: r for r in mixing.probabilities(docs).collect()}
+    monkeypatch.setattr(mixing, "TASK_CELLS", 0)
+    many = mixing.probabilities(docs).collect()
+    assert len(many) == 300 and all(abs(few[r.doc_id].probability - r.probability) < 1e-9 and few[r.doc_id].kept == r.kept for r in many)
+
+
 def test_mixture_with_explicit_shares(spark):
     docs = mixed(spark)
     found, _ = mixing.marginals(docs, targets={"source": {"s0": 0.7, "s1": 0.1, "s2": 0.1, "s3": 0.1}})
