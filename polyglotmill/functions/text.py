@@ -6,6 +6,8 @@ depend on the regex engine. A null argument gives null unless said otherwise.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -149,11 +151,12 @@ def jaccard(a: Column, b: Column) -> Column:
 def prompt(strategy_: Column, language: Column, source: Column, draft: Column) -> Column:
     """The user prompt by strategy; a blank draft asks for a direct translation."""
 
+    slots = {"target_language": language, "mt_output": F.coalesce(draft, F.lit("")), "source_text": source}
+
     def fill(template):
-        out = F.lit(template)
-        for name, value in (("{target_language}", language), ("{mt_output}", F.coalesce(draft, F.lit(""))), ("{source_text}", source)):
-            out = F.replace(out, F.lit(name), value)
-        return out
+        # Odd pieces are placeholders: values are never read as templates themselves.
+        pieces = re.split(r"\{(\w+)\}", template)
+        return F.concat(*[slots[x] if i % 2 else F.lit(x) for i, x in enumerate(pieces)])
 
     return (
         F.when(strategy_ == "misspellings", fill(PROMPTS["misspellings"]))

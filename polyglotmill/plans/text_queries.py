@@ -277,6 +277,21 @@ def stream_resume(spark, sf_dir):
     return spark.read.parquet(f"{at}/sink")
 
 
+@query("select event_id, case when event_id % 7 = 0 then 'ok' when event_id % 10 = 0 then 'refused' else 'ok' end as status from events")
+def stream_retry(spark, sf_dir):
+    """Rows that fail in the stream wait, and end terminal when they are asked again."""
+    at, events = _folder(spark), _events(spark, sf_dir)
+    later = F.when(F.col("event_id") % 10 == 0, "refused").otherwise("ok")
+
+    def work(fails):
+        seventh = F.when(F.col("event_id") % 7 == 0, "error: timeout" if fails else "ok")
+        return lambda batch: batch.select("event_id", seventh.otherwise(later).alias("status"))
+
+    incremental.resume(events, work(True), f"{at}/sink", f"{at}/checkpoint", ["event_id"]).awaitTermination()
+    incremental.retry(spark, work(False), f"{at}/sink", table(spark, sf_dir, "events"), ["event_id"])
+    return spark.read.parquet(f"{at}/sink")
+
+
 @query("select distinct user_id, event_type from events")
 def stream_dedupe(spark, sf_dir):
     at = _folder(spark)

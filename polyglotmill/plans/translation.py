@@ -50,7 +50,7 @@ def run(spark: SparkSession, settings: dict, resume: bool = False, force: bool =
     records = readers.records(frame, source["source_text_column"], source["id_column"], metadata=source["metadata_columns"], source_lang=source["source_language"])
     todo = relational.fan_out(records.where("source_text is not null"), settings["target_languages"])
 
-    first = _attempts(todo.withColumn("draft", F.lit(None).cast("string")), Checkpoint(spark, f"{base}/tier1", models.ATTEMPT, [*KEY, "seq"]), [tiers["tier1"]["backend"]], models.never)
+    first = _attempts(todo.withColumn("draft", F.lit(None).cast("string")), Checkpoint(spark, f"{base}/tier1", models.ATTEMPT, [*KEY, "seq"]), [tiers["tier1"]["backend"]], models.never, tiers["tier1"]["calls_per_second"])
     drafts = first.where("accepted").select(*KEY, F.col("text").alias("draft"), F.col("backend").alias("tier1_backend"))
     joined = todo.join(drafts, KEY, "left")
     if tiers["tier2"]["enabled"]:
@@ -89,5 +89,6 @@ def main(argv: list[str] | None = None) -> None:
     if settings["output"]["push_to_hub"]:
         raise SystemExit("publishing needs a network service; write to a folder and upload it")
     spark = SparkSession.builder.appName("polyglotmill").getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR" if settings["logging"]["level"] == "INFO" else settings["logging"]["level"].replace("WARNING", "WARN"))
+    level = settings["logging"]["level"].upper()
+    spark.sparkContext.setLogLevel({"WARNING": "WARN", "CRITICAL": "FATAL"}.get(level, level))
     run(spark, settings, resume or force, force)["report"].show(100, False)

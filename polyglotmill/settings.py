@@ -21,7 +21,7 @@ DEFAULTS: dict = {
     "target_languages": list(d.TARGET_LANGUAGES),
     "custom_languages": [],
     "tiers": {
-        "tier1": {"enabled": True, "backend": "offline:lower", "model": "auto", "batch_size": 32, "device": "auto"},
+        "tier1": {"enabled": True, "backend": "offline:lower", "model": "auto", "batch_size": 32, "device": "auto", "calls_per_second": None},
         "tier2": {"enabled": True, "backend": "offline:reverse", "fallback_order": [], "model": {}, "max_concurrent": 10, "calls_per_second": None},
         "tier3": {"enabled": True, "metrics": ["length_ratio"], "thresholds": dict(d.THRESHOLDS)},
     },

@@ -3,29 +3,68 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions import dimensions as d
 
 
 def resume(source: DataFrame, work: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, key: list[str]):
-    """Process only the keys that the sink lacks. Terminal rows are appended; errors are not, so they come back.
+    """Process only the keys that the sink lacks. Terminal rows are appended to the sink.
 
-    The anti join against the sink makes a replayed micro-batch harmless.
+    Input rows whose result was an error, or that gave none, go to `{sink}-retry`
+    and come back with the next batch; `retry` asks for them when nothing new
+    arrives. A key is null-safe: rows of a null key are one key. Anti joins
+    against the sink make a replayed batch harmless, and a retry row is passed
+    over once its key is in the sink.
     """
 
-    def each(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        done = _existing(spark, sink, batch, key)
-        todo = batch.dropDuplicates(key) if done is None else batch.dropDuplicates(key).join(done.select(*key), key, "left_anti")
-        made = work(todo)
-        made.where(~F.col("status").startswith("error")).write.mode("append").parquet(sink)
+    def each(batch: DataFrame, number: int) -> None:
+        # A replayed batch overwrites its own folder, and reads those of earlier batches only.
+        waiting = _waiting(batch.sparkSession, sink, batch, F.col(_BATCH) < number)
+        _attempt(batch if waiting is None else batch.unionByName(waiting), work, sink, key, number)
 
     return source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def retry(spark: SparkSession, work: Callable[[DataFrame], DataFrame], sink: str, like: DataFrame, key: list[str]) -> None:
+    """Process the rows that wait in `{sink}-retry`, between two runs of `resume`. `like` has the columns of the source."""
+    waiting = _waiting(spark, sink, like, F.lit(True))
+    if waiting is not None:
+        # Rows that fail again wait in the folder that they came from.
+        _attempt(waiting, work, sink, key, None)
+
+
+_BATCH = "retry_batch"
+
+
+def _waiting(spark: SparkSession, sink: str, like: DataFrame, which) -> DataFrame | None:
+    if _existing(spark, f"{sink}-retry") is None:
+        return None
+    schema = StructType([*like.schema.fields, StructField(_BATCH, LongType())])
+    return spark.read.schema(schema).parquet(f"{sink}-retry").where(which).drop(_BATCH)
+
+
+def _attempt(rows: DataFrame, work: Callable[[DataFrame], DataFrame], sink: str, key: list[str], number: int | None) -> None:
+    spark = rows.sparkSession
+    rows = rows.dropDuplicates(key)
+    done = _existing(spark, sink)
+    todo = rows if done is None else _without(rows, done, key)
+    work(todo).where(~F.col("status").startswith("error")).write.mode("append").parquet(sink)
+    if number is not None:
+        _without(rows, spark.read.parquet(sink), key).write.mode("overwrite").parquet(f"{sink}-retry/{_BATCH}={number}")
+
+
+def _without(rows: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
+    """The rows whose key is not in done; null equals null."""
+    held = done.select(*[F.col(k).alias(f"__done_{k}") for k in key])
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(held[f"__done_{k}"]) for k in key])
+    return rows.join(held, same, "left_anti")
+
+
 def split_terminal(source: DataFrame, terminal: str, retry: str, checkpoint: str):
     """Terminal rows to one table, the rest to a retry queue."""
 
@@ -38,7 +77,7 @@ def split_terminal(source: DataFrame, terminal: str, retry: str, checkpoint: str
     return source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _existing(spark: SparkSession, path: str, like: DataFrame, key: list[str]) -> DataFrame | None:
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
 
     try:

@@ -10,6 +10,7 @@ from polyglotmill.functions import text as t
 from polyglotmill.operators import batch, models
 from polyglotmill.plans import translation
 from polyglotmill.sources.checkpoints import Checkpoint
+from polyglotmill.streaming import incremental
 
 
 def test_settings_layers(tmp_path):
@@ -99,3 +100,39 @@ def test_run_and_resume(spark, tmp_path):
     assert again["wide"].count() == 26 and again["attempts"].where("record_id = 'new'").count() == again["attempts"].count() - before > 0
     with pytest.raises(ValueError):
         translation.run(spark, s.merged(settings, {"target_languages": ["de"]}), resume=True)
+
+
+def test_prompts_are_filled_once(spark):
+    row = spark.range(1).select(t.prompt(F.lit("normal"), F.lit("German {source_text}"), F.lit("say {mt_output}"), F.lit("a {source_text} {target_language}")).alias("p")).first().p
+    assert row == t.PROMPTS["refine"].replace("{target_language}", "\x01").replace("{source_text}", "\x02").replace("{mt_output}", "a {source_text} {target_language}").replace("\x01", "German {source_text}").replace("\x02", "say {mt_output}")
+    empty = spark.range(1).select(t.prompt(F.lit("normal"), F.lit("German"), F.lit("x"), F.lit(None).cast("string")).alias("p")).first().p
+    assert empty == t.PROMPTS["direct"].replace("{target_language}", "German").replace("{source_text}", "x")
+
+
+def test_error_rows_of_a_stream_come_back(spark, tmp_path):
+    at, calls = str(tmp_path), []
+    schema = "id long, part string"
+
+    def work(failing):
+        def run(batch):
+            calls.append(sorted((r.id is None, r.id) for r in batch.select("id").collect()))
+            return batch.select("id", F.when(F.col("id").isin(failing), "error: timeout").otherwise("ok").alias("status"))
+
+        return run
+
+    def done():
+        return sorted(spark.read.parquet(f"{at}/sink").select("id").collect(), key=str)
+
+    spark.createDataFrame([(i, "a") for i in range(6)] + [(None, "a"), (3, "again")], schema).write.parquet(f"{at}/in")
+    source = spark.readStream.schema(schema).parquet(f"{at}/in")
+    incremental.resume(source, work([1, 4]), f"{at}/sink", f"{at}/ck", ["id"]).awaitTermination()
+    assert [r.id for r in done()] == [0, 2, 3, 5, None] and len(calls) == 1
+    # Nothing new arrives: no batch runs, and `retry` asks for what waits.
+    incremental.resume(source, work([]), f"{at}/sink", f"{at}/ck", ["id"]).awaitTermination()
+    incremental.retry(spark, work([4]), f"{at}/sink", spark.createDataFrame([], schema), ["id"])
+    assert calls[1:] == [[(False, 1), (False, 4)]] and len(done()) == 6
+    # What still fails comes with the next batch; finished keys do not.
+    spark.createDataFrame([(6, "b"), (0, "b"), (None, "b")], schema).write.mode("append").parquet(f"{at}/in")
+    incremental.resume(source, work([]), f"{at}/sink", f"{at}/ck", ["id"]).awaitTermination()
+    assert calls[2:] == [[(False, 4), (False, 6)]] and len(done()) == 8
+    assert sorted(r.id for r in done() if r.id is not None) == list(range(7))
