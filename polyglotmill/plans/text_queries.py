@@ -173,12 +173,14 @@ def jaccard_tokens(spark, sf_dir):
 
 
 def _chrf_sql() -> str:
-    def side(column: str, n: int) -> str:
-        clean = rf"regexp_replace({column}, '[ \t\n\r\f\x0b]+', '', 'g')"
-        return f"select doc_id, {n} as side, o.o as ord, substr(c, i::bigint, o.o::bigint) as gram from (select doc_id, {clean} as c from pairs) join (select unnest(range(1, 7)) as o) o on true, unnest(range(1, greatest(length(c) - o.o + 2, 1))) u(i)"
-
+    """Grams are joined from characters and those that follow, so that a long text costs no more a character than a short one."""
+    clean = r"regexp_extract_all(regexp_replace({}, '[ \t\n\r\f\x0b]+', '', 'g'), '(?s).')"
+    orders = " union all ".join(f"select doc_id, side, {n} as ord, {' || '.join(f'c{k}' for k in range(n))} as gram from follow where c{n - 1} is not null" for n in range(1, 7))
     return f"""with pairs as (select d.doc_id, d.text as cand, b.text as ref from documents d join benchmark b on b.item_id = d.doc_id % 40),
-g as ({side('cand', 0)} union all {side('ref', 1)}), c as (select doc_id, ord, gram, count(*) filter (side = 0) as c, count(*) filter (side = 1) as r from g group by doc_id, ord, gram),
+sides as (select doc_id, 0 as side, {clean.format("cand")} as l from pairs union all select doc_id, 1, {clean.format("ref")} from pairs),
+chars as (select doc_id, side, unnest(l) as c0, generate_subscripts(l, 1) as place from sides),
+follow as (select doc_id, side, c0, {", ".join(f"lead(c0, {k}) over w as c{k}" for k in range(1, 6))} from chars window w as (partition by doc_id, side order by place)),
+g as ({orders}), c as (select doc_id, ord, gram, count(*) filter (side = 0) as c, count(*) filter (side = 1) as r from g group by doc_id, ord, gram),
 o as (select doc_id, ord, sum(least(c, r))::double as both_n, sum(c)::double as c, sum(r)::double as r from c group by doc_id, ord having sum(c) > 0 and sum(r) > 0), m as (select doc_id, avg(both_n / c) as p, avg(both_n / r) as q from o group by doc_id)
 select pairs.doc_id, round(coalesce(case when p + q > 0 then 500 * p * q / (4 * p + q) else 0 end, 0), 6) as chrf from pairs left join m on pairs.doc_id = m.doc_id"""
 
