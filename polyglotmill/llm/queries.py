@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, html_text, langid, linededup, mixing, neardup, secrets, sharding
+from . import ann, chat, decontaminate, divergence, filter_audit, html_text, langid, linededup, lm, mixing, neardup, secrets, sharding
 from .common import table
 
 
@@ -66,7 +66,32 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_chat_format, op3_vantage_neighbours, op4_secret_scan, op5_decontamination, op6_balanced_shards, op7_raked_mixture, op8_line_chunks, op9_language_id, op10_main_text)}
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log-probability; rows whose crc32 remainder is 2 are held out from learning."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    return lm.score(docs.withColumn("held_out", held), lm.fit(docs.where(~held))).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of each language, and the terms that each has too many of."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in all their orders, by language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_near_duplicates, op2_chat_format, op3_vantage_neighbours, op4_secret_scan, op5_decontamination, op6_balanced_shards,
+        op7_raked_mixture, op8_line_chunks, op9_language_id, op10_main_text, op11_lm_scores, op12_source_divergence, op13_filter_audit,
+    )
+}
 
 
 def _chat_sql() -> str:
@@ -122,4 +147,65 @@ select doc_id, source, lang, topic, f.tokens, round(weight, 6) as weight, round(
 from f join w using (source, lang, topic)"""
 
 
-ORACLES = {"op2_chat_format": _chat_sql(), "op7_raked_mixture": _mix_sql()}
+def _divergence_sql() -> str:
+    """Dense: every group with every kept term of its language."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    share = f"1 + 1000000000 * ({{}} + {divergence.SMOOTHING}) // ({{}} + {divergence.SMOOTHING} * v)"
+    return rf"""
+with d as (
+  select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), '{letters}', '{letters.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents
+), t as (select id, lang, source, unnest(terms) as term from d),
+kept as (select lang, term, count(*)::bigint as total from t group by lang, term having count(distinct id) >= {divergence.MIN_DOCS}),
+langs as (select lang, sum(total)::bigint as lang_n, count(*)::bigint as v from kept group by lang),
+found as (select lang, source, term, count(*)::bigint as n from t group by lang, source, term),
+pairs as (select distinct lang, source from d),
+grid as (select p.lang, p.source, k.term, coalesce(f.n, 0)::bigint as n, total, lang_n, v,
+    sum(coalesce(f.n, 0)) over (partition by p.lang, p.source)::bigint as size
+  from pairs p join kept k on k.lang = p.lang join langs l on l.lang = p.lang
+  left join found f on f.lang = p.lang and f.source = p.source and f.term = k.term),
+shares as (select lang, source, term, n, {share.format("n", "size")} as p, {share.format("total", "lang_n")} as q from grid),
+apart as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p))::bigint as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pair as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from pairs a join pairs b on a.lang = b.lang and a.source <> b.source
+  left join apart x on x.lang = a.lang and x.source = a.source and x.item = b.source),
+term as (select lang, source, 'term' as part, term as item, (p - q)::bigint as value from shares where n > 0 and p > q),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+  from (select * from pair union all select * from term))
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= {divergence.TOP}"""
+
+
+def _audit_sql() -> str:
+    """Every document's failed filters by letter, joined with every order."""
+    letters = list(filter_audit.FILTERS)
+    orders = ", ".join(f"('{x}')" for x in filter_audit.ORDERS)
+    fails = " || ".join(f"case when {x.lower()} then '{x}' else '' end" for x in letters)
+    return rf"""
+with d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as words from documents
+), f as (
+  select d.doc_id, part, len(words) < {filter_audit.MIN_WORDS} as a, 100 * len(list_distinct(words)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(words) as b,
+    100 * len(regexp_extract_all(t, '[A-Z]')) > {filter_audit.MAX_CAPITAL_PERCENT} * length(t) as c, regexp_matches(t, '[#$%&*|]') as d,
+    coalesce(d.doc_id > min(d.doc_id) over (partition by t), false) as e from d
+), said as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+m as (select part, {fails} as failed, count(*)::bigint as n, count(*) filter (good = 1)::bigint as good, count(*) filter (toxic = 1)::bigint as toxic
+  from f left join said using (doc_id) group by all),
+steps as (select filter_order, step::int as step, substr(filter_order, step, 1) as own, left(filter_order, step - 1) as past
+  from (values {orders}) o(filter_order), range(1, 6) s(step)),
+x as (select part, filter_order, step, n, good, toxic, failed, own, contains(failed, own) as hit,
+    translate(past, failed, '') <> past as gone, 120 // greatest(length(failed), 1) as share from m, steps)
+select part, filter_order, step, coalesce(sum(n) filter (not hit and not gone), 0)::bigint as kept,
+  coalesce(sum(n) filter (hit and not gone), 0)::bigint as removed, coalesce(sum(n) filter (hit and gone), 0)::bigint as redundant,
+  coalesce(sum(n) filter (failed = own), 0)::bigint as unique_fails, coalesce(sum(good) filter (hit and not gone), 0)::bigint as good_lost,
+  coalesce(sum(toxic) filter (hit and not gone), 0)::bigint as toxic_lost, coalesce(sum(n * share) filter (hit), 0)::bigint as shapley
+from x group by part, filter_order, step"""
+
+
+ORACLES = {
+    "op2_chat_format": _chat_sql(),
+    "op7_raked_mixture": _mix_sql(),
+    "op12_source_divergence": _divergence_sql(),
+    "op13_filter_audit": _audit_sql(),
+}
