@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import dimensions as d
@@ -13,6 +11,7 @@ from ..functions.unwrap import unwrap_text as unwrap_column
 from ..operators import models
 from ..operators import relational as r
 from ..session import table
+from ..sources.scratch import folder as _folder
 from ..streaming import incremental
 from . import fixtures as x
 from .registry import query
@@ -243,18 +242,6 @@ def judge_stub(spark, sf_dir):
     return models.judge(rows, ["length_ratio"]).withColumn("score", F.round("score", 6))
 
 
-def _folder(spark) -> str:
-    """A new folder on shared storage, or in the temporary folder of a local session without that setting."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="polyglotmill-")
-    return f"{base}/stream-{uuid.uuid4().hex}"
-
-
 def _events(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events*").parquet(sf_dir) if not _is_folder(spark, sf_dir) else spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")

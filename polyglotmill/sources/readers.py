@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators import positions
+
 FORMATS = {".csv": "csv", ".tsv": "tsv", ".json": "json", ".jsonl": "jsonl", ".parquet": "parquet"}
 
 
@@ -57,16 +59,21 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def records(df: DataFrame, text: str, id_column: str | None = None, order: list[str] | None = None, metadata: list[str] | None = None, source_lang: str = "en") -> DataFrame:
-    """record_id, source_text, source_lang, metadata (of the columns that exist)."""
+    """record_id, source_text, source_lang, metadata (of the columns that exist).
+
+    Without an id column, the id is the row's place: by `order`, or as the rows stand in their files.
+    """
     require(df, [text])
     if id_column and id_column in df.columns:
-        key: Column = F.col(id_column).cast("string")
+        df = df.withColumn("__id", F.col(id_column).cast("string"))
     else:
-        # Dense positions need an order; two levels keep the window off a single task's sort of texts.
-        key = (F.row_number().over(Window.orderBy(*(order or df.columns))) - 1).cast("string")
+        placed = positions.arrival(df, "__arrival")
+        placed = positions.dense(placed, [*map(F.col, order or []), F.col("__arrival")], "__position")
+        df = placed.withColumn("__id", F.col("__position").cast("string"))
     kept = [c for c in metadata or [] if c in df.columns]
     pairs = [x for c in kept for x in (F.lit(c), F.col(c).cast("string"))]
-    return df.select(key.alias("record_id"), F.col(text).cast("string").alias("source_text"), F.lit(source_lang).alias("source_lang"), (F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")).alias("metadata"))
+    found = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
+    return df.select(F.col("__id").alias("record_id"), F.col(text).cast("string").alias("source_text"), F.lit(source_lang).alias("source_lang"), found.alias("metadata"))
 
 
 def load_config(path: str, overrides: dict[str, object] | None = None) -> dict:
