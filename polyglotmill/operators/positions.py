@@ -40,32 +40,42 @@ def ranged(df: DataFrame, order: list[Column], partitions: int | None = None) ->
     return dealt.sortWithinPartitions(*order)
 
 
-def _dealt(df: DataFrame, order: list[Column], partitions: int | None) -> DataFrame:
+def deal(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
+    """df in ranges of the order, written once: what `dense_of` and `running_of` work on."""
     at = F.monotonically_increasing_id()
     rows = ranged(df, order, partitions).withColumn(_AT, at)
     return scratch.cut(rows.withColumn(_RANGE, F.shiftright(_AT, _BITS)).withColumn(_AT, F.col(_AT).bitwiseAND((1 << _BITS) - 1)))
 
 
 def _before(totals: DataFrame) -> DataFrame:
-    """The sum of the ranges before each; a row for each range."""
+    """The sum of the ranges before each; a row for each range, of which there are as many as shuffle partitions at most."""
     earlier = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(_RANGE, F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("__before"))
+    return F.broadcast(totals.select(_RANGE, F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("__before")))
+
+
+def dense_of(rows: DataFrame, name: str = "position") -> DataFrame:
+    own = [F.col(c) for c in rows.columns if c not in (_AT, _RANGE)]
+    before = _before(rows.groupBy(_RANGE).agg(F.count("*").alias("total")))
+    return rows.join(before, _RANGE).select(*own, (F.col("__before") + F.col(_AT)).alias(name))
+
+
+def running_of(rows: DataFrame, value: str, name: str = "before") -> DataFrame:
+    own = [F.col(c) for c in rows.columns if c not in (_AT, _RANGE)]
+    before = _before(rows.groupBy(_RANGE).agg(F.sum(value).alias("total")))
+    earlier = Window.partitionBy(_RANGE).orderBy(_AT).rowsBetween(Window.unboundedPreceding, -1)
+    total = F.col("__before") + F.coalesce(F.sum(value).over(earlier), F.lit(0))
+    return rows.join(before, _RANGE).select(*own, total.alias(name))
 
 
 def dense(df: DataFrame, order: list[Column], name: str = "position", partitions: int | None = None) -> DataFrame:
     """df with its rows' places in the order, from 0 and without gaps."""
-    rows = _dealt(df, order, partitions)
-    before = F.broadcast(_before(rows.groupBy(_RANGE).agg(F.count("*").alias("total"))))
-    return rows.join(before, _RANGE).select(*[F.col(c) for c in df.columns], (F.col("__before") + F.col(_AT)).alias(name))
+    return dense_of(deal(df, order, partitions), name)
 
 
 def running(df: DataFrame, value: Column, order: list[Column], name: str = "before", partitions: int | None = None) -> DataFrame:
-    """df with the sum of `value` over all rows before each in the order."""
-    rows = _dealt(df.withColumn("__value", value.cast("long")), order, partitions)
-    before = F.broadcast(_before(rows.groupBy(_RANGE).agg(F.sum("__value").alias("total"))))
-    own = Window.partitionBy(_RANGE).orderBy(_AT).rowsBetween(Window.unboundedPreceding, -1)
-    total = F.col("__before") + F.coalesce(F.sum("__value").over(own), F.lit(0))
-    return rows.join(before, _RANGE).select(*[F.col(c) for c in df.columns], total.alias(name))
+    """df with the sum of `value` (whole numbers, null is 0) over all rows before each in the order."""
+    valued = df.withColumn("__value", F.coalesce(value.cast("long"), F.lit(0)))
+    return running_of(deal(valued, order, partitions), "__value", name).drop("__value")
 
 
 def write_sorted(df: DataFrame, path: str, order: list[Column], partitions: int | None = None) -> None:
@@ -78,5 +88,5 @@ def read_sorted(df: DataFrame, name: str = "position") -> DataFrame:
     rows = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
     counted = rows.groupBy("__file").agg((F.max("__row") + 1).alias("total"))
     earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.broadcast(counted.select("__file", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("__before")))
+    before = counted.select("__file", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("__before"))
     return rows.join(before, "__file").select(*df.columns, (F.col("__before") + F.col("__row")).alias(name))

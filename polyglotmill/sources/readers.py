@@ -51,6 +51,18 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
         return spark.createDataFrame([], schema)
 
 
+def read_parquet_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The rows under a path, or none if nothing was written yet."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
     missing = sorted(set(columns) - set(df.columns))
     if missing:
