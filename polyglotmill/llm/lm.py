@@ -148,11 +148,15 @@ class Parameters:
 
     def log_z(self, vectors: np.ndarray) -> np.ndarray:
         """Natural logarithms of the sums over the whole vocabulary."""
-        out = np.empty(len(vectors))
-        for i in range(0, len(vectors), 1024):
-            scores = vectors[i : i + 1024] @ self.target.T + self.bias
+        # The bias is one more component; few rows at a time stay in the processor's cache.
+        out, ones = np.empty(len(vectors)), np.ones(len(self.bias), np.float32)
+        rows = np.hstack([vectors, np.ones((len(vectors), 1), np.float32)])
+        target = np.ascontiguousarray(np.hstack([self.target, self.bias[:, None]]).T)
+        for i in range(0, len(rows), 128):
+            scores = rows[i : i + 128] @ target
             most = scores.max(axis=1, keepdims=True)
-            out[i : i + 1024] = np.log(np.exp(scores - most).sum(axis=1, dtype=np.float64)) + most[:, 0]
+            np.exp(np.subtract(scores, most, out=scores), out=scores)
+            out[i : i + 128] = np.log(scores @ ones) + most[:, 0]
         return out
 
     def log_probabilities(self, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
