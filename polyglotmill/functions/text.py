@@ -45,8 +45,9 @@ def null_text(text: Column) -> Column:
 def first_of_list(text: Column) -> Column:
     """A stringified list's first element, stripped; other text stripped; null as empty."""
     bare = strip(F.coalesce(text, F.lit("")))
-    parsed = F.try_element_at(F.from_json(bare, "array<string>", {"allowSingleQuotes": "true"}), F.lit(1))
-    is_list = bare.startswith("[") & F.from_json(bare, "array<string>", {"allowSingleQuotes": "true"}).isNotNull() & bare.endswith("]")
+    found = F.from_json(bare, "array<string>", {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
+    parsed = F.try_element_at(found, F.lit(1))
+    is_list = bare.startswith("[") & found.isNotNull() & bare.endswith("]")
     return F.when(is_list, F.coalesce(parsed, F.lit(""))).otherwise(bare)
 
 
@@ -86,7 +87,7 @@ def split_payload(text: Column) -> tuple[Column, Column]:
 
 
 def examples(text: Column) -> Column:
-    """Bodies after 'Example <n>' lines, as an array; typed or real newlines."""
+    """Bodies after 'Example <n>' lines, as an array; typed or real newlines. The lines and the mark of the prompts."""
     pattern = r"(?s)Example \d+(?:\\n|\n)(.*?)(?=(?:\\n|\n)Example \d+(?:\\n|\n)|(?:\\n\\n|\n\n)Following is)"
     return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda e: F.replace(e, F.lit("\\n"), F.lit("\n")))
 
@@ -103,7 +104,7 @@ def splice(template: Column, bodies: Column, payload: Column) -> Column:
 
 
 def score(text: Column) -> Column:
-    """The first number from 0 to 100 that stands by itself, else -1."""
+    """The first number from 0 to 100 that stands by itself, else -1. Fixed value: the pattern of a number."""
     numbers = F.transform(F.regexp_extract_all(text, F.lit(r"\b(\d+(?:\.\d+)?)\b"), F.lit(1)), lambda x: x.try_cast("double"))
     return F.coalesce(F.get(F.filter(numbers, lambda x: (x >= 0) & (x <= 100)), F.lit(0)), F.lit(-1.0))
 

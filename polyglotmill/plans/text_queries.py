@@ -29,24 +29,39 @@ def word_token_budget(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", t.word_count(F.col("text")).alias("words"), t.token_budget(F.col("text")).alias("max_tokens"))
 
 
-_PLAIN = "regexp_replace(text, '[^A-Za-z ]', '', 'g')"
-
-
-@query(f"select doc_id, {_STRIP.format(_PLAIN)} as first_turn from documents where doc_id % 5 <> 4 union all select doc_id, '' from documents where doc_id % 5 = 4")
+@query(f"select doc_id, case when doc_id % 5 = 4 then '' else {_STRIP.format('text')} end as first_turn from documents")
 def extract_first_turn(spark, sf_dir):
-    plain = F.regexp_replace("text", "[^A-Za-z ]", "")
+    """Whole texts as the first turn of a list: between single quotes with escapes, as JSON, bare, and an empty list."""
     k = F.col("doc_id") % 5
-    turns = F.when(k == 0, F.concat(F.lit("['"), plain, F.lit("']"))).when(k == 1, F.concat(F.lit('["'), plain, F.lit('", "second"]'))).when(k == 4, "[]").otherwise(plain)
+    text = F.col("text")
+    single = F.concat(F.lit("['"), _escaped(text, "'"), F.lit("']"))
+    turns = F.when(k == 0, single).when(k == 1, F.to_json(F.array(text, F.lit("second")))).when(k == 4, "[]").otherwise(text)
     return table(spark, sf_dir, "documents").select("doc_id", t.strip(t.first_of_list(turns)).alias("first_turn"))
 
 
-@query(f"select doc_id, {_STRIP.format(_PLAIN)} as clean_text from documents")
+def _escaped(text, quote: str):
+    """The text as it stands between quotes in a list that was turned into a string."""
+    for plain, code in (("\\", "\\\\"), (quote, "\\" + quote), ("\n", "\\n"), ("\t", "\\t"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(code))
+    return text
+
+
+#: What the rules of unwrapping leave of a text that no whole list explains.
+_HEAD = r"""regexp_replace({}, '^\s*(?:\[[''"‘“«]?\s*)*(?:[''"\\]\s*)*', '')"""
+_TAIL = r"""regexp_replace({}, '\s*(?:(?:[''"’”»]?\]|[''"])\s*)*$', '')"""
+_EDGES = "trim(replace(replace(" + _TAIL.format(_HEAD) + r""", '\"', '"'), '\''', ''''), ' ' || chr(9) || chr(10) || chr(13))"""
+
+
+@query(f"""with w as (select doc_id, case doc_id % 7 when 3 then '[''' || text when 4 then text || '’]' when 5 then '["' || text || '''' else text end as t from documents)
+select doc_id, {_EDGES.format("t")} as clean_text from w""")
 def unwrap_text(spark, sf_dir):
-    plain = F.regexp_replace("text", "[^A-Za-z ]", "")
-    k = F.col("doc_id") % 6
+    """Whole texts in whole, nested, repeated and broken lists; bare texts with quotes and brackets of their own."""
+    k, text = F.col("doc_id") % 7, F.col("text")
+    single = F.concat(F.lit("['"), _escaped(text, "'"), F.lit("']"))
     wrapped = (
-        F.when(k == 0, F.concat(F.lit("['"), plain, F.lit("']"))).when(k == 1, F.concat(F.lit('["'), plain, F.lit('"]'))).when(k == 2, F.concat(F.lit("[“"), plain, F.lit("”]")))
-        .when(k == 3, F.concat(F.lit("[['"), plain, F.lit("'], 'x']"))).when(k == 4, F.concat(F.lit("['"), plain)).otherwise(plain)
+        F.when(k == 0, single).when(k == 1, F.concat(F.lit('[["'), _escaped(text, '"'), F.lit("\", 'x'], 'y' ]")))
+        .when(k == 2, F.concat(F.lit('[ "'), _escaped(single, '"'), F.lit('"]'))).when(k == 3, F.concat(F.lit("['"), text))
+        .when(k == 4, F.concat(text, F.lit("’]"))).when(k == 5, F.concat(F.lit('["'), text, F.lit("'"))).otherwise(text)
     )
     return table(spark, sf_dir, "documents").select("doc_id", unwrap_column(wrapped).alias("clean_text"))
 
