@@ -2,15 +2,24 @@
 
 The page is read once as tags and text and split into blocks at block-level
 tags. Pass one classifies every block by stop-word density, length and link
-density; where it lies is evidence beside these. What lies in menus, headers,
-footers, sidebars, notices, adverts, forms, comments, scripts, styles or hidden
-elements is bad, by tag, role, or a word of its class or id; so is what lies
-outside on a page with an article or main element that holds text. Dense
-blocks of some length are good, link lists are bad, and blocks that are short,
-or less dense, stay undecided (less dense ones are bad where there is no
-article around them). Pass two gives each undecided block the label of its
-nearest decided neighbours; in an article it goes only if they are bad on both
-sides.
+density; where it lies is evidence beside these. Pass two gives each undecided
+block the label of its nearest decided neighbours; in an article it goes only
+if they are bad on both sides.
+
+Zones. What lies in menus, headers, footers, sidebars, scripts or hidden
+elements is bad by tag or role. A name in a class or id only hints at a bad
+zone: the name must end with a bad word, but for words of structure
+(`site-footer`, `comment-list`; not `no-sidebar`, `comments-open` or
+`share-price`). If nothing is left under all hints, those around an article are
+dropped, and then all of them. A form is bad unless it holds an article or most
+of the page's long blocks. On a page with an article or main element that holds
+text, what lies outside is bad.
+
+Density. Dense blocks of some length are good, link lists are bad, and blocks
+that are short, or less dense, stay undecided (less dense ones are bad where
+there is no article around them). On a page without a dense block the stop
+words are not those of its language; then long blocks with few links are good,
+and shorter ones undecided.
 
 Good blocks are joined by two newlines in page order. Character references
 are decoded once, white space in a block becomes one space, and nothing else
@@ -29,6 +38,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,12 +63,17 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: These end at the next block tag if they aren't closed.
 IMPLIED_END = frozenset("p li dd dt td th tr option h1 h2 h3 h4 h5 h6".split())
-BAD_TAGS = frozenset("head title nav footer aside form menu dialog button select option textarea datalist iframe object canvas svg noscript template audio video".split())
+BAD_TAGS = frozenset("head title nav footer aside menu dialog button select option textarea datalist iframe object canvas svg noscript template audio video".split())
 RAW_TAGS = frozenset("script style xmp noembed noframes".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 BAD_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion related recommended respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets masthead alert disclaimer login".split()
 )
+#: Words that may follow a bad one in a name, and words before it that say that it is not the element itself.
+STRUCTURE_WORDS = frozenset(
+    "area bar block body bottom box button buttons col column container content count form group header heading holder icon icons inner item items label left link links list main message outer overlay panel post posts right row section slot text title top unit wrap wrapper zone".split()
+)
+MODIFIERS = frozenset("has have hide is no non not show with without".split())
 #: Bad outside an article only; an article's own header holds its title.
 BAD_OUTSIDE = frozenset(["header", "topbar"])
 #: If one of these is left open, the start of an article ends it.
@@ -73,28 +88,58 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _hinted(name: str, bad: frozenset) -> bool:
+    """Whether a name, such as post-comments-list, ends with a bad word but for words of structure, and without a modifier before it."""
+    words = [w.lower() for w in _NAME.findall(name)]
+    while words and words[-1] in STRUCTURE_WORDS and words[-1] not in bad:
+        words.pop()
+    return bool(words) and words[-1] in bad and not (len(words) > 1 and words[-2] in MODIFIERS)
+
+
 def _hints(attributes: str) -> set[str]:
-    """Words of class and id, and 'hidden' where the element is not shown; roles with a leading '@'."""
+    """'bad' or 'outside' by the names in class and id, 'hidden' where the element is not shown; roles with a leading '@'."""
     out: set[str] = set()
     if "=" not in attributes and "hidden" not in attributes:
         return out
     for m in _HINT.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
-            out.update(w.lower() for w in _NAME.findall(value))
+            for x in value.split():
+                if _hinted(x, BAD_WORDS):
+                    out.add("bad")
+                elif _hinted(x, BAD_OUTSIDE):
+                    out.add("outside")
         elif name == "role":
             out.add("@" + value.strip().lower())
         elif name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value, re.I) or name == "aria-hidden" and value.lower() == "true":
-            out.add("\0hidden")
+            out.add("hidden")
     return out
 
 
+class Zone(NamedTuple):
+    """Where a block lies: bad by tag, hinted at around an article, hinted at within one or without any, in an article, in which form."""
+
+    hard: bool = False
+    outer: bool = False
+    inner: bool = False
+    article: bool = False
+    form: int = 0
+
+
+class Block(NamedTuple):
+    text: str
+    linked: int
+    zone: Zone
+    heading: bool
+
+
 class Page:
     """One pass over the page: blocks with their texts, link characters and zones."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, int, bool, bool, bool]] = []  # text, link chars, bad zone, in article, heading
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, bad, article
+        self.blocks: list[Block] = []
+        self.stack: list[tuple[str, Zone]] = []
+        self.forms, self.around_articles = 0, set()
         self.open: dict[str, int] = {}  # how often each tag is on the stack
         self.text, self.linked, self.links, self.heading = [], 0, 0, False
         self.source, self.last_end, self.plain_until = source, source.rfind(">"), 0
@@ -155,8 +200,8 @@ class Page:
     def _pop(self) -> None:
         self.open[self.stack.pop()[0]] -= 1
 
-    def _zone(self) -> tuple[bool, bool]:
-        return (self.stack[-1][1], self.stack[-1][2]) if self.stack else (False, False)
+    def _zone(self) -> Zone:
+        return self.stack[-1][1] if self.stack else Zone()
 
     def _text(self, raw: str) -> None:
         if raw:
@@ -168,8 +213,7 @@ class Page:
         if self.text:
             joined = " ".join(html.unescape("".join(self.text)).split())
             if joined:
-                bad, article = self._zone()
-                self.blocks.append((joined, self.linked, bad, article, self.heading))
+                self.blocks.append(Block(joined, self.linked, self._zone(), self.heading))
         self.text, self.linked = [], 0
 
     def _open(self, name: str, attributes: str) -> None:
@@ -187,23 +231,30 @@ class Page:
             self.links = 0
         if name in VOID_TAGS or attributes.endswith("/") and name in ("svg", "path"):
             return
-        bad, article = self._zone()
+        zone = self._zone()
         if name in ("article", "main") or "@main" in hints or "@article" in hints:
             while self.stack and self.stack[-1][0] in _LEFT_OPEN:
                 self._pop()
-            bad, article = self._zone()
-            article = True
+            zone = self._zone()
+            self.around_articles.add(zone.form)
+            # What was hinted at so far lies around the article.
+            zone = zone._replace(outer=zone.outer or zone.inner or "bad" in hints, inner=False, article=True)
+            hints = hints - {"bad"}
         elif name == "body":
             self.stack.clear(), self.open.clear()
-            bad = article = False
-        own = name in BAD_TAGS or "\0hidden" in hints or bool(hints & BAD_WORDS) or any("@" + r in hints for r in BAD_ROLES)
-        own = own or not article and (name == "header" or bool(hints & BAD_OUTSIDE))
+            zone = Zone()
         if name in ("html", "body"):
-            own = False
-        if block or own:
-            if own and not block:
+            own = Zone()
+        else:
+            hard = name in BAD_TAGS or "hidden" in hints or any("@" + r in hints for r in BAD_ROLES) or name == "header" and not zone.article
+            hint = "bad" in hints or "outside" in hints and not zone.article
+            self.forms += name == "form"
+            own = Zone(hard=hard, inner=hint, form=self.forms if name == "form" else 0)
+        if block or own != Zone():
+            if not block:
                 self._flush()
-            self.stack.append((name, bad or own, article))
+            zone = zone._replace(hard=zone.hard or own.hard, inner=zone.inner or own.inner, form=zone.form or own.form)
+            self.stack.append((name, zone))
             self.open[name] = self.open.get(name, 0) + 1
             self.heading = name in _HEADINGS
 
@@ -225,7 +276,17 @@ def stop_density(text: str) -> float:
     return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
 
 
-def _label(block: tuple[str, int, bool, bool, bool], in_article: bool) -> str:
+class Judged(NamedTuple):
+    """A block for the two passes."""
+
+    text: str
+    linked: int
+    bad: bool
+    article: bool
+    heading: bool
+
+
+def _label(block: Judged, in_article: bool, covered: bool) -> str:
     """good, bad, or undecided: near (rather good), short, or low (long, but of low density)."""
     text, linked, bad, article, heading = block
     links, long = linked / max(len(text), 1), len(text) >= LENGTH_HIGH
@@ -237,18 +298,26 @@ def _label(block: tuple[str, int, bool, bool, bool], in_article: bool) -> str:
         return "bad"
     if len(text) < LENGTH_LOW:
         return "bad" if linked and not in_article else "short"
+    if not covered:
+        return "good" if long else "near"
     stops = stop_density(text)
     if stops >= STOP_HIGH:
         return "good" if long or in_article else "near"
     return "near" if stops >= STOP_LOW else "low" if in_article else "bad"
 
 
-def decide(blocks: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
-    """Which blocks (text, link characters, bad zone, in an article, heading) are main text."""
-    in_article = any(b[3] and not b[2] for b in blocks)
-    first = [_label(b, in_article) for b in blocks]
+def stop_words_cover(blocks: list[Judged]) -> bool:
+    """Whether the stop words are of the page's language: a block of some length is dense."""
+    return any(not b.bad and len(b.text) >= LENGTH_LOW and stop_density(b.text) >= STOP_HIGH for b in blocks)
+
+
+def decide(blocks: list[Judged]) -> list[bool]:
+    """Which blocks are main text."""
+    in_article = any(b.article and not b.bad for b in blocks)
+    covered = stop_words_cover([b for b in blocks if b.article] if in_article else blocks)
+    first = [_label(b, in_article, covered) for b in blocks]
     # In an article only its own blocks count as neighbours, so what lies outside says nothing about it.
-    counts = [f in ("good", "bad") and (not in_article or b[3] and not b[2]) for f, b in zip(first, blocks)]
+    counts = [f in ("good", "bad") and (not in_article or b.article and not b.bad) for f, b in zip(first, blocks)]
     n = len(blocks)
     before, after = [-1] * n, [n] * n
     for i in range(1, n):
@@ -257,7 +326,7 @@ def decide(blocks: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
     out = []
     for i, label in enumerate(first):
         if label in ("near", "short", "low"):
-            heading = blocks[i][4]
+            heading = blocks[i].heading
             left = first[before[i]] if before[i] >= 0 else None
             right = first[after[i]] if after[i] < n else None
             if in_article:
@@ -274,11 +343,33 @@ def decide(blocks: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
     return out
 
 
+def _content_forms(page: Page) -> set[int]:
+    """Forms that are no forms to fill in: they hold an article, or most of the page's long blocks of few links."""
+    blocks = page.blocks
+    chars: dict[int, int] = {}
+    for b in blocks:
+        if not b.zone.hard and len(b.text) >= LENGTH_HIGH and b.linked <= LINKS_HIGH * len(b.text):
+            chars[b.zone.form] = chars.get(b.zone.form, 0) + len(b.text)
+    total = sum(chars.values())
+    return {f for f, n in chars.items() if 2 * n > total} | page.around_articles | {0}
+
+
+def main_blocks(page: Page) -> list[bool]:
+    """Which blocks are main text: under all hints, or, if that is nothing, without those around articles, or without any."""
+    blocks, forms = page.blocks, _content_forms(page)
+    kept = [False] * len(blocks)
+    for hinted in (lambda z: z.outer or z.inner, lambda z: z.inner, lambda z: False):
+        kept = decide([Judged(b.text, b.linked, b.zone.hard or b.zone.form not in forms or hinted(b.zone), b.zone.article, b.heading) for b in blocks])
+        if any(kept):
+            break
+    return kept
+
+
 def extract(source: str | None) -> str:
     if not source:
         return ""
-    blocks = Page(source).blocks
-    return "\n\n".join(b[0] for b, good in zip(blocks, decide(blocks)) if good)
+    page = Page(source)
+    return "\n\n".join(b.text for b, good in zip(page.blocks, main_blocks(page)) if good)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

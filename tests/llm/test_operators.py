@@ -571,10 +571,15 @@ def test_html_broken_markup_takes_linear_time():
 def brute_decide(blocks):
     """Both passes from their description, block by block, with a search for neighbours."""
     arts = [b for b in blocks if b[3] and not b[2]]
+
+    def stops(text):
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        return len([w for w in words if w in html_text.STOP_WORDS]) / len(words) if words else 0
+
+    some = [b[0] for b in blocks if not b[2] and (b[3] or not arts) and len(b[0]) >= 70]
+    covered = max(map(stops, some), default=0) >= 0.3
     kinds = []
     for text, linked, zone, article, heading in blocks:
-        words = re.findall(r"[^\W\d_]+", text.lower())
-        stops = len([w for w in words if w in html_text.STOP_WORDS]) / len(words) if words else 0
         share = linked / len(text) if text else 0
         if zone or (arts and not article):
             kind = "bad"
@@ -584,9 +589,11 @@ def brute_decide(blocks):
             kind = "bad"
         elif len(text) < 70:
             kind = "bad" if not arts and linked else "short"
-        elif stops >= 0.3 and (arts or len(text) >= 200):
+        elif not covered:
+            kind = "good" if len(text) >= 200 else "near"
+        elif stops(text) >= 0.3 and (arts or len(text) >= 200):
             kind = "good"
-        elif stops >= 0.2:
+        elif stops(text) >= 0.2:
             kind = "near"
         else:
             kind = "low" if arts else "bad"
@@ -614,16 +621,69 @@ def brute_decide(blocks):
 def test_html_passes_match_brute_force():
     rng = random.Random(31)
     dense, sparse = "the text of a page that is in it and for you ", "zebra quartz violin hammer lantern copper bridge "
-    labels = set()
-    for _ in range(400):
-        blocks, zones = [], rng.random() < 0.5
+    labels, covers = set(), set()
+    for _ in range(600):
+        blocks, zones, kinds = [], rng.random() < 0.5, rng.choice([[dense, sparse, dense + sparse], [sparse]])
         for k in range(rng.randint(0, 14)):
-            text = (rng.choice([dense, sparse, dense + sparse]) * rng.choice([1, 2, 3, 6]))[: rng.choice([20, 60, 90, 250, 400])].strip() + (" ©" if rng.random() < 0.1 else "") + f" {k}"
-            blocks.append((text, rng.choice([0, 0, 0, 5, len(text)]), rng.random() < 0.15, zones and rng.random() < 0.8, rng.random() < 0.1))
+            text = (rng.choice(kinds) * rng.choice([1, 2, 3, 6]))[: rng.choice([20, 60, 90, 250, 400])].strip() + (" ©" if rng.random() < 0.1 else "") + f" {k}"
+            blocks.append(html_text.Judged(text, rng.choice([0, 0, 0, 5, len(text)]), rng.random() < 0.15, zones and rng.random() < 0.8, rng.random() < 0.1))
         got = html_text.decide(blocks)
         assert got == brute_decide(blocks)
         labels |= {(zones, g) for g in got}
-    assert len(labels) == 4
+        covers.add(html_text.stop_words_cover(blocks))
+    assert len(labels) == 4 and len(covers) == 2
+
+
+PROSE = {
+    "en": "It is the text that is in the page and it is for you to read as it was in the book of the year. ",
+    "it": "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, ché la diritta via era smarrita. ",
+    "pl": "Litwo, ojczyzno moja, ty jesteś jak zdrowie; ile cię trzeba cenić, ten tylko się dowie, kto cię stracił. ",
+    "ru": "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему всегда. ",
+    "fi": "Mieleni minun tekevi, aivoni ajattelevi lähteäni laulamahan, saa'ani sanelemahan sukuvirttä suoltamahan. ",
+    "tr": "Korkma, sönmez bu şafaklarda yüzen al sancak, sönmeden yurdumun üstünde tüten en son ocak, o benim. ",
+}
+MENU = "<ul class=menu><li><a href=a>One</a><li><a href=b>Two</a></ul>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<article class="post comments-open">{}</article>', '<div class="layout no-sidebar"><article>{}</article></div>', '<div class="page with-footer"><main>{}</main></div>',
+        "<form id=aspnetForm action=x><input type=hidden><div>{}</div></form>", '<div class="promo"><article>{}</article></div>', '<div id="widget-7">{}</div>', "<section class=related><article class=ad>{}</article></section>",
+        "<form><nav><a href=x>no</a></nav><main>{}</main></form>",
+    ],
+)
+@pytest.mark.parametrize("lang", sorted(PROSE))
+def test_html_class_words_are_evidence_only(page, lang):
+    para = " ".join((PROSE[lang] * 4).split())
+    assert html_text.extract(f"<body>{MENU}{page.format(f'<p>{para}</p><p>{para}</p>')}<footer>© 2020</footer></body>") == f"{para}\n\n{para}"
+
+
+def test_html_names_of_classes():
+    bad = ["sidebar", "left-sidebar", "site-footer", "post-comments-list", "cookieBanner", "cookie-banner", "comments", "footer-content", "ad", "related_posts", "newsletter-signup", "footerInner"]
+    good = ["no-sidebar", "layout-no-sidebar", "page-with-footer", "comments-open", "share-price", "notice-period", "main", "content", "post", "has-menu", "adventure", "row", ""]
+    assert [x for x in bad if not html_text._hinted(x, html_text.BAD_WORDS)] == [] == [x for x in good if html_text._hinted(x, html_text.BAD_WORDS)]
+    para = " ".join((PROSE["en"] * 3).split())
+    assert html_text.extract(f"<article><p>{para}</p><p class=share-price>It rose to 3.</p></article>") == f"{para}\n\nIt rose to 3."
+
+
+def test_html_pages_made_of_known_parts():
+    """Pages put together from parts whose fate is known; the expected text comes from the parts, not from the operator."""
+    rng = random.Random(8)
+    for _ in range(300):
+        lang, article = rng.choice(sorted(PROSE)), rng.random() < 0.6
+        want, body = [], []
+        for k in range(rng.randint(1, 6)):
+            text = f"{k} & " + " ".join((PROSE[lang] * rng.randint(3, 6)).split())
+            want.append(text)
+            body.append(rng.choice(["<p>{}</p>", "<div><p>{}</div>", "<blockquote>{}</blockquote>", "<section><p class='lead text'>{}</p></section>"]).format(text.replace("&", "&amp;").replace(" ", rng.choice([" ", "\n  ", "&#32;"]), 3)))
+            if rng.random() < 0.3:
+                body.append(rng.choice(["<div class=advert>Buy <b>now</b></div>", "<script>if (a < b) { x('<p>no</p>') }</script>", "<style>p { }</style>", "<!-- <p>gone</p> -->", "<aside>Aside</aside>", "<form><input><p>Mail</p></form>"]))
+        inner = "".join(body)
+        inner = f"<{(tag := rng.choice(['article', 'main']))}>{inner}</{tag}>" if article else inner
+        comment = f'<div id="comments"><article class="comment"><p>{PROSE[lang] * 4}</p></article></div>'
+        parts = [rng.choice([MENU, "", "<nav><a href=a>x</a></nav>", f"<header><p>{PROSE[lang] * 3}</p></header>"]), inner, rng.choice(["", comment, f"<div class='site-footer'>{PROSE[lang] * 3}</div>", f"<aside>{PROSE[lang] * 3}</aside>"])]
+        assert html_text.extract("<html><head><title>T</title></head><body>" + "".join(parts)) == "\n\n".join(want)
 
 
 def test_html_density_counts_on_every_page():
