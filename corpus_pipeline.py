@@ -59,5 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         last = i == len(STAGES) - 1
-        docs = stage(spark, docs, sf_dir) if last else settled(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+        docs = stage(spark, docs, sf_dir) if last else settled(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
     return docs

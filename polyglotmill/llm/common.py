@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,26 +30,31 @@ def scratch_dir(spark: SparkSession) -> str:
     return found
 
 
-#: Folders of the scratch tables of this process that `settled` has not deleted.
-_WRITTEN: list[str] = []
+#: The folder of the stage that this thread is in, whose scratch tables go with it.
+_STAGE: ContextVar[str | None] = ContextVar("stage", default=None)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write df as Parquet to shared storage and read it again: lineage ends there, and a lost executor costs nothing."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/scratch-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
+    path = f"{_STAGE.get() or scratch_dir(spark)}/scratch-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def settled(make: Callable[[], DataFrame]) -> DataFrame:
-    """cut(make()); then the scratch tables that make wrote are deleted, since nothing reads them any more."""
-    before = len(_WRITTEN)
-    out = cut(make())
-    own, _WRITTEN[before:] = _WRITTEN[before:-1], _WRITTEN[-1:]
-    for path in own:
-        delete(out.sparkSession, path)
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """cut(make()), with a folder of its own for the scratch tables that make writes; it is deleted then, since nothing reads them any more.
+
+    Stages may run in several threads, or within one another.
+    """
+    own = f"{scratch_dir(spark)}/stage-{uuid.uuid4().hex}"
+    before = _STAGE.set(own)
+    try:
+        rows = make()
+    finally:
+        _STAGE.reset(before)
+    out = cut(rows)
+    delete(spark, own)
     return out
 
 

@@ -13,8 +13,10 @@ Only stretches in which every neighbouring pair of words occurs in the items
 
 The items are broadcast as automata of about MAX_ITEM_WORDS words each, so the
 broadcast has a fixed bound: a longer item goes in pieces that overlap by a
-window but one word. A larger benchmark takes several passes over
-the documents, whose hits are united; nothing is dropped.
+window but one word. A larger benchmark takes several passes over the
+documents, one after another, so a worker holds one automaton at a time; each
+but the last writes its hits (spans, not texts), which the last one unites with
+its own. Nothing is dropped.
 
 Cases: null text or a text without words has no hits. Null or wordless items
 have no windows. Equal items count under each of their ids; items with a null
@@ -29,6 +31,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -214,35 +217,89 @@ def spans_of(hit: np.ndarray | None) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
 
 
-_SCAN = "n_words long, spans array<struct<first:int,last:int>>, items array<string>"
+_HITS = "text_sha256 binary, spans array<struct<first:int,last:int>>, items array<string>"
+_SPANS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MAX_ITEM_WORDS) -> DataFrame:
-    """docs (doc_id, text) with n_words, hit spans (word numbers, end exclusive) and the sorted items."""
-    base = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    span = pa.struct([("first", pa.int32()), ("last", pa.int32())])
-    for k, shared in enumerate(automata(benchmark, window, most)):
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, first=k == 0) -> Iterator[pa.RecordBatch]:
-            machine = _automaton(shared, window)
-            for batch in batches:
-                counts, spans, items = [], [], []
-                for i, text in enumerate(to_bytes(batch.column(1))):
-                    words = split_words(text)
-                    hit, found = machine.scan(words)
+def _pass(docs: DataFrame, shared, window: int) -> DataFrame:
+    """The hits of one chunk's items: text_sha256, spans, items of the texts that have some."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = _automaton(shared, window)
+        for batch in batches:
+            keys, spans, items = [], [], []
+            for text in to_bytes(batch.column(0)):
+                hit, found = machine.scan(split_words(text))
+                if hit is not None:
                     found.discard(None)
-                    if not first and (old := batch.column(3)[i].as_py()):
-                        hit = np.zeros(len(words), dtype=bool) if hit is None else hit
-                        for s in old:
-                            hit[s["first"] : s["last"]] = True
-                    found |= set() if first else set(batch.column(4)[i].as_py())
-                    counts.append(len(words))
+                    keys.append(sha256(text).digest())
                     spans.append([{"first": a, "last": b} for a, b in spans_of(hit)])
                     items.append(sorted(found))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(items, pa.list_(pa.string()))], ["doc_id", "text", "n_words", "spans", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))], ["text_sha256", "spans", "items"])
+
+    return map_arrow(docs.select(F.col("text").cast("string").alias("text")), run, _HITS)
+
+
+def _earlier(docs: DataFrame, shares: list, window: int) -> DataFrame | None:
+    """text_sha256, spans, items of all chunks but the last, one row for each distinct text that has hits; None for one chunk.
+
+    The hits of each chunk are written before the next begins. Spans of several chunks may overlap.
+    """
+    out = None
+    for shared in shares[:-1]:
+        found = _pass(docs, shared, window)
+        # Copies have the same hits: one row of them leaves a task.
+        found = cut(found.groupBy("text_sha256").agg(F.first("spans").alias("spans"), F.first("items").alias("items")))
+        shared.unpersist()
+        out = found if out is None else out.unionByName(found)
+    if out is None or len(shares) == 2:
+        return out
+    # At most a row for each chunk and text.
+    return cut(out.groupBy("text_sha256").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")))
+
+
+def _marked(docs: DataFrame, found: DataFrame | None) -> DataFrame:
+    """docs with two more columns at the end: the spans and items that earlier chunks found in their texts."""
+    spans, items = (next(f"__{x}{i}" for i in range(len(docs.columns) + 1) if f"__{x}{i}" not in docs.columns) for x in ("spans", "items"))
+    if found is None:
+        return docs.select("*", F.lit(None).cast("array<struct<first:int,last:int>>").alias(spans), F.lit(None).cast("array<string>").alias(items))
+    key = F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    held = found.select(F.col("text_sha256").alias("__sha"), F.col("spans").alias(spans), F.col("items").alias(items))
+    joined = docs.join(held, key == F.col("__sha"), "left")
+    return joined.select(*[docs[c] for c in docs.columns], spans, items)
+
+
+def _united(words: list[bytes], machine: Automaton, earlier: list | None) -> tuple[np.ndarray | None, set]:
+    """Which words are hit, by the machine's items or in earlier spans (None if none is), and the machine's items."""
+    hit, found = machine.scan(words)
+    found.discard(None)
+    if earlier:
+        hit = np.zeros(len(words), dtype=bool) if hit is None else hit
+        for s in earlier:
+            hit[s["first"] : s["last"]] = True
+    return hit, found
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MAX_ITEM_WORDS) -> DataFrame:
+    """docs (doc_id, text) with n_words, hit spans (word numbers, end exclusive) and the sorted items."""
+    base = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    kind = f"{docs.select('doc_id').schema.simpleString()[7:-1].replace(':', ' ')}, text string, n_words long, spans array<struct<first:int,last:int>>, items array<string>"
+    shares = automata(benchmark, window, most)
+    marked, last = _marked(base, _earlier(base, shares, window)), shares[-1]
 
-        base = map_arrow(base, run, f"{docs.select('doc_id').schema.simpleString()[7:-1].replace(':', ' ')}, text string, {_SCAN}")
-    return base
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = _automaton(last, window)
+        for batch in batches:
+            counts, spans, items = [], [], []
+            for text, old, named in zip(to_bytes(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                words = split_words(text)
+                hit, found = _united(words, machine, old)
+                counts.append(len(words))
+                spans.append([{"first": a, "last": b} for a, b in spans_of(hit)])
+                items.append(sorted(found | set(named or [])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))], ["doc_id", "text", "n_words", "spans", "items"])
+
+    return map_arrow(marked, run, kind)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -270,45 +327,28 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, span_limi
     All columns stay, in their order. A span is cut if it has span_limit words
     or more, or item_limit words or more and fewer than a window: then it
     consists of whole items that are shorter than a window. A document goes if hit words exceed coverage_limit of its words.
-    The hits of all automata are united on the whole text before that: each
-    pass but the last hands its spans on in a column.
+    The hits of all automata are united on the whole text before that.
     """
-    names, shares = docs.columns, automata(benchmark, window, most)
-    held = next(f"__spans{i}" for i in range(len(names) + 1) if f"__spans{i}" not in names)
-    marked = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"`{held}` array<struct<first:int,last:int>>"])
-    span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-    out = docs
-    for k, shared in enumerate(shares):
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, first=k == 0, final=k == len(shares) - 1) -> Iterator[pa.RecordBatch]:
-            machine = _automaton(shared, window)
-            for batch in batches:
-                at = names.index("text")
-                texts, keep, changed, spans = to_bytes(batch.column(at)), [], {}, []
-                before = [] if first else batch.column(len(names)).to_pylist()
-                for i, text in enumerate(texts):
-                    words = split_words(text)
-                    hit, _ = machine.scan(words)
-                    if before and before[i]:
-                        hit = np.zeros(len(words), dtype=bool) if hit is None else hit
-                        for s in before[i]:
-                            hit[s["first"] : s["last"]] = True
-                    if not final:
-                        spans.append([{"first": a, "last": b} for a, b in spans_of(hit)])
-                        continue
-                    keep.append(hit is None or hit.sum() <= coverage_limit * len(words))
-                    if hit is not None and keep[-1]:
-                        changed[i] = cut_spans(text, [s for s in spans_of(hit) if s[1] - s[0] >= span_limit or item_limit <= s[1] - s[0] < window]).decode()
-                columns, fields = list(batch.columns)[: len(names)], list(batch.schema)[: len(names)]
-                if not final:
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, span)], schema=pa.schema([*fields, pa.field(held, span)]))
-                    continue
-                if changed:
-                    columns[at] = pa.array([changed.get(i, x) for i, x in enumerate(columns[at].to_pylist())], columns[at].type)
-                    if "n_chars" in names:
-                        c = names.index("n_chars")
-                        columns[c] = pa.array([len(changed[i]) if i in changed else x for i, x in enumerate(columns[c].to_pylist())], columns[c].type)
-                yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields)).filter(pa.array(keep, pa.bool_()))
-
-        out = map_arrow(out, run, docs.schema if k == len(shares) - 1 else marked)
-    return out
+    names, at = docs.columns, docs.columns.index("text")
+    shares = automata(benchmark, window, most)
+    marked, last = _marked(docs, _earlier(docs, shares, window)), shares[-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = _automaton(last, window)
+        for batch in batches:
+            columns, fields = list(batch.columns)[: len(names)], list(batch.schema)[: len(names)]
+            keep, changed = [], {}
+            for i, (text, old) in enumerate(zip(to_bytes(columns[at]), batch.column(len(names)).to_pylist())):
+                words = split_words(text)
+                hit, _ = _united(words, machine, old)
+                keep.append(hit is None or bool(hit.sum() <= coverage_limit * len(words)))
+                if hit is not None and keep[-1]:
+                    changed[i] = cut_spans(text, [s for s in spans_of(hit) if s[1] - s[0] >= span_limit or item_limit <= s[1] - s[0] < window]).decode()
+            if changed:
+                columns[at] = pa.array([changed.get(i, x) for i, x in enumerate(columns[at].to_pylist())], columns[at].type)
+                if "n_chars" in names:
+                    c = names.index("n_chars")
+                    columns[c] = pa.array([len(changed[i]) if i in changed else x for i, x in enumerate(columns[c].to_pylist())], columns[c].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields)).filter(pa.array(keep, pa.bool_()))
+
+    return map_arrow(marked, run, docs.schema)

@@ -147,6 +147,18 @@ select doc_id, source, lang, topic, f.tokens, round(weight, 6) as weight, round(
 from f join w using (source, lang, topic)"""
 
 
+def _neighbours_sql() -> str:
+    """Every query with every row."""
+    return f"""
+with e as (select distinct vec_id, embedding::double[] as v from embeddings
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s as (select q.vec_id as query_id, e.vec_id, max(list_inner_product(q.v, e.v)) as score from e q join e on len(q.v) = len(e.v) and q.vec_id <> e.vec_id
+  where q.vec_id % 20 = 0 group by all),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= {ann.K}"""
+
+
 def _divergence_sql() -> str:
     """Dense: every group with every kept term of its language."""
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -205,6 +217,7 @@ from x group by part, filter_order, step"""
 
 ORACLES = {
     "op2_chat_format": _chat_sql(),
+    "op3_vantage_neighbours": _neighbours_sql(),
     "op7_raked_mixture": _mix_sql(),
     "op12_source_divergence": _divergence_sql(),
     "op13_filter_audit": _audit_sql(),

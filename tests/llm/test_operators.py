@@ -196,6 +196,67 @@ def test_neighbours(spark):
     assert ann.search(table.where("vec_id < 0"), F.col("vec_id") == 0).count() == 0
 
 
+def brute_neighbours(rows, k, asked):
+    """Every pair of ids at its best product, by the rule of the contract."""
+    out = {}
+    usable = [(i, v) for i, v in rows if i is not None and v and all(c is not None and np.isfinite(c) for c in v) and any(v)]
+    for q in {i for i, _ in usable if asked(i)}:
+        best = {}
+        for i, v in usable:
+            for j, w in usable:
+                if i == q != j and len(v) == len(w):
+                    best[j] = max(best.get(j, -np.inf), float((np.array(v) * np.array(w)).sum()))
+        out[q] = sorted(best.items(), key=lambda p: (-p[1], p[0]))[:k]
+    return out
+
+
+@pytest.mark.parametrize("relax", [1.0, ann.RELAX])
+@pytest.mark.parametrize("scale", [1.0, 100.0, 1e8, 1e-9])
+def test_recall_beside_a_vector_of_any_norm(spark, scale, relax):
+    """Several trees, at the query's own setting; one vector longer or shorter than the rest by `scale`, and norms over six orders."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 32))
+    x[7] *= scale
+    x[1000:] *= np.exp(rng.normal(size=(500, 1)) * 3)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(frame, F.col("vec_id") % 50 == 0, relax=relax, shard_rows=400).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    want = {q: [int(j) for j in np.lexsort((np.arange(1500), -np.where(np.arange(1500) == q, -np.inf, x @ x[q])))[:20]] for q in range(0, 1500, 50)}
+    hits = [len(set(want[q]) & set(got[q].values())) / 20 for q in want]
+    assert np.mean(hits) >= (1.0 if relax == 1 else 0.95) and min(hits) >= (1.0 if relax == 1 else 0.8)
+    if relax == 1:
+        assert {q: [got[q][k + 1] for k in range(20)] for q in want} == want
+
+
+def test_neighbours_of_equal_product_go_by_id(spark):
+    """Different vectors of one product, more than k: the smallest ids stay, at the edge of a leaf and of a shard too."""
+    rng = np.random.default_rng(5)
+    ids = rng.permutation(2000)
+    rows = [(int(i), [1.0, float(k), float(k % 7), 0.0]) for k, i in enumerate(ids)]
+    rows += [(5000, [3.0, 0.0, 0.0, 0.0]), (5050, [0.0, 0.0, 0.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(frame, F.col("vec_id").isin(5000, 5050), relax=1.0, shard_rows=300).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert sorted(got[5000]) == [(k + 1, k, 3.0) for k in range(20)]
+    assert sorted(got[5050]) == [(k + 1, k, 0.0) for k in range(20)]
+
+
+def test_neighbours_of_odd_rows(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.integers(-3, 4, size=rng.choice([3, 4])).astype(float).tolist()) for i in range(120)]
+    rows += [(3, [1.0, 2.0, 3.0]), (3, [1.0, 2.0, 3.0]), (4, [0.0] * 3), (200, None), (None, [1.0] * 3), (201, [None, 1.0, 2.0]), (202, [float("nan"), 0.0, 1.0]), (203, [float("inf"), 0.0, 1.0]), (204, []), (300, [1.0] * 9)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("shard", F.lit("x")).withColumn("length", F.lit(1))
+    got = {}
+    for r in ann.search(frame, F.col("vec_id") % 3 == 0, k=5, relax=1.0, shard_rows=20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    want = brute_neighbours(rows, 5, lambda i: i % 3 == 0)
+    assert {q: sorted(x) for q, x in got.items()} == {q: [(k + 1, j, s) for k, (j, s) in enumerate(x)] for q, x in want.items() if x}
+    assert ann.search(frame.where("false"), F.lit(True)).count() == 0
+
+
 def token(body):
     n, out = zlib.crc32(body.encode()), ""
     while n:
@@ -256,6 +317,23 @@ def test_decontamination_matches_brute_force(spark, most):
     assert decontaminate.report(docs.where("false"), bench).count() == 0
 
 
+def test_a_worker_holds_one_automaton(spark, docs, monkeypatch):
+    """Ten chunks: ten passes one after another, so no plan holds two of them, and their hits are united."""
+    rng = random.Random(12)
+    items = [(k, prose(rng, 30)) for k in range(60)]
+    rows = [(k, prose(rng, 40) + " " + items[k][1] + " " + items[(k + 7) % 60][1]) for k in range(60)] + [(100, None), (101, items[3][1]), (101, items[3][1])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontaminate.scan(frame, benchmark, most=200)
+    assert len(decontaminate.automata(benchmark, most=200)) > 8
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    whole = decontaminate.scan(frame, benchmark)
+    key = [F.col("doc_id"), "n_words", "spans", "items"]
+    assert sorted(map(repr, found.select(*key).collect())) == sorted(map(repr, whole.select(*key).collect()))
+    clean = [decontaminate.clean(frame, benchmark, most=n) for n in (200, 400_000)]
+    assert sorted(map(repr, clean[0].collect())) == sorted(map(repr, clean[1].collect())) and clean[0].columns == frame.columns
+
+
 def test_decontamination_cuts_spans(spark):
     item = " ".join(f"b{i}" for i in range(12))
     rows = [(1, f"Start é here, {item.upper()}! and {' '.join(f'c{i}' for i in range(30))}", "en", "s", 1), (2, item + " x", "en", "s", 1), (3, "clean", "en", "s", 5), (4, None, "en", "s", None)]

@@ -1,11 +1,14 @@
 """The pipeline and the registered queries at the smallest scale."""
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
+
 import duckdb
 import pandas as pd
 import pytest
 
 import corpus_pipeline
-from polyglotmill.llm import langid, queries
+from polyglotmill.llm import common, langid, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,10 +26,29 @@ def test_first_stage_on_rows_without_letters(spark):
     assert [r.doc_id for r in langid.keep_known(rows, langid.fit(rows)).collect()] == [3]
 
 
+def test_stages_of_two_threads_keep_their_tables(spark):
+    started, go_on = threading.Event(), threading.Event()
+
+    def slow():
+        held = common.cut(spark.range(5))
+        started.set()
+        go_on.wait(60)
+        return held.selectExpr("id * 2 as id")
+
+    with ThreadPoolExecutor(2) as pool:
+        one = pool.submit(common.settled, spark, slow)
+        started.wait(60)
+        two = common.settled(spark, lambda: common.cut(spark.range(3)))
+        outer = common.settled(spark, lambda: common.settled(spark, lambda: common.cut(spark.range(4))).unionByName(common.cut(spark.range(1))))
+        go_on.set()
+        assert sorted(r.id for r in one.result().collect()) == [0, 2, 4, 6, 8]
+    assert two.count() == 3 and outer.count() == 5
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "labels", "embeddings"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, SF).toPandas(), con.sql(queries.ORACLES[name]).df()
     columns = sorted(got.columns)
