@@ -1,9 +1,9 @@
 """Chat formatting (operator 2): typed content parts, in DataFrame functions only.
 
 A message holds parts of a type: text, image, audio or document. A visitor
-(one expression per type) flattens them in order: text is escaped, every other
-part becomes a placeholder, its reference is recorded, and the number of
-tokens that the placeholder expands to is counted. Turns read
+(one expression per type) flattens them in order: texts side by side are joined
+and escaped, every other part becomes a placeholder, its reference is recorded,
+and the number of tokens that the placeholder expands to is counted. Turns read
 
     <|im_start|>role\\n body <|im_end|>\\n
 
@@ -70,11 +70,26 @@ def part_tokens(part: Column) -> Column:
     return F.when(kind == "image", image).when(kind == "audio", audio).when(kind == "document", pages).otherwise(0).cast("long")
 
 
-def visit(part: Column) -> Column:
-    """The part's text in the body."""
+def placeholder(part: Column) -> Column:
+    """What stands in the body for a part that is no text."""
     kind = part["type"]
-    mark = F.when(kind.isin("image", "audio", "document"), F.concat(F.lit("<|"), kind, F.lit("|>"))).otherwise("<|attachment|>")
-    return F.when(kind == "text", escape(F.coalesce(part["text"], F.lit("")))).otherwise(mark)
+    return F.when(kind.isin("image", "audio", "document"), F.concat(F.lit("<|"), kind, F.lit("|>"))).otherwise("<|attachment|>")
+
+
+def visit(parts: Column) -> Column:
+    """The body of a message. Texts side by side are one run, escaped as a whole: no control string comes about where they meet."""
+    others = F.filter(F.transform(parts, lambda p, i: F.when(~p["type"].eqNullSafe("text"), i)), lambda i: i.isNotNull())
+    edges = F.concat(F.array(F.lit(-1)), others, F.array(F.size(parts)))
+
+    def of(edges: Column) -> Column:
+        def piece(j: Column) -> Column:
+            first, end = F.get(edges, j), F.get(edges, j + 1)
+            run = F.transform(F.slice(parts, first + 2, end - first - 1), lambda p: F.coalesce(p["text"], F.lit("")))
+            return F.concat(escape(F.array_join(run, "")), F.when(end < F.size(parts), placeholder(F.get(parts, end))).otherwise(""))
+
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(edges) - 2), piece), "")
+
+    return F.get(F.transform(F.array(edges), of), F.lit(0))
 
 
 def format_chat(messages: DataFrame) -> DataFrame:
@@ -82,7 +97,7 @@ def format_chat(messages: DataFrame) -> DataFrame:
     parts = F.coalesce(F.col("parts"), F.array().cast(f"array<{PART}>"))
     # The one shuffle moves the parts; what is made of them is made after it.
     rows = messages.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), parts.alias("parts")).repartition("conv_id")
-    rows = rows.select("conv_id", "turn", "role", F.array_join(F.transform("parts", lambda p: F.coalesce(p["text"], F.lit(""))), "").alias("raw"), F.concat(F.lit(START), encode_role(F.col("role")), F.lit("\n")).alias("head"), F.array_join(F.transform("parts", visit), "").alias("body"),
+    rows = rows.select("conv_id", "turn", "role", F.array_join(F.transform("parts", lambda p: F.coalesce(p["text"], F.lit(""))), "").alias("raw"), F.concat(F.lit(START), encode_role(F.col("role")), F.lit("\n")).alias("head"), visit(F.col("parts")).alias("body"),
         F.transform(F.filter("parts", lambda p: ~p["type"].eqNullSafe("text")), lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), part_tokens(p).alias("tokens"))).alias("attached"))
     rows = rows.withColumn("chunk", F.concat("head", "body", F.lit(END)))
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "raw", "chunk")
