@@ -139,14 +139,26 @@ def family(backend: Column) -> Column:
     return F.split_part(backend, F.lit(":"), F.lit(1))
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    """Of lower-cased word sets; 0 if either is empty."""
+def word_set(text: Column) -> Column:
+    """The distinct words of the lower-cased text."""
+    return F.array_distinct(F.filter(F.split(F.lower(text), SPACE + "+"), lambda w: w != ""))
+
+
+def set_jaccard(x: Column, y: Column) -> Column:
+    """Of two arrays of distinct values; 0 if either is empty."""
 
-    def words(text):
-        return F.array_distinct(F.filter(F.split(F.lower(text), SPACE + "+"), lambda w: w != ""))
+    def of(pair: Column) -> Column:
+        both = F.size(F.array_intersect(pair["x"], pair["y"]))
+        some = (F.size(pair["x"]) > 0) & (F.size(pair["y"]) > 0)
+        return F.when(some, both / (F.size(pair["x"]) + F.size(pair["y"]) - both)).otherwise(0.0)
 
-    x, y = words(a), words(b)
-    return F.when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)))
+    # Named once, so that neither set is made again for each of its uses.
+    return F.get(F.transform(F.array(F.struct(x.alias("x"), y.alias("y"))), of), F.lit(0))
+
+
+def jaccard(a: Column, b: Column) -> Column:
+    """Of lower-cased word sets; 0 if either is empty."""
+    return set_jaccard(word_set(a), word_set(b))
 
 
 def prompt(strategy_: Column, language: Column, source: Column, draft: Column) -> Column:

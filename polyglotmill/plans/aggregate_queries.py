@@ -95,14 +95,16 @@ _REASON = "s.metric || '=' || printf('%.3f', s.score) || ' < ' || case s.metric
 
 @query(f"with {x.SQL_SCORES} select record_id, target_lang, string_agg({_REASON}, '; ' order by {_REASON}) as flag_reasons from scores s join {_LIMITS} l on s.metric = l.metric where s.score < l.min_score::double group by record_id, target_lang")
 def flag_reasons(spark, sf_dir):
-    return r.flags(x.scores(spark, sf_dir), spark.createDataFrame(list(d.THRESHOLDS.items()), "metric string, min_score double"))
+    return r.flags(x.scores(spark, sf_dir).drop("doc_id"), spark.createDataFrame(list(d.THRESHOLDS.items()), "metric string, min_score double"))
 
 
 @query(f"""with {x.SQL_SCORES}, flagged as (select distinct record_id, target_lang from scores s join {_LIMITS} l on s.metric = l.metric where s.score < l.min_score::double)
 select l.target_lang, count(*) as total, count(f.record_id) as flagged, round(count(f.record_id)::double / count(*), 6) as flag_rate from log l left join flagged f on l.record_id = f.record_id and l.target_lang = f.target_lang group by l.target_lang""")
 def qa_flagging(spark, sf_dir):
-    flags = r.flags(x.scores(spark, sf_dir), spark.createDataFrame(list(d.THRESHOLDS.items()), "metric string, min_score double"))
-    rows = x.log(spark, sf_dir).select("record_id", "target_lang").join(flags, ["record_id", "target_lang"], "left")
+    # The number of a document is a smaller key than its record id, which is put together from it.
+    key = ["doc_id", "target_lang"]
+    flags = r.flags(x.scores(spark, sf_dir), spark.createDataFrame(list(d.THRESHOLDS.items()), "metric string, min_score double"), key)
+    rows = x.log(spark, sf_dir).select(*key).join(flags, key, "left")
     hit = F.count("flag_reasons")
     return rows.groupBy("target_lang").agg(F.count("*").alias("total"), hit.alias("flagged"), F.round(hit / F.count("*"), 6).alias("flag_rate"))
 
@@ -178,8 +180,8 @@ def sorted_distinct(spark, sf_dir):
 @query(f"""with {x.SQL_SCORES}, q as (select record_id, target_lang, max(score) filter (metric = 'comet') as qa_comet, max(score) filter (metric = 'chrf') as qa_chrf, max(score) filter (metric = 'backtranslation') as qa_backtranslation, max(score) filter (metric = 'gemba') as qa_gemba from scores group by record_id, target_lang)
 select l.record_id, l.target_lang, l.status, l.backend, qa_comet, qa_chrf, qa_backtranslation, qa_gemba from log l left join q on l.record_id = q.record_id and l.target_lang = q.target_lang""")
 def wide_output(spark, sf_dir):
-    rows = x.log(spark, sf_dir).select("record_id", "target_lang", "status", "backend")
-    return sinks.wide(rows, x.scores(spark, sf_dir), list(d.THRESHOLDS))
+    rows = x.log(spark, sf_dir).select("doc_id", "record_id", "target_lang", "status", "backend")
+    return sinks.wide(rows, x.scores(spark, sf_dir), list(d.THRESHOLDS), ("doc_id", "target_lang")).drop("doc_id")
 
 
 @query(f"with {x.SQL_LOG}, s as (select target_lang, count(*) as total from log group by target_lang) select '{{\"target_lang\":\"' || target_lang || '\",\"total\":' || total || '}}' as report from s")

@@ -77,7 +77,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("metric") == "comet", (doc * 17 + m) % 100 / 100.0).when(F.col("metric") == "chrf", ((doc * 31 + m) % 80).cast("double")).when(F.col("metric") == "backtranslation", (doc * 7 + m) % 90 / 90.0)
         .otherwise(F.when((doc + m) % 11 == 0, -1.0).otherwise(((doc * 13 + m) % 101).cast("double")))
     )
-    return rows.select("record_id", "target_lang", "metric", score.alias("score"))
+    return rows.select("doc_id", "record_id", "target_lang", "metric", score.alias("score"))
 
 
 #: Prompts with examples, a mark and a payload, by doc_id; a third lacks the mark.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dimensions as d
-from ..functions import similarity
+from ..functions import profiles, similarity
 from ..functions import text as t
 from ..functions.unwrap import unwrap_text as unwrap_column
 from ..operators import models
@@ -181,9 +181,10 @@ def _wordset(column: str) -> str:
 @query(f"""with p as (select d.doc_id, {_wordset('d.text')} as a, {_wordset('b.text')} as b from documents d join benchmark b on b.item_id = d.doc_id % 40)
 select doc_id, round(case when len(a) = 0 or len(b) = 0 then 0 else len(list_intersect(a, b))::double / len(list_distinct(list_concat(a, b))) end, 6) as overlap from p""")
 def jaccard_tokens(spark, sf_dir):
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("ref"))
+    # The items' words are made before the join, once for each item.
+    items = table(spark, sf_dir, "benchmark").select("item_id", t.word_set(F.col("text")).alias("ref"))
     pairs = table(spark, sf_dir, "documents").join(items, F.col("doc_id") % 40 == F.col("item_id"))
-    return pairs.select("doc_id", F.round(t.jaccard(F.col("text"), F.col("ref")), 6).alias("overlap"))
+    return pairs.select("doc_id", F.round(t.set_jaccard(t.word_set(F.col("text")), F.col("ref")), 6).alias("overlap"))
 
 
 def _chrf_sql() -> str:
@@ -225,6 +226,37 @@ def embedding_cosine(spark, sf_dir):
     return a.join(b, "vec_id").select("vec_id", F.round(similarity.cosine(F.col("x"), F.col("y")), 6).alias("cosine"))
 
 
+@query("""with c as (select a.vec_id // 8 as text_id, a.vec_id as one, b.vec_id as two, list_cosine_similarity(a.embedding::double[], b.embedding::double[]) as cosine
+  from embeddings a join embeddings b on b.vec_id // 8 = a.vec_id // 8 + 1),
+p as (select text_id, avg(best) as p from (select text_id, one, max(cosine) as best from c group by all) group by text_id),
+r as (select text_id, avg(best) as r from (select text_id, two, max(cosine) as best from c group by all) group by text_id)
+select text_id, round(p, 6) as "precision", round(r, 6) as recall, round(case when p + r > 0 then 2 * p * r / (p + r) else 0 end, 6) as f1 from p join r using (text_id)""")
+def token_f1(spark, sf_dir):
+    """Eight vectors are a text's tokens; each text is matched with the next one."""
+    tokens = table(spark, sf_dir, "embeddings").groupBy(F.floor(F.col("vec_id") / 8).alias("text_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct("vec_id", "embedding"))), lambda x: x["embedding"]).alias("tokens"))
+    other = tokens.select((F.col("text_id") - 1).alias("text_id"), F.col("tokens").alias("other"))
+    scored = tokens.join(other, "text_id").select("text_id", similarity.token_match(F.col("tokens"), F.col("other")).alias("s"))
+    return scored.select("text_id", *[F.round(f"s.{c}", 6).alias(c) for c in ("precision", "recall", "f1")])
+
+
+_GRAM_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(f"""with w as (select doc_id, lang, unnest({_GRAM_WORDS}) as w from documents), c as (select doc_id, lang, '_' || w || '_' as w, count(*) as n from w group by all),
+g as (select doc_id, lang, n, unnest(list_concat([w[i:i] for i in range(2, length(w))], [w[i:i + 1] for i in range(1, length(w))], [w[i:i + 2] for i in range(1, length(w) - 1)])) as gram from c),
+s as (select doc_id, lang, gram, sum(n) as n from g group by all),
+mine as (select doc_id, gram, row_number() over (partition by doc_id order by n desc, gram) as rank from s qualify rank <= {profiles.SIZE}),
+learned as (select lang, gram, row_number() over (partition by lang order by sum(n) desc, gram) as rank from s where doc_id % 5 <> 0 and lang is not null group by lang, gram qualify rank <= {profiles.SIZE}),
+d as (select doc_id, l.lang, sum(abs(mine.rank - l.rank) - {profiles.SIZE}) as less from mine join learned l using (gram) group by doc_id, l.lang),
+best as (select doc_id, arg_min(lang, (less, lang)) as found from d group by doc_id)
+select doc_id, doc_id % 5 = 0 as held_out, found from documents left join best using (doc_id)""")
+def lang_profiles(spark, sf_dir):
+    """Languages by ranked n-gram profiles, learned from the documents whose number is not divisible by five."""
+    docs = table(spark, sf_dir, "documents")
+    learned = profiles.learn(docs.where("doc_id % 5 <> 0"), "text", "lang")
+    return profiles.predict(docs, "text", learned).select("doc_id", (F.col("doc_id") % 5 == 0).alias("held_out"), "found")
+
+
 def _drafts(spark, sf_dir):
     rows = r.fan_out(x.source(spark, sf_dir).select("record_id", "source_text"), ["de", "ja", "zh"])
     return rows.withColumn("draft", F.lit(None).cast("string"))
