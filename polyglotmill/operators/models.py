@@ -1,10 +1,12 @@
 """Model-call operators: backends and metrics behind small contracts, run inside mapInPandas.
 
-A backend is started once in each Python worker. Calls happen in batches; the
-operator keeps keys with results, so nothing is joined by position. Put
-`relational.pending` and a `select` before it: Catalyst does not move filters
-or prune columns through Python. Outputs should be written before they are
-used twice, so that no call is paid for twice.
+A backend is started once in each Python worker. Calls happen in batches of a
+size that the run sets, several at a time if it says so; the operator keeps
+keys with results, so nothing is joined by position. A batch that fails for
+good is divided, down to the rows that are to blame: one bad text does not fail
+the others. Put `relational.pending` and a `select` before it: Catalyst does
+not move filters or prune columns through Python. Outputs should be written
+before they are used twice, so that no call is paid for twice.
 """
 
 from __future__ import annotations
@@ -12,12 +14,14 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 from ..functions import dimensions as d
+from . import rate
 
 
 class Backend(Protocol):
@@ -38,17 +42,24 @@ BACKENDS: dict[str, Callable[[], Backend]] = {}
 METRICS: dict[str, Callable[[], Metric]] = {}
 
 
-def _named(table: dict, name: str):
+def _named(table: dict, name):
+    """A registered class by name, or what makes one."""
+    if callable(name):
+        return name()
     if name not in table:
         raise KeyError(f"unknown name {name!r}; there are {sorted(table)}")
     return table[name]()
 
 
-def backend(name: str) -> Backend:
-    return _named(BACKENDS, name)
+def backend(name, model: str | None = None) -> Backend:
+    """With a model, that is the backend's `model` and the end of its name."""
+    out = _named(BACKENDS, name)
+    if model and model != "auto":
+        out.model, out.name = model, f"{out.name}:{model}"
+    return out
 
 
-def metric(name: str) -> Metric:
+def metric(name) -> Metric:
     return _named(METRICS, name)
 
 
@@ -86,20 +97,20 @@ def call(model: Backend, texts: list[str], langs: list[str], drafts: list[str |
     raise AssertionError
 
 
-class Pace:
-    """At most `per_second` calls in one Python worker; divide a global rate by the number of running tasks."""
+def each(model: Backend, texts: list[str], langs: list[str], drafts: list[str | None], tries: int = 3, sleep: Callable[[float], None] = time.sleep) -> list[tuple[str | None, str, int]]:
+    """(result, status, retries) of every row. A batch whose error is neither transient nor a rate limit is divided in two, until one row has it."""
+    said, status, retries = call(model, texts, langs, drafts, tries, sleep)
+    if status == "ok" and len(said) != len(texts):
+        said, status = [None] * len(texts), f"error: {len(said)} results for {len(texts)} texts"
+    if status == "ok" or len(texts) == 1 or retries == tries - 1 > 0:
+        return [(x, status, retries) for x in said]
+    half = len(texts) // 2
+    parts = (slice(0, half), slice(half, None))
+    return [row for p in parts for row in each(model, texts[p], langs[p], drafts[p], tries, sleep)]
 
-    def __init__(self, per_second: float | None):
-        self.gap, self.next = 1 / per_second if per_second else 0.0, 0.0
 
-    def wait(self) -> None:
-        now = time.monotonic()
-        if self.gap and now < self.next:
-            time.sleep(self.next - now)
-        self.next = max(now, self.next) + self.gap
-
-
-ATTEMPT = "record_id string, target_lang string, seq int, backend string, text string, status string, retries int, accepted boolean"
+ATTEMPT = "record_id string, target_lang string, seq int, backend string, text string, status string, retries int, accepted boolean, latency_ms double"
+_COLUMNS = [c.split()[0] for c in ATTEMPT.split(", ")]
 
 
 def never(text: str | None, source: str, lang: str) -> bool:
@@ -118,36 +129,65 @@ def refuses(text: str | None, source: str, lang: str, ratio: float = 0.1) -> boo
     return bool(native and native.search(text)) or len(source) > 20 and len(text) / len(source) < ratio
 
 
-def refine(rows: DataFrame, names: list[str], refuses: Callable[[str | None, str, str], bool], per_second: float | None = None) -> DataFrame:
+def refine(rows: DataFrame, names: list, refuses: Callable[[str | None, str, str], bool], per_second: float | None = None, batch_size: int | None = None, concurrent: int = 1, models: dict[str, str] | None = None, tasks: int | None = None) -> DataFrame:
     """rows (record_id, target_lang, source_text, draft) -> every attempt; stops at a row's first accepted one.
 
     Short-circuiting lives in one Python operator, as a plan can't express it:
     a later backend sees only the rows that no earlier one has answered.
+
+    batch_size: rows of a call. concurrent: calls of a task under way at once;
+    the backend must allow it. models: the model by backend. per_second: calls
+    of all tasks together, which then run side by side in a barrier stage of
+    `tasks` (the cluster's slots). Dynamic allocation has no such stage; there
+    every task gets a fixed share. The latency of a row is that of its batch
+    divided by its rows.
     """
+    spark = rows.sparkSession
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    shared = per_second is not None and spark.conf.get("spark.dynamicAllocation.enabled", "false") != "true"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models, pace = [backend(n) for n in names], Pace(per_second)
-        for m in models:
+        pace = rate.in_stage(per_second) if shared else rate.Pace(per_second / tasks if per_second else None)
+        made = [backend(n, (models or {}).get(n) if isinstance(n, str) else None) for n in names]
+        for m in made:
             m.startup()
-        for batch in batches:
-            left, out = batch, []
-            for seq, model in enumerate(models, 1):
-                able = left[left.target_lang.map(model.supports).astype(bool)] if len(left) else left
-                if not len(able):
-                    continue
+
+        def one(model: Backend, part: pd.DataFrame) -> pd.DataFrame:
+            began = time.perf_counter()
+            drafts = [None if pd.isna(x) else x for x in part.draft]
+            answers = each(model, part.source_text.tolist(), part.target_lang.tolist(), drafts)
+            out = part[["record_id", "target_lang"]].copy()
+            out["text"], status, out["retries"] = ([x[k] for x in answers] for k in range(3))
+            refused = [x == "ok" and refuses(text, source, lang) for x, text, source, lang in zip(status, out.text, part.source_text, part.target_lang)]
+            out["status"] = ["refused" if no else x for no, x in zip(refused, status)]
+            out["accepted"] = out.status == "ok"
+            out["latency_ms"] = (time.perf_counter() - began) * 1000 / len(part)
+            return out
+
+        def parts(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            size = batch_size or len(rows)
+            for i in range(0, len(rows), size):
                 pace.wait()
-                drafts = [None if pd.isna(x) else x for x in able.draft]
-                said, status, retries = call(model, able.source_text.tolist(), able.target_lang.tolist(), drafts)
-                found = able[["record_id", "target_lang"]].copy()
-                found["seq"], found["backend"], found["text"], found["retries"] = seq, model.name, said, retries
-                found["status"] = [("refused" if refuses(x, s, lang) else "ok") if status == "ok" else status for x, s, lang in zip(said, able.source_text, able.target_lang)]
-                found["accepted"] = found.status == "ok"
-                out.append(found)
-                left = left.drop(found.index[found.accepted])
-            if out:
-                yield pd.concat(out)[[c.split()[0] for c in ATTEMPT.split(", ")]]
-
-    return rows.select("record_id", "target_lang", "source_text", "draft").mapInPandas(run, ATTEMPT)
+                yield rows.iloc[i : i + size]
+
+        with ThreadPoolExecutor(concurrent) as pool:
+            for batch in batches:
+                left, out = batch, []
+                for seq, model in enumerate(made, 1):
+                    able = left[left.target_lang.map(model.supports).astype(bool)] if len(left) else left
+                    if not len(able):
+                        continue
+                    waiting = [pool.submit(one, model, part) for part in parts(able)]
+                    found = pd.concat([w.result() for w in waiting])
+                    found["seq"], found["backend"] = seq, model.name
+                    out.append(found)
+                    left = left.drop(found.index[found.accepted])
+                if out:
+                    yield pd.concat(out)[_COLUMNS]
+        pace.finish()
+
+    asked = rows.select("record_id", "target_lang", "source_text", "draft")
+    return asked.repartition(tasks).mapInPandas(run, ATTEMPT, barrier=True) if shared else asked.mapInPandas(run, ATTEMPT)
 
 
 def judge(rows: DataFrame, names: list[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import settings as s
+from ..functions import dimensions as d
 from ..operators import models, relational, report
 from ..sources import readers, sinks
 from ..sources.checkpoints import KEY, Checkpoint
@@ -22,9 +23,23 @@ from ..sources.checkpoints import KEY, Checkpoint
 _SCORES = "record_id string, target_lang string, metric string, score double"
 
 
-def _attempts(rows: DataFrame, saved: Checkpoint, names: list[str], refuses, per_second: float | None = None) -> DataFrame:
+def languages(settings: dict) -> list[str]:
+    """The target languages by ISO code. A name, tag or model code of a known or a custom language will do; others are an error.
+
+    A custom language replaces the known one of its code.
+    """
+    known = {row[1]: (row[0], row[1], row[2], row[-1]) for row in d.LANGUAGES}
+    known |= {x["iso"]: (x["nllb_code"], x["iso"], x["bcp47"], x["display_name"]) for x in settings["custom_languages"]}
+    names = {name: iso for iso, row in reversed(known.items()) for name in (row[3].lower(), row[2], row[0])} | {iso: iso for iso in known}
+    missing = [x for x in settings["target_languages"] if x not in names and x.lower() not in names]
+    if missing:
+        raise ValueError(f"unknown languages {missing}; add them as custom languages")
+    return list(dict.fromkeys(names.get(x) or names[x.lower()] for x in settings["target_languages"]))
+
+
+def _attempts(rows: DataFrame, saved: Checkpoint, names: list[str], refuses, **how) -> DataFrame:
     """All attempts of the rows, after calling the backends for the keys that have none."""
-    made = models.refine(relational.pending(rows, saved.load()), names, refuses, per_second)
+    made = models.refine(relational.pending(rows, saved.load()), names, refuses, **how)
     # A key is done if an attempt was accepted, or if none of its attempts was an error.
     stage = Checkpoint(saved.spark, f"{saved.path}/stage-{uuid.uuid4().hex}", models.ATTEMPT, [*KEY, "seq"])
     stage.save(made)
@@ -37,7 +52,7 @@ def _attempts(rows: DataFrame, saved: Checkpoint, names: list[str], refuses, per
 
 def run(spark: SparkSession, settings: dict, resume: bool = False, force: bool = False) -> dict[str, DataFrame]:
     """Run (or resume) and write; returns wide, attempts, scores and the report by language."""
-    source, tiers, out = settings["input"], settings["tiers"], settings["output"]
+    source, tiers, out, targets = settings["input"], settings["tiers"], settings["output"], languages(settings)
     mark, base = s.fingerprint(settings), settings["checkpoint"]["directory"].rstrip("/")
     signed = Checkpoint(spark, base, models.ATTEMPT)
     if resume:
@@ -48,14 +63,23 @@ def run(spark: SparkSession, settings: dict, resume: bool = False, force: bool =
 
     frame = readers.read(spark, source["source"], mirror=source["mirror"], subset=source["subset"], split=source["split"])
     records = readers.records(frame, source["source_text_column"], source["id_column"], metadata=source["metadata_columns"], source_lang=source["source_language"])
-    todo = relational.fan_out(records.where("source_text is not null"), settings["target_languages"])
-
-    first = _attempts(todo.withColumn("draft", F.lit(None).cast("string")), Checkpoint(spark, f"{base}/tier1", models.ATTEMPT, [*KEY, "seq"]), [tiers["tier1"]["backend"]], models.never, tiers["tier1"]["calls_per_second"])
+    todo = relational.fan_out(records.where("source_text is not null"), targets)
+
+    one, two = tiers["tier1"], tiers["tier2"]
+    saved = [Checkpoint(spark, f"{base}/{x}", models.ATTEMPT, [*KEY, "seq"]) for x in ("tier1", "tier2")]
+    first = _attempts(
+        todo.withColumn("draft", F.lit(None).cast("string")), saved[0], [one["backend"]], models.never,
+        per_second=one["calls_per_second"], batch_size=one["batch_size"], models={one["backend"]: one["model"]},
+    )
     drafts = first.where("accepted").select(*KEY, F.col("text").alias("draft"), F.col("backend").alias("tier1_backend"))
     joined = todo.join(drafts, KEY, "left")
-    if tiers["tier2"]["enabled"]:
-        names = list(dict.fromkeys([tiers["tier2"]["backend"], *tiers["tier2"]["fallback_order"]]))
-        second = _attempts(joined.where("draft is not null"), Checkpoint(spark, f"{base}/tier2", models.ATTEMPT, [*KEY, "seq"]), names, models.refuses, tiers["tier2"]["calls_per_second"])
+    if two["enabled"]:
+        names = list(dict.fromkeys([two["backend"], *two["fallback_order"]]))
+        # One row a call, so many calls at once.
+        second = _attempts(
+            joined.where("draft is not null"), saved[1], names, models.refuses,
+            per_second=two["calls_per_second"], batch_size=1, concurrent=two["max_concurrent"], models=two["model"],
+        )
     else:
         second = spark.createDataFrame([], models.ATTEMPT)
     final = relational.ordered_fallback(second, joined.select(*KEY, F.col("draft").alias("base_text")))
