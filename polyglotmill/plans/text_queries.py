@@ -310,7 +310,7 @@ def stream_resume(spark, sf_dir):
 
     for _ in range(2):
         incremental.resume(_events(spark, sf_dir), work, f"{at}/sink", f"{at}/checkpoint", ["event_id"]).awaitTermination()
-    return spark.read.parquet(f"{at}/sink")
+    return incremental.results(spark, f"{at}/sink")
 
 
 @query("select event_id, case when event_id % 7 = 0 then 'ok' when event_id % 10 = 0 then 'refused' else 'ok' end as status from events")
@@ -325,7 +325,7 @@ def stream_retry(spark, sf_dir):
 
     incremental.resume(events, work(True), f"{at}/sink", f"{at}/checkpoint", ["event_id"]).awaitTermination()
     incremental.retry(spark, work(False), f"{at}/sink", table(spark, sf_dir, "events"), ["event_id"])
-    return spark.read.parquet(f"{at}/sink")
+    return incremental.results(spark, f"{at}/sink")
 
 
 @query("select distinct user_id, event_type from events")

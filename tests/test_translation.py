@@ -136,3 +136,33 @@ def test_error_rows_of_a_stream_come_back(spark, tmp_path):
     incremental.resume(source, work([]), f"{at}/sink", f"{at}/ck", ["id"]).awaitTermination()
     assert calls[2:] == [[(False, 4), (False, 6)]] and len(done()) == 8
     assert sorted(r.id for r in done() if r.id is not None) == list(range(7))
+
+
+def test_who_waits_is_written_once(spark, tmp_path):
+    """A row that keeps failing lies in the last two folders at most, and a batch reads one of them."""
+    at, schema = str(tmp_path), "id long"
+
+    def work(batch):
+        return batch.select("id", F.when(F.col("id") == 0, "error: timeout").otherwise("ok").alias("status"))
+
+    for n in range(5):
+        spark.createDataFrame([(2 * n,), (2 * n + 1,), (1,)], schema).write.mode("append").parquet(f"{at}/in")
+        incremental.resume(spark.readStream.schema(schema).parquet(f"{at}/in"), work, f"{at}/sink", f"{at}/ck", ["id"]).awaitTermination()
+    folders = sorted((tmp_path / "sink-retry").iterdir())
+    assert len(folders) == 2 and [spark.read.parquet(str(x)).count() for x in folders] == [1, 1]
+    assert sorted(r.id for r in incremental.results(spark, f"{at}/sink").collect()) == list(range(1, 10))
+
+
+def test_a_lost_checkpoint_repeats_nothing(spark, tmp_path):
+    at, schema, seen = str(tmp_path), "id long", []
+
+    def work(batch):
+        seen.append(sorted(r.id for r in batch.select("id").collect()))
+        return batch.select("id", F.lit("ok").alias("status"))
+
+    spark.range(6).write.parquet(f"{at}/in")
+    source = spark.readStream.schema(schema).parquet(f"{at}/in")
+    for checkpoint in ("one", "two"):
+        incremental.resume(source, work, f"{at}/sink", f"{at}/{checkpoint}", ["id"]).awaitTermination()
+        spark.createDataFrame([(6,)], schema).write.mode("append").parquet(f"{at}/in")
+    assert seen == [list(range(6)), [6]] and incremental.results(spark, f"{at}/sink").count() == 7
