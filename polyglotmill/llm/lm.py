@@ -103,7 +103,7 @@ def counts(docs: DataFrame) -> DataFrame:
 def head(found: DataFrame, most: int) -> list[tuple[bytes, int]]:
     """The end, then the most frequent tokens, `most` at most; those that tie with the next one stay out."""
     by_count = found.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).limit(most).collect()
-    least, room = None, most
+    least, room = None, most - 1
     for row in by_count:  # at most `most` rows, since each count has a token
         room -= row.tokens
         if room < 0:
