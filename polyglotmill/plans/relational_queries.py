@@ -121,35 +121,46 @@ def template_lookup_fallback(spark, sf_dir):
     return rows.select("record_id", "target_lang", F.coalesce("template", F.lit("")).alias("template"), F.when(F.col("template").isNull(), "normal").otherwise("cipher").alias("used"))
 
 
-_NAMES = [("de",), ("fra_Latn",), ("zh-Hans",), ("german",), ("JAPANESE",), ("xx",), ("nb",), ("zh-TW",), ("EN",)]
 _LANG_SQL = d.values_sql([(n, i, b, s, v, g, name) for n, i, b, s, v, g, name in d.LANGUAGES], "nllb_code, iso, bcp47, script, resource_level, lang_group, display_name")
+#: How documents name their language: code, model code, name in either case, a tag, or something unknown.
+_SQL_NAMED = f"""named as (select doc_id, case doc_id % 6 when 0 then d.lang when 1 then nllb_code when 2 then lower(display_name) when 3 then upper(display_name) when 4 then bcp47 else d.lang || '-xx' end as name
+  from documents d left join (select iso, nllb_code, bcp47, display_name from {_LANG_SQL}) b on b.iso = d.lang)"""
+
+
+def _named(spark, sf_dir):
+    known = d.languages(spark).select(F.col("iso").alias("lang"), "nllb_code", "bcp47", "display_name")
+    rows, k = table(spark, sf_dir, "documents").join(known, "lang", "left"), F.col("doc_id") % 6
+    name = F.when(k == 0, F.col("lang")).when(k == 1, F.col("nllb_code")).when(k == 2, F.lower("display_name")).when(k == 3, F.upper("display_name")).when(k == 4, F.col("bcp47")).otherwise(F.concat("lang", F.lit("-xx")))
+    return rows.select("doc_id", name.alias("name"))
 
 
 def _find_sql(languages: str) -> str:
-    return f"""with l as {languages}, k as (select iso as key, 0 as p, l.* from l union all select nllb_code, 1, l.* from l union all select bcp47, 2, l.* from l union all select lower(display_name), 3, l.* from l),
-hits as (select n.name, k.iso, k.nllb_code, k.display_name, row_number() over (partition by n.name order by k.p) as rn from {d.values_sql(_NAMES, "name")} n join k on k.key = n.name and k.p < 3 or k.p = 3 and k.key = lower(n.name))
-select n.name, iso, nllb_code, display_name from {d.values_sql(_NAMES, "name")} n left join hits h on n.name = h.name and rn = 1"""
+    return f"""with l as {languages}, {_SQL_NAMED}, k as (select iso as key, 0 as p, l.* from l union all select nllb_code, 1, l.* from l union all select bcp47, 2, l.* from l union all select lower(display_name), 3, l.* from l),
+hits as (select n.doc_id, k.iso, k.nllb_code, k.display_name, row_number() over (partition by n.doc_id order by k.p) as rn from named n join k on k.key = n.name and k.p < 3 or k.p = 3 and k.key = lower(n.name))
+select n.doc_id, n.name, iso, nllb_code, display_name from named n left join hits h on n.doc_id = h.doc_id and rn = 1"""
 
 
 @query(_find_sql(_LANG_SQL))
 def language_lookup(spark, sf_dir):
-    names = spark.createDataFrame(_NAMES, "name string")
-    return r.find_language(names, "name", r.language_keys(spark))
+    """Every document's language, however it is named."""
+    return r.find_language(_named(spark, sf_dir), "name", r.language_keys(spark))
 
 
-_NEW = [("kat_Geor", "ka", "ka", "Geor", "low", "europe", "Georgian"), ("deu_Latn", "de", "de", "Latn", "high", "europe", "Standard German")]
-_NEW_NAMES = [("ka",), ("georgian",), ("standard german",), ("german",), ("fr",)]
+_NEW = [("kat_Geor", "ka", "ka", "Geor", "low", "europe", "Georgian"), ("deu_Latn", "de", "de", "Latn", "high", "europe", "Standard German"), ("fra_Dial", "fr-xx", "fr-XX", "Latn", "low", "europe", "French Dialect")]
 
 
-@query(_find_sql(f"(select * from {_LANG_SQL} where iso not in ('ka', 'de') union all select * from {d.values_sql(_NEW, 'nllb_code, iso, bcp47, script, resource_level, lang_group, display_name')})").replace(d.values_sql(_NAMES, "name"), d.values_sql(_NEW_NAMES, "name")))
+@query(_find_sql(f"(select * from {_LANG_SQL} where iso not in ('ka', 'de', 'fr-xx') union all select * from {d.values_sql(_NEW, 'nllb_code, iso, bcp47, script, resource_level, lang_group, display_name')})"))
 def register_language(spark, sf_dir):
-    extra = spark.createDataFrame(_NEW, d.LANGUAGE_SCHEMA)
-    return r.find_language(spark.createDataFrame(_NEW_NAMES, "name string"), "name", r.language_keys(spark, extra))
+    """The same with languages registered: one is new, one replaces a known one, so its old name is not found any more."""
+    return r.find_language(_named(spark, sf_dir), "name", r.language_keys(spark, spark.createDataFrame(_NEW, d.LANGUAGE_SCHEMA)))
 
 
-@query(f"select lang_group, count(*) as n, min(iso) as first_iso, count(distinct script) as scripts from {_LANG_SQL} group by lang_group")
+@query(f"""with {x.SQL_LOG} select lang_group, resource_level, count(*) as n, min(iso) as first_iso, count(distinct script)::bigint as scripts, count(*) filter (status = 'refused') as refused
+from log join {_LANG_SQL} on iso = target_lang group by all""")
 def language_groups(spark, sf_dir):
-    return d.languages(spark).groupBy("lang_group").agg(F.count("*").alias("n"), F.min("iso").alias("first_iso"), F.count_distinct("script").alias("scripts"))
+    """The log by the groups of its languages."""
+    rows = x.log(spark, sf_dir).select(F.col("target_lang").alias("iso"), "status").join(d.languages(spark), "iso")
+    return rows.groupBy("lang_group", "resource_level").agg(F.count("*").alias("n"), F.min("iso").alias("first_iso"), F.count_distinct("script").alias("scripts"), F.count_if(F.col("status") == "refused").alias("refused"))
 
 
 @query("""select d.doc_id, coalesce(case when b.doc_id is null then null else 'TIER2_COMPLETE' end, 'TIER2_FAILED') as status, coalesce(b.body, '') as body
@@ -204,10 +215,16 @@ def clean_order_head(spark, sf_dir):
     return head.select("question_id", "prompt_style", "language", F.row_number().over(Window.orderBy(*r.clean_order())).cast("long").alias("position"))
 
 
-@query(f"with {x.SQL_LOG} select record_id, target_lang, case status when 'success' then 'passthrough' else 'refine' end as route, case when target_lang in ('bn', 'hi') then 'alternate' else 'default' end as model from log")
+_ROUTED = f"case when doc_id % 3 = 1 then 'needs_llm' else status end"
+
+
+@query(f"""with {x.SQL_LOG}, r as (select *, {_ROUTED} as st from log)
+select record_id, target_lang, case when st = 'success' then 'passthrough' when st = 'needs_llm' then case when prompt_style in {d.CIPHER_STYLES} then 'cipher' when prompt_style in {d.OWN_STYLES} then prompt_style else 'normal' end else 'refine' end as route,
+case when target_lang in ('bn', 'hi') then 'alternate' else 'default' end as model from r""")
 def refine_routing(spark, sf_dir):
-    rows = r.route(x.log(spark, sf_dir))
-    return rows.select("record_id", "target_lang", "route", F.when(F.col("target_lang").isin("bn", "hi"), "alternate").otherwise("default").alias("model"))
+    """A third of the rows still need a model, and go by their style."""
+    rows = x.log(spark, sf_dir).withColumn("status", F.when(F.col("doc_id") % 3 == 1, "needs_llm").otherwise(F.col("status")))
+    return r.route(rows).select("record_id", "target_lang", "route", F.when(F.col("target_lang").isin("bn", "hi"), "alternate").otherwise("default").alias("model"))
 
 
 @query(f"with {x.SQL_LOG} select record_id, target_lang, status from log where status not like 'error%'")

@@ -16,23 +16,24 @@ from . import translation
 from .registry import query
 from .text_queries import _WORDS, _folder, _q
 
-_ISO = [(row[1],) for row in d.LANGUAGES]
 _SERVICES = tuple(d.SERVICE_CODES)
 
 
 def _codes_sql() -> str:
     def one(service: str) -> str:
         own = " ".join(f"when '{iso}' then '{code}'" for iso, code in d.SERVICE_CODES[service].items())
-        rest = f"case when iso in {d.DEEPL_LANGUAGES} then upper(iso) end" if service == "deepl" else "iso"
-        return f"select iso, '{service}' as service, case iso {own} else {rest} end as code from {d.values_sql(_ISO, 'iso')}"
+        rest = f"case when target_lang in {d.DEEPL_LANGUAGES} then upper(target_lang) end" if service == "deepl" else "target_lang"
+        return f"select record_id, target_lang, '{service}' as service, case target_lang {own} else {rest} end as code from log"
 
-    return " union all ".join(map(one, _SERVICES))
+    return f"with {x.SQL_LOG} select target_lang, service, code, count(*) as n from (" + " union all ".join(map(one, _SERVICES)) + ") group by all"
 
 
 @query(_codes_sql())
 def service_codes(spark, sf_dir):
-    codes = F.array(*[F.struct(F.lit(name).alias("service"), t.service_code(name, F.col("iso")).alias("code")) for name in _SERVICES])
-    return d.languages(spark).select("iso", F.explode(codes).alias("c")).select("iso", "c.service", "c.code")
+    """Rows of the log by the codes that each service has for their languages; null where it does not take the language."""
+    codes = F.array(*[F.struct(F.lit(name).alias("service"), t.service_code(name, F.col("target_lang")).alias("code")) for name in _SERVICES])
+    rows = x.log(spark, sf_dir).select("target_lang", F.explode(codes).alias("c"))
+    return rows.groupBy("target_lang", "c.service", "c.code").agg(F.count("*").alias("n"))
 
 
 def _judge_sql() -> str:

@@ -72,11 +72,18 @@ def split_payload(spark, sf_dir):
     return x.templated(spark, sf_dir).select("doc_id", template.alias("template"), payload.alias("payload"))
 
 
-@query("select doc_id, case when doc_id % 3 = 0 then 1 else 2 end as n_examples, substr(text, 1, 12) as first_example from documents where doc_id % 3 <> 0 or true")
+@query("""with p as (select doc_id, split(text, ' ') as w from documents), cut as (select doc_id, [array_to_string(w[i * 40 + 1:i * 40 + 40], ' ') for i in range(0, least(6, (len(w) + 39) // 40))] as parts from p)
+select doc_id, len(parts)::int as n_examples, replace(parts[1], '\\n', chr(10)) as first_example, replace(parts[-1], '\\n', chr(10)) as last_example from cut""")
 def extract_examples(spark, sf_dir):
-    # Without the mark, the last example has no end and is not found.
-    found = t.examples(F.col("prompt"))
-    return x.templated(spark, sf_dir).select("doc_id", F.size(found).alias("n_examples"), F.get(found, F.lit(0)).alias("first_example"))
+    """Up to six examples of forty words of each text, with real and typed line ends between them; how many there are depends on the text."""
+    words = F.split("text", " ")
+    n = F.least(F.lit(6), F.floor((F.size(words) + 39) / 40).cast("int"))
+    parts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.array_join(F.slice(words, i * 40 + 1, 40), " "))
+    end = F.when(F.col("doc_id") % 2 == 0, F.lit("\n")).otherwise(F.lit("\\n"))
+    body = F.array_join(F.transform(parts, lambda p, i: F.concat(F.lit("Example "), i, end, p, end)), "")
+    prompt = F.concat(F.lit("Learn the code."), end, body, end, F.lit("Following is my request you should respond to (in code): x"))
+    found = t.examples(prompt)
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(found).alias("n_examples"), F.get(found, F.lit(0)).alias("first_example"), F.element_at(found, F.lit(-1)).alias("last_example"))
 
 
 @query(r"""with """ + x.SQL_TEMPLATED + r""" select t.doc_id, 'T1 ' || regexp_replace(substr(text, 1, 12), '\n+$', '') || ' T2 ' || case when t.doc_id % 3 = 0 then '[CAESAR_CODE_PLACEHOLDER]' else regexp_replace(substr(text, 13, 9), '\n+$', '') end || ' T3 [MORSE_CODE_PLACEHOLDER]. ' ||
@@ -133,39 +140,60 @@ def salvage_mixed(spark, sf_dir):
     return x.responses(spark, sf_dir).select("conv_id", "turn", t.salvage(F.col("response")).alias("salvaged"))
 
 
-_JUDGED = "case doc_id % 5 when 0 then 'Score: ' || (doc_id % 130) || ' of 100' when 1 then 'no number' when 2 then '(' || (doc_id % 90) || '.5)' when 3 then '-5' else '250 then ' || (doc_id % 101) end"
-
-
-@query(f"with j as (select doc_id, {_JUDGED} as said from documents) select doc_id, coalesce(list_filter(list_transform(regexp_extract_all(said, '\\b(\\d+(?:\\.\\d+)?)\\b', 1), lambda v: v::double), lambda v: v between 0 and 100)[1], -1) as score from j")
+@query("select doc_id, coalesce(list_filter(list_transform(regexp_extract_all(said, '\\b(\\d+(?:\\.\\d+)?)\\b', 1), lambda v: v::double), lambda v: v between 0 and 100)[1], -1) as score from (select doc_id, case doc_id % 4 when 0 then 'Score: ' || n_chars || ' or ' || n_chars % 130 || '.5 of 100. ' || text when 1 then text when 2 then '(' || n_chars % 90 || '.5)' else '-5 ' || source || ' ' || text end as said from documents)")
 def parse_score(spark, sf_dir):
-    n, k = F.col("doc_id"), F.col("doc_id") % 5
-    said = F.when(k == 0, F.concat(F.lit("Score: "), n % 130, F.lit(" of 100"))).when(k == 1, "no number").when(k == 2, F.concat(F.lit("("), n % 90, F.lit(".5)"))).when(k == 3, "-5").otherwise(F.concat(F.lit("250 then "), n % 101))
+    """Answers of a judge with numbers out of range, without any, and in the midst of whole texts."""
+    n, k, text = F.col("n_chars"), F.col("doc_id") % 4, F.col("text")
+    said = (
+        F.when(k == 0, F.concat(F.lit("Score: "), n, F.lit(" or "), n % 130, F.lit(".5 of 100. "), text)).when(k == 1, text)
+        .when(k == 2, F.concat(F.lit("("), n % 90, F.lit(".5)"))).otherwise(F.concat(F.lit("-5 "), F.col("source"), F.lit(" "), text))
+    )
     return table(spark, sf_dir, "documents").select("doc_id", t.score(said).alias("score"))
 
 
-_TAGS = [(v,) for v in ("de", "pt-BR", "zh-TW", "zh", "nb", "es-419")]
+_TAG = "case doc_id % 4 when 0 then lang when 1 then lang || '-' || upper(lang) when 2 then 'zh-TW' else 'nb' end"
+_EXPECTED = "case tag when 'zh-TW' then 'zh' when 'nb' then 'no' else split_part(tag, '-', 1) end"
 
 
-@query(f"select tag, case tag when 'zh-TW' then 'zh' when 'nb' then 'no' else split_part(tag, '-', 1) end as expected, case when (case tag when 'zh-TW' then 'zh' when 'nb' then 'no' else split_part(tag, '-', 1) end) = 'zh' then 0.9::double else 0.0::double end as score from {d.values_sql(_TAGS, 'tag')}")
+@query(f"with g as (select doc_id, lang, {_TAG} as tag from documents) select doc_id, tag, {_EXPECTED} as expected, case when {_EXPECTED} = lang then 0.9::double else 0.0::double end as score from g")
 def expected_lang(spark, sf_dir):
-    tags = spark.createDataFrame(_TAGS, "tag string").withColumn("expected", t.expected_language(F.col("tag")))
-    return tags.withColumn("score", F.when(F.col("expected") == "zh", 0.9).otherwise(0.0))
+    """What a detector should say for each document's target tag, and the score of one that says the document's language with 0.9."""
+    k, lang = F.col("doc_id") % 4, F.col("lang")
+    tag = F.when(k == 0, lang).when(k == 1, F.concat_ws("-", lang, F.upper(lang))).when(k == 2, "zh-TW").otherwise("nb")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", tag.alias("tag")).withColumn("expected", t.expected_language(F.col("tag")))
+    return rows.select("doc_id", "tag", "expected", F.when(F.col("expected") == F.col("lang"), 0.9).otherwise(0.0).alias("score"))
+
+
+#: Messages and codes of errors by the numbers of events.
+_MESSAGES = ("Request timeout", "rate limit exceeds quota", "Too Many Requests", "bad gateway", "prompt is too long", "invalid key", "connection reset by peer", "generated nothing")
+_CODES = (0, 429, 502, 400, 403, 200, 503)
+_SQL_ERRORS = f"""errors as (select event_id, event_type || ': ' || {list(_MESSAGES)}[(event_id % {len(_MESSAGES)})::int + 1] || ' ' || props as message, {list(_CODES)}[(user_id % {len(_CODES)})::int + 1] as status, event_id % 8 + 1 as attempt from events)"""
+
+
+def _errors(spark, sf_dir):
+    def pick(values, n):
+        return F.get(F.array(*[F.lit(v) for v in values]), (n % len(values)).cast("int"))
+
+    message = F.concat("event_type", F.lit(": "), pick(_MESSAGES, F.col("event_id")), F.lit(" "), "props")
+    return table(spark, sf_dir, "events").select("event_id", message.alias("message"), pick(_CODES, F.col("user_id")).alias("status"), (F.col("event_id") % 8 + 1).alias("attempt"))
 
 
-_ERRORS = [("Request timeout", 0), ("rate limit exceeds quota", 429), ("Too Many Requests", 429), ("bad gateway", 502), ("prompt is too long", 400), ("invalid key", 403), ("connection reset by peer", 0), ("generated nothing", 200)]
+_CLASS = f"""case when regexp_matches(lower(message), '{"|".join(d.TOO_LONG_WORDS)}') then 'too_long' when status = 429 or regexp_matches(lower(message), '{"|".join(d.RATE_LIMIT_WORDS)}') then 'rate_limit'
+when status in {d.RETRYABLE_STATUSES} or regexp_matches(lower(message), '{"|".join(d.RETRYABLE_WORDS)}') then 'retryable' else 'fatal' end"""
 
 
-@query(f"""select message, status, case when regexp_matches(lower(message), '{"|".join(d.TOO_LONG_WORDS)}') then 'too_long' when status = 429 or regexp_matches(lower(message), '{"|".join(d.RATE_LIMIT_WORDS)}') then 'rate_limit'
-when status in {d.RETRYABLE_STATUSES} or regexp_matches(lower(message), '{"|".join(d.RETRYABLE_WORDS)}') then 'retryable' else 'fatal' end as error_class from {d.values_sql(_ERRORS, "message, status")}""")
+@query(f"with {_SQL_ERRORS} select event_id, message, status, {_CLASS} as error_class from errors")
 def error_class(spark, sf_dir):
-    rows = spark.createDataFrame(_ERRORS, "message string, status int")
-    return rows.select("message", "status", t.error_class(F.col("message"), F.col("status")).alias("error_class"))
+    """Events as errors of calls, by what to do about them."""
+    return _errors(spark, sf_dir).select("event_id", "message", "status", t.error_class(F.col("message"), F.col("status")).alias("error_class"))
 
 
-@query("select n::bigint as attempt, least(30 * n, 120)::double as limited, least(pow(2, n), 60)::double as plain from range(1, 9) g(n)")
+@query(f"""with {_SQL_ERRORS}, c as (select *, {_CLASS} as class from errors where attempt <= 8)
+select class, attempt, count(*) as n, sum(case when class = 'rate_limit' then least(30 * attempt, 120) else least(pow(2, attempt), 60) end)::double as seconds from c where class in ('rate_limit', 'retryable') group by all""")
 def backoff_schedule(spark, sf_dir):
-    n = F.col("attempt")
-    return spark.range(1, 9).toDF("attempt").select("attempt", t.backoff(n, F.lit(True)).alias("limited"), t.backoff(n, F.lit(False)).alias("plain"))
+    """Seconds that the errors of each class and try wait in all."""
+    rows = _errors(spark, sf_dir).withColumn("class", t.error_class(F.col("message"), F.col("status"))).where(F.col("class").isin("rate_limit", "retryable"))
+    return rows.groupBy("class", "attempt").agg(F.count("*").alias("n"), F.sum(t.backoff(F.col("attempt"), F.col("class") == "rate_limit")).alias("seconds"))
 
 
 @query("select doc_id, substr(sha256('{\"id\":' || doc_id || ',\"lang\":\"' || lang || '\"}'), 1, 16) as fingerprint from documents")
