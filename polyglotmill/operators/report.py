@@ -53,3 +53,46 @@ def cost(attempts: DataFrame, rates: DataFrame) -> DataFrame:
     used = attempts.groupBy(t.family(F.col("backend")).alias("family")).agg(F.sum(F.col("tokens_in") + F.col("tokens_out")).alias("tokens"))
     priced = used.join(rates, "family", "left").withColumn("usd", F.col("tokens") / 1000 * F.coalesce("usd_per_1k", F.lit(0.0)))
     return priced.rollup("family").agg(F.sum("tokens").alias("tokens"), F.round(F.sum("usd"), 4).alias("usd"), F.grouping("family").alias("g")).select(F.when(F.col("g") == 1, "*").otherwise(F.col("family")).alias("family"), "tokens", "usd")
+
+
+def sections(log: DataFrame, attempts: DataFrame, scores: DataFrame, prices: DataFrame, flagged: DataFrame, seconds: float) -> DataFrame:
+    """section, key, measure, value: every number of the report.
+
+    log: target_lang, status, text; attempts: backend, status, latency_ms,
+    tokens_in, tokens_out; scores: metric, score; flagged: a row with target_lang
+    for each flagged record. Each part is one aggregation to a few rows.
+    """
+
+    def numbers(section: str, df: DataFrame, key: Column) -> DataFrame:
+        names = [c for c, kind in df.dtypes if kind in ("bigint", "double", "int", "tinyint")]
+        rows = df.select(key.alias("key"), *[F.col(c).cast("double").alias(c) for c in names]).unpivot("key", names, "measure", "value")
+        return rows.select(F.lit(section).alias("section"), "key", "measure", "value")
+
+    every = with_total(log)
+    flags = flagged.rollup("target_lang").agg(F.count("*").alias("flagged"), F.grouping("target_lang").alias("g"))
+    flags = flags.select(F.when(F.col("g") == 1, "*").otherwise(F.col("target_lang")).alias("target_lang"), "flagged")
+    every = every.join(flags, "target_lang", "left").withColumn("flagged", F.coalesce("flagged", F.lit(0))).drop("is_total")
+    total = every.where("target_lang = '*'")
+    timing = total.select(
+        F.lit(seconds).alias("total_seconds"), F.lit(seconds / 60).alias("total_minutes"),
+        F.round(F.coalesce(F.try_divide(F.col("total"), F.lit(seconds)), F.lit(0.0)), 6).alias("records_per_second"),
+    )
+    parts = [
+        numbers("per_language", every.where("target_lang <> '*'"), F.col("target_lang")),
+        numbers("summary", total.crossJoin(log.agg(F.count_distinct("target_lang").alias("languages_processed"))), F.lit("all")),  # one row and one row
+        numbers("per_backend", by_backend(attempts), F.col("family")),
+        numbers("qa_metrics", metric_stats(scores), F.col("metric")),
+        numbers("cost_estimate", cost(attempts, prices), F.col("family")),
+        numbers("timing", timing, F.lit("all")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def document(numbers: DataFrame) -> DataFrame:
+    """The numbers as one JSON document, section -> key -> measure -> value, in the column `report`."""
+    by_key = numbers.groupBy("section", "key").agg(F.map_from_entries(F.collect_list(F.struct("measure", "value"))).alias("v"))
+    by_section = by_key.groupBy("section").agg(F.map_from_entries(F.collect_list(F.struct("key", "v"))).alias("v"))
+    return by_section.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("section", "v")))).alias("report"))

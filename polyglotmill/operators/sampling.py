@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -40,3 +40,17 @@ def stratified(pool: DataFrame, size: int, seed: str, key: str = "record_id", ca
     picked = F.col("style_rank") <= F.col("per_style")
     place = F.row_number().over(Window.partitionBy(category).orderBy((~picked).cast("int"), F.when(picked, F.col(style)), "h", key))
     return rows.withColumn("place", place).where(F.col("place") <= F.col("quota")).drop("n_styles", "per_style", "style_rank")
+
+
+def chosen(spark: SparkSession, pool: DataFrame, size: int, seed: str, prebuilt: str | None = None, first: list[Column] | None = None, key: str = "record_id", category: str = "category", style: str = "style") -> DataFrame:
+    """The sample of a run: a sample built before if it is there, else the first `size` records in the given order, else a stratified one.
+
+    Columns of the pool, whatever the source; a prebuilt sample lacking one is an error.
+    """
+    if prebuilt:
+        path = spark._jvm.org.apache.hadoop.fs.Path(prebuilt)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            return spark.read.parquet(prebuilt).select(*pool.columns)
+    if first:
+        return pool.orderBy(*first).limit(size)
+    return stratified(pool, size, seed, key, category, style).select(*pool.columns)

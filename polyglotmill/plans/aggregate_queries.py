@@ -189,6 +189,44 @@ def report_row(spark, sf_dir):
     return sinks.report_row(x.log(spark, sf_dir).groupBy("target_lang").agg(F.count("*").alias("total")))
 
 
+_PRICED = f"(select family, tokens, tokens / 1000.0::double * coalesce(usd_per_1k::double, 0) as usd from (select split_part(backend, ':', 1) as family, sum(tokens_in + tokens_out) as tokens from log group by 1) left join {_RATES} using (family))"
+
+
+def _flat(section: str, key: str, measures: dict[str, str], source: str, group: str) -> str:
+    return " union all ".join(f"select '{section}' as section, {key} as key, '{m}' as measure, ({sql})::double as value from {source} {group}" for m, sql in measures.items())
+
+
+def _report_sql() -> str:
+    done = "status in ('ok', 'success') and text <> ''"
+    status = {
+        "total": "count(*)", "completed": f"count(*) filter ({done})", "refused": "count(*) filter (status = 'refused')", "too_long": "count(*) filter (status = 'too_long')", "failed": "count(*) filter (status like 'error%')",
+        "completion_rate": f"round(count(*) filter ({done})::double / count(*), 6)", "flagged": "count(*) filter (f)",
+    }
+    backend = {
+        "calls": "count(*)", "refusals": status["refused"], "refusal_rate": "round(count(*) filter (status = 'refused')::double / count(*), 6)", "failures": status["failed"],
+        "avg_latency_ms": "round(avg(latency_ms), 6)", "tokens_in": "sum(tokens_in)", "tokens_out": "sum(tokens_out)",
+    }
+    quality = {"mean_score": "round(avg(score), 6)", "min_score": "min(score)", "max_score": "max(score)", "n": "count(*)"}
+    timing = {"total_seconds": "count(*) * 0 + 90", "total_minutes": "count(*) * 0 + 1.5", "records_per_second": "round(count(*) / 90.0::double, 6)"}
+    parts = [
+        _flat("per_language", "target_lang", status, "marked", "group by target_lang"), _flat("summary", "'all'", status | {"languages_processed": "count(distinct target_lang)"}, "marked", ""),
+        _flat("per_backend", "split_part(backend, ':', 1)", backend, "log", "group by 2"), _flat("qa_metrics", "metric", quality, "scores where score >= 0", "group by metric"),
+        _flat("cost_estimate", "coalesce(family, '*')", {"tokens": "sum(tokens)", "usd": "round(sum(usd), 4)"}, _PRICED, "group by rollup (family)"), _flat("timing", "'all'", timing, "log", ""),
+    ]
+    return f"with {x.SQL_SCORES}, marked as (select *, m = 7 as f from log) " + " union all ".join(parts)
+
+
+@query(_report_sql())
+def full_report(spark, sf_dir):
+    """The whole report as one JSON document, read back number by number."""
+    log, scores = x.log(spark, sf_dir), x.scores(spark, sf_dir)
+    prices = spark.createDataFrame(list(d.COST_RATES.items()), "family string, usd_per_1k double")
+    numbers = report.sections(log, log, scores, prices, log.where("m = 7").select("target_lang"), 90.0)
+    parsed = report.document(numbers).select(F.from_json("report", "map<string,map<string,map<string,double>>>").alias("r"))
+    rows = parsed.select(F.explode("r").alias("section", "s")).select("section", F.explode("s").alias("key", "k"))
+    return rows.select("section", "key", F.explode("k").alias("measure", "value"))
+
+
 @query(f"with {x.SQL_SOURCE} select record_id, substr(source_text, 1, 200) as source_text from source where doc_id % 6 = 0")
 def flagged_export(spark, sf_dir):
     rows = x.source(spark, sf_dir).select("record_id", "source_text", (F.col("doc_id") % 6 == 0).alias("flagged"))

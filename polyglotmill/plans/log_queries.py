@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import dimensions as d
 from ..functions import text as t
-from ..operators import logs, positions
+from ..operators import logs, positions, sampling
 from ..operators import relational as r
 from ..session import table
 from ..sources import readers, scratch
+from ..sources.checkpoints import Checkpoint
 from . import fixtures as x
 from .registry import query
 
@@ -126,3 +127,48 @@ def dry_run(spark, sf_dir):
 def first_of_group(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return logs.first_per_group(docs, ["lang", "source"], [F.col("n_chars"), F.col("doc_id")], ["doc_id", "n_chars"])
+
+
+def _message_sql() -> str:
+    def text(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def user(name: str) -> str:
+        return f"replace(replace(replace({text(t.PROMPTS[name])}, '{{target_language}}', target_lang), '{{mt_output}}', lower(prompt_style)), '{{source_text}}', prompt)"
+
+    system = " ".join(f"when '{k}' then {text(v)}" for k, v in t.SYSTEM_PROMPTS.items())
+    return f"""with {_SQL_CIPHER}, w as (select f.*, case when strategy = 'cipher' and template is null then 'normal' else strategy end as worked_as from fanned f left join templates using (prompt_style, target_lang))
+select doc_id::varchar as record_id, target_lang, worked_as, case worked_as {system} end as system, sha256(case worked_as when 'slang' then {user("slang")} else case when doc_id % 2 = 0 then {user("refine")} else {user("direct")} end end) as user_sha256
+from w where worked_as <> 'cipher'"""
+
+
+@query(_message_sql())
+def translation_messages(spark, sf_dir):
+    """System and user prompts of all records that no template serves, ciphers that are worked as normal ones among them."""
+    rows = logs.routed(r.fan_out(_cipher_records(spark, sf_dir), ["de", "fr", "ja"]), _templates(spark, sf_dir)).where("worked_as <> 'cipher'")
+    draft = F.when(F.col("question_id") % 2 == 0, F.lower("prompt_style")).otherwise(" ")
+    said = t.message(F.col("worked_as"), F.col("target_lang"), F.col("source_text"), draft)
+    return rows.select("record_id", "target_lang", "worked_as", said.alias("m")).select("record_id", "target_lang", "worked_as", "m.system", F.sha2("m.user", 256).alias("user_sha256"))
+
+
+@query(f"with {x.SQL_LOG} select target_lang, count(*) as n_rows, count(*) filter (status in {d.TERMINAL_STATUSES}) as n_done from log group by target_lang")
+def restored_checkpoint(spark, sf_dir):
+    """A checkpoint published as a dataset, and taken from there where nothing is saved."""
+    at, log = scratch.folder(spark), x.log(spark, sf_dir).select("record_id", "target_lang", "status")
+    saved = Checkpoint(spark, f"{at}/one", log.schema)
+    saved.save(log)
+    saved.publish("runs/checkpoint", f"{at}/mirror")
+    other = Checkpoint(spark, f"{at}/two", log.schema)
+    other.restore("runs/checkpoint", f"{at}/mirror")
+    return other.progress(F.col("status").isin(*d.TERMINAL_STATUSES))
+
+
+@query("""with pool as (select doc_id as record_id, lang as category, source as style from documents)
+select 'first' as way, record_id from (select record_id from pool order by record_id desc limit 40) union all select 'prebuilt', record_id from pool where record_id % 9 = 0""")
+def sample_source(spark, sf_dir):
+    """A sample that was built before, and the first records where there is none."""
+    at = scratch.folder(spark)
+    pool = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), F.col("lang").alias("category"), F.col("source").alias("style"))
+    pool.where("record_id % 9 = 0").write.parquet(f"{at}/sample")
+    ways = {"first": sampling.chosen(spark, pool, 40, "s", f"{at}/absent", [F.desc("record_id")]), "prebuilt": sampling.chosen(spark, pool, 40, "s", f"{at}/sample", [F.desc("record_id")])}
+    return r.union_all([df.select(F.lit(way).alias("way"), "record_id") for way, df in ways.items()])

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from . import datasets
+
 KEY = ["record_id", "target_lang"]
 _META = "run_id string, fingerprint string, saved_at string"
 
@@ -40,6 +42,26 @@ class Checkpoint:
         new = rows.select(self.schema.names).join(self.load().select(*self.key), self.key, "left_anti")
         new.select(self.schema.names).write.mode("append").partitionBy("target_lang").parquet(f"{self.path}/rows")
 
+    def restore(self, name: str, mirror: str, split: str = datasets.ALL) -> bool:
+        """Take the rows from a published dataset if nothing is saved here; whether that was done. Without such a dataset nothing changes."""
+        if self.load().limit(1).count():
+            return False
+        try:
+            published = datasets.read(self.spark, name, mirror, split=split)
+            names = set(published.columns)
+        except Exception as e:
+            if "FileNotFoundError" not in str(e):
+                raise
+            return False
+        if missing := [c for c in self.schema.names if c not in names]:
+            raise ValueError(f"{name} lacks the columns {missing}")
+        self.save(published)
+        return True
+
+    def publish(self, name: str, mirror: str) -> None:
+        """The saved rows as a dataset, a split for each language, all at once."""
+        datasets.publish(self.load(), name, mirror, "target_lang")
+
     def progress(self, done) -> DataFrame:
         """Per language: rows saved, and rows for which the condition `done` holds."""
         return self.load().groupBy("target_lang").agg(F.count("*").alias("n_rows"), F.count_if(done).alias("n_done"))
