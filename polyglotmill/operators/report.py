@@ -68,18 +68,18 @@ def sections(log: DataFrame, attempts: DataFrame, scores: DataFrame, prices: Dat
         rows = df.select(key.alias("key"), *[F.col(c).cast("double").alias(c) for c in names]).unpivot("key", names, "measure", "value")
         return rows.select(F.lit(section).alias("section"), "key", "measure", "value")
 
-    every = with_total(log)
-    flags = flagged.rollup("target_lang").agg(F.count("*").alias("flagged"), F.grouping("target_lang").alias("g"))
-    flags = flags.select(F.when(F.col("g") == 1, "*").otherwise(F.col("target_lang")).alias("target_lang"), "flagged")
-    every = every.join(flags, "target_lang", "left").withColumn("flagged", F.coalesce("flagged", F.lit(0))).drop("is_total")
-    total = every.where("target_lang = '*'")
+    flags = flagged.groupBy("target_lang").agg(F.count("*").alias("flagged"))
+    by_lang = by_language(log).join(flags, "target_lang", "left").withColumn("flagged", F.coalesce("flagged", F.lit(0)))
+    # Three rows side by side: a sum over nothing is a row, too.
+    languages = log.agg(F.count_distinct("target_lang").alias("languages_processed"))
+    total = log.agg(*status_measures()).crossJoin(languages).crossJoin(flagged.agg(F.count("*").alias("flagged")))
     timing = total.select(
         F.lit(seconds).alias("total_seconds"), F.lit(seconds / 60).alias("total_minutes"),
         F.round(F.coalesce(F.try_divide(F.col("total"), F.lit(seconds)), F.lit(0.0)), 6).alias("records_per_second"),
     )
     parts = [
-        numbers("per_language", every.where("target_lang <> '*'"), F.col("target_lang")),
-        numbers("summary", total.crossJoin(log.agg(F.count_distinct("target_lang").alias("languages_processed"))), F.lit("all")),  # one row and one row
+        numbers("per_language", by_lang, F.col("target_lang")),
+        numbers("summary", total, F.lit("all")),
         numbers("per_backend", by_backend(attempts), F.col("family")),
         numbers("qa_metrics", metric_stats(scores), F.col("metric")),
         numbers("cost_estimate", cost(attempts, prices), F.col("family")),
