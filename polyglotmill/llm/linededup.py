@@ -1,13 +1,18 @@
 """Line dedup (operator 8): content-defined chunks of lines, extended to whole passages.
 
-A chunk may end before any token (run of bytes other than spaces and line
-ends). It ends where a hash of the three tokens around is the smallest within
-`least` - 1 tokens to both sides; ends of lines and of sentences are smaller
-than all others. So boundaries depend on the tokens near them only, whatever
-comes before; they lie at line ends where there are any in reach, and inside
-longer lines elsewhere. Chunks have `least` tokens or more, but for the first
-and the last of a text. Where tokens repeat so much that no hash is smallest,
-a chunk ends after MAX_WORDS tokens.
+A line ends at a line end or after a sentence, since many texts are one long
+line. Each line is hashed, and a hash rolls over every two lines that follow
+each other. A chunk ends between two lines whose rolling hash is the smallest
+of those within `least` - 1 tokens (runs of bytes other than spaces and line
+ends) to both sides. So boundaries depend on the lines beside them only,
+whatever comes before, and copies of a passage get the same ones wherever they
+stand. Chunks have `least` tokens or more, but for the first and the last of a
+text; a chunk of one line counts if it has that many.
+
+Inside a line of more tokens than that, where no boundary is in reach, hashes
+of three tokens take the place of the rolling ones, by the same rule. Where
+tokens repeat so much that no hash is smallest, a chunk ends after MAX_WORDS
+tokens.
 
 Chunks are compared across the whole table by a 128-bit hash. The first
 occurrence (smallest doc_id, then position) stays; an other occurrence is
@@ -72,6 +77,16 @@ def _least(v: np.ndarray, k: int) -> np.ndarray:
     return np.minimum(v[: len(v) - (k - size)], v[k - size :]) if k > size else v
 
 
+def _rolled(hashes: np.ndarray, opening: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """For each line, a hash of it and of the line before it in its text. opening: the first token of each line; heads: the first line of each text."""
+    lengths = np.diff(np.append(opening, len(hashes)))
+    place = np.arange(len(hashes)) - np.repeat(opening, lengths)
+    line = mix(np.add.reduceat(mix(hashes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), opening) + lengths.astype(np.uint64))
+    before = np.roll(line, 1)
+    before[heads] = 0
+    return mix(mix(before) * np.uint64(0xD1B54A32D192ED03) + line)
+
+
 def _bounds(texts: list[bytes], least: int) -> tuple[list[int], list[int], list[int], list[int]]:
     """Text number, first byte, last byte and tokens of each chunk of the texts, in order."""
     joined = b" ".join(texts) + b" "
@@ -90,19 +105,25 @@ def _bounds(texts: list[bytes], least: int) -> tuple[list[int], list[int], list[
     owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
     head = offsets[:-1][np.diff(offsets) > 0]
     raw, spaces = np.frombuffer(joined, dtype=np.uint8), np.frombuffer(clean, dtype=np.uint8)
-    # The rank of each token as the start of a chunk: a hash of it and of the two before it in its text.
+    # The rank of each token as the start of a chunk: inside a line, a hash of it and of the two before it in its text.
     one, two = np.roll(hashes, 1), np.roll(hashes, 2)
     one[head] = two[head] = 0
     two[head[head + 1 < n] + 1] = 0
     rank = mix(two * np.uint64(0x9E3779B97F4A7C15) + mix(one) * np.uint64(0xD1B54A32D192ED03) + hashes) >> np.uint64(1)
-    # Tokens after a newline or, over at most two spaces, after the end of a sentence come first.
+    # Lines start after a newline or, over at most two spaces, after the end of a sentence.
     lines = np.flatnonzero(raw == 10)
     line = np.searchsorted(lines, starts)
     last = np.maximum(starts - 2, 0)
     last = np.maximum(last - (spaces[last] == 32), 0)
     x, y, z = raw[last], raw[np.maximum(last - 1, 0)], raw[np.maximum(last - 2, 0)]
     ends = (line > np.roll(line, 1)) | _STOP[x] | _CLOSE[x] & (_STOP[y] | _CLOSE[y] & _STOP[z])
-    rank |= (~ends).astype(np.uint64) << np.uint64(63)
+    rank |= np.uint64(1 << 63)  # after all line starts
+    opens = ends.copy()
+    opens[head] = True
+    opening = np.flatnonzero(opens)
+    if len(opening):
+        rolled = _rolled(hashes, opening, np.flatnonzero(np.isin(opening, head)))
+        rank[opening] = rolled >> np.uint64(1)
     rank[head] = _LAST
     # Texts are set apart by `half` places, so that no window sees two of them.
     place = np.arange(n) + half * (owner + 1)

@@ -521,6 +521,87 @@ def test_line_chunks(spark):
     assert linededup.dedup(docs.where("false")).count() == 0
 
 
+def brute_chunks(raw, least):
+    """Chunks of one text by their description, token by token. Only the two hash functions are the operator's."""
+    tokens = [(m.start(), m.end()) for m in re.finditer(rb"[^ \t\n\r\f\v]+", raw)]
+    if not tokens:
+        return [raw] if raw else []
+    word = [int(linededup._hashes(raw[a:b] + b" ")[1][0]) for a, b in tokens]
+    mask, mix = (1 << 64) - 1, lambda v: int(linededup.mix(np.array([v & ((1 << 64) - 1)], dtype=np.uint64))[0])
+
+    def ends_sentence(end, start):
+        if raw[end:start].count(b"\n"):
+            return True
+        gap = start - end
+        tail = raw[max(0, end - 2) : end] if gap <= 2 else b""
+        if gap > 2 or not tail:
+            return False
+        closers, stops = b"\"')]", b".!?"
+        last = raw[max(0, end - 3) : end]
+        if last[-1] in stops:
+            return True
+        if last[-1] in closers and len(last) > 1:
+            return last[-2] in stops or last[-2] in closers and len(last) > 2 and last[-3] in stops
+        return False
+
+    opens = [0] + [i for i in range(1, len(tokens)) if ends_sentence(tokens[i - 1][1], tokens[i][0])]
+    lines = [word[a:b] for a, b in zip(opens, [*opens[1:], len(word)])]
+    hashed = [mix((sum(mix((w + k * 0x9E3779B97F4A7C15) & mask) for k, w in enumerate(line)) + len(line)) & mask) for line in lines]
+    rank = {}
+    for i in range(len(word)):
+        a, b = word[i - 2] if i > 1 else 0, word[i - 1] if i else 0
+        rank[i] = (1 << 63) | mix((a * 0x9E3779B97F4A7C15 + mix(b) * 0xD1B54A32D192ED03 + word[i]) & mask) >> 1
+    for k, i in enumerate(opens):
+        rank[i] = mix((mix(hashed[k - 1]) * 0xD1B54A32D192ED03 + hashed[k]) & mask) >> 1 if k else mask
+    starts = [0]
+    for i in range(1, len(word)):
+        left, right = [rank[j] for j in range(max(0, i - least + 1), i)], [rank[j] for j in range(i + 1, min(len(word), i + least))]
+        # A text's edges count as the largest rank.
+        if all(rank[i] < v for v in left) and all(rank[i] <= v for v in right) and rank[i] < mask and i >= 1:
+            starts.append(i)
+    out = [tokens[i][0] if i else 0 for i in starts]
+    return [raw[a:b] for a, b in zip(out, [*out[1:], len(raw)])]
+
+
+@pytest.mark.parametrize("least", [linededup.ANCHOR_WORDS, linededup.MIN_WORDS])
+def test_chunks_match_brute_force(least):
+    rng = random.Random(21)
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(0, 12)):
+            parts.append(prose(rng, rng.choice([1, 3, 5, 9, 40, 90])) + rng.choice([".", "!", '."', ".')", "", ",", " .", "..."]) + rng.choice([" ", "  ", "\n", "\n\n", " \n ", "\t"]))
+        raw = "".join(parts).encode()
+        assert [raw[a:b] for a, b, _ in linededup.chunks(raw, least)] == brute_chunks(raw, least)
+
+
+def test_repeats_ties_and_repeated_rows(spark):
+    """Brute force over the whole table with a chunker of its own; equal texts, rows that repeat, one id with two texts."""
+    rng = random.Random(22)
+    blocks = ["\n".join(prose(rng, rng.randint(3, 12)) + rng.choice([".", ""]) for _ in range(rng.randint(4, 9))) for _ in range(6)]
+    rows = [(i, "\n".join(rng.choice([*blocks, prose(rng, 20)]) for _ in range(rng.randint(1, 4)))) for i in range(40)]
+    rows += [(3, rows[3][1]), (7, "one more text of id seven, which is short"), (50, rows[0][1]), (51, None), (52, ""), (None, rows[0][1])]
+    out = {}
+    for r in linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        out.setdefault(r.doc_id, []).append(r.text)
+    first = {}
+    for i, t in sorted({r for r in rows if r[0] is not None and r[1]}):
+        at = 0
+        for c in brute_chunks(t.encode(), linededup.MIN_WORDS):
+            if len(c.split()) >= linededup.MIN_WORDS:
+                first.setdefault(c.rstrip(b" \t\n"), (i, at))
+                first[c.rstrip(b" \t\n")] = min(first[c.rstrip(b" \t\n")], (i, at))
+            at += len(c)
+    for i, t in {r for r in rows if r[0] is not None and r[1]}:
+        want, at = b"", 0
+        for c in brute_chunks(t.encode(), linededup.MIN_WORDS):
+            body = c.rstrip(b" \t\n")
+            if len(c.split()) < linededup.MIN_WORDS or first[body] == (i, at):
+                want += c
+            at += len(c)
+        assert re.sub(r"\s+", "\n", want.decode().strip()) in [re.sub(r"\s+", "\n", x.strip()) for x in out[i]], i
+    assert len(out[3]) == 2 and out[51] == [None] and out[52] == [""] and out[None] == [rows[0][1]]
+
+
 def test_passages_inside_long_lines(spark):
     rng = random.Random(12)
     passage = " ".join(prose(rng, 9) + "." for _ in range(30))
