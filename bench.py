@@ -6,7 +6,10 @@ import time
 
 from polyglotmill.session import local_session
 
-HEADLINE = ["status_report", "status_rollup", "backend_stats", "qa_flagging", "wide_output", "stratified_sample", "clean_dataset", "resume_pending", "fallback_chain", "refusal_full", "jaccard_tokens", "chrf_score", "lang_id", "refine_with_fallback"]
+HEADLINE = [
+    "status_report", "status_rollup", "backend_stats", "qa_flagging", "wide_output", "stratified_sample", "clean_dataset",
+    "resume_pending", "fallback_chain", "refusal_full", "jaccard_tokens", "chrf_score", "lang_id", "refine_with_fallback",
+]
 
 
 def main() -> None:
@@ -18,11 +21,14 @@ def main() -> None:
     spark = local_session(cpus, int(cpus), "8g", "bench")
     spark.range(1000).selectExpr("sum(id)").collect()
     took = {}
-    for name in HEADLINE:
-        started = time.time()
-        QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
-        took[name] = round(time.time() - started, 3)
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": sf}))
+    first = {}
+    for times in (first, took):  # the second run is what counts: the first one compiles code
+        for name in HEADLINE:
+            started = time.time()
+            QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - started, 3)
+    out = {"metric": "total_query_seconds", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": sf}
+    print(json.dumps(out | {"first_run_value": round(sum(first.values()), 3)}))
     spark.stop()
 
 

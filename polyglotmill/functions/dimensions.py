@@ -78,6 +78,14 @@ zul_Latn zu zu Latn low african Zulu
 LANGUAGES = [tuple(line.split(" ", 6)) for line in _LANGUAGES.strip().splitlines()]
 LANGUAGE_SCHEMA = "nllb_code string, iso string, bcp47 string, script string, resource_level string, lang_group string, display_name string"
 
+#: Models recommended for translation, and the languages of each; the first one is recommended for every known language.
+EVERY_LANGUAGE_MODEL = "nllb-200-3.3B"
+RECOMMENDED = {
+    "TowerInstruct-13B": ("en", "nl", "fr", "it", "pt", "es", "ru", "de", "ko"),
+    "ALMA-R": ("en", "fr", "pt", "es", "cs", "de", "zh"),
+    "GemmaX2-28-9B": ("en", "fr", "es", "ru", "de", "ar", "hi", "bn", "zh", "ja"),
+}
+
 TARGET_LANGUAGES = ("ar", "bn", "de", "es", "fr", "hi", "ja", "ru", "zh")
 
 EXCLUDED_STYLES = ("translate-fr", "translate-ml", "translate-mr", "translate-ta", "translate-zh-cn", "uncommon_dialects")

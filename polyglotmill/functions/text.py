@@ -195,6 +195,13 @@ def service_code(service: str, lang: Column) -> Column:
     return out.when(lang.isin(*d.DEEPL_LANGUAGES), F.upper(lang)) if service == "deepl" else out.otherwise(lang)
 
 
+def recommended_models(lang: Column) -> Column:
+    """The models recommended for a language, in their order; none for an unknown one."""
+    known = lang.isin(*[row[1] for row in d.LANGUAGES])
+    own = [F.when(lang.isin(*langs), F.lit(model)) for model, langs in d.RECOMMENDED.items()]
+    return F.array_compact(F.array(F.when(known, F.lit(d.EVERY_LANGUAGE_MODEL)), *own))
+
+
 def judge_prompt(source_lang: Column, target_lang: Column, source: Column, translation: Column) -> Column:
     """The prompt of the 0 to 100 judge."""
     parts = JUDGE_PROMPT.split("{}")

@@ -172,3 +172,24 @@ def sample_source(spark, sf_dir):
     pool.where("record_id % 9 = 0").write.parquet(f"{at}/sample")
     ways = {"first": sampling.chosen(spark, pool, 40, "s", f"{at}/absent", [F.desc("record_id")]), "prebuilt": sampling.chosen(spark, pool, 40, "s", f"{at}/sample", [F.desc("record_id")])}
     return r.union_all([df.select(F.lit(way).alias("way"), "record_id") for way, df in ways.items()])
+
+
+_MODELS = " ".join(f"|| case when target_lang in {langs} then ',{m}' else '' end" for m, langs in d.RECOMMENDED.items())
+
+
+@query(f"with {x.SQL_LOG} select target_lang, '{d.EVERY_LANGUAGE_MODEL}' {_MODELS} as models, count(*) as n, count(*) filter (status = 'refused') as refused from log group by all")
+def recommended_models(spark, sf_dir):
+    """The log by the models that its languages may ask."""
+    rows = x.log(spark, sf_dir).select("target_lang", "status", F.array_join(t.recommended_models(F.col("target_lang")), ",").alias("models"))
+    return rows.groupBy("target_lang", "models").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "refused").alias("refused"))
+
+
+@query("""with s as (select conv_id, list(text order by turn, role, text) as turns from conversations group by conv_id)
+select conv_id::varchar as record_id, turns[1] as source_text, 'en' as source_lang, len(turns)::varchar as n_turns from s union all select conv_id || '-nested', turns[1], 'en', len(turns)::varchar from s""")
+def turn_records(spark, sf_dir):
+    """Records whose text is the first of a list of turns, and the first of a list in a list."""
+    said = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))), lambda x: x["text"]).alias("turns"))
+    said = said.select(F.col("conv_id").cast("string").alias("id"), "turns", F.size("turns").alias("n_turns"))
+    nested = said.select(F.concat("id", F.lit("-nested")).alias("id"), F.array("turns", F.array(F.lit("x"))).alias("turns"), "n_turns")
+    parts = [readers.records(df, "turns", "id", metadata=["n_turns", "absent"]) for df in (said, nested)]
+    return r.union_all(parts).select("record_id", "source_text", "source_lang", F.col("metadata")["n_turns"].alias("n_turns"))

@@ -5,9 +5,9 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from ..operators import positions
 
@@ -70,6 +70,14 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
+def first_text(df: DataFrame, name: str) -> Column:
+    """A text column as it is; of a list the first text, of a list of lists the first of the first; other values as text."""
+    value, kind = F.col(name), df.schema[name].dataType
+    while isinstance(kind, ArrayType):
+        value, kind = F.get(value, F.lit(0)), kind.elementType
+    return value.cast("string")
+
+
 def records(df: DataFrame, text: str, id_column: str | None = None, order: list[str] | None = None, metadata: list[str] | None = None, source_lang: str = "en") -> DataFrame:
     """record_id, source_text, source_lang, metadata (of the columns that exist).
 
@@ -85,7 +93,7 @@ def records(df: DataFrame, text: str, id_column: str | None = None, order: list[
     kept = [c for c in metadata or [] if c in df.columns]
     pairs = [x for c in kept for x in (F.lit(c), F.col(c).cast("string"))]
     found = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-    return df.select(F.col("__id").alias("record_id"), F.col(text).cast("string").alias("source_text"), F.lit(source_lang).alias("source_lang"), found.alias("metadata"))
+    return df.select(F.col("__id").alias("record_id"), first_text(df, text).alias("source_text"), F.lit(source_lang).alias("source_lang"), found.alias("metadata"))
 
 
 def load_config(path: str, overrides: dict[str, object] | None = None) -> dict:
