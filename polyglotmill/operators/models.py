@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from ..functions import dimensions as d
+from ..functions import similarity
+from ..functions import text as t
 from . import rate
 
 
@@ -60,6 +62,10 @@ def backend(name, model: str | None = None) -> Backend:
 
 
 def metric(name) -> Metric:
+    """A metric by name; `name:backend` is one that works over a registered backend."""
+    kind, _, over = name.partition(":") if isinstance(name, str) else (name, "", "")
+    if over and kind in METRICS:
+        return METRICS[kind](over)
     return _named(METRICS, name)
 
 
@@ -203,6 +209,61 @@ def judge(rows: DataFrame, names: list[str]) -> DataFrame:
     return rows.select("record_id", "target_lang", "source_text", "final_text").mapInPandas(run, "record_id string, target_lang string, metric string, score double")
 
 
+@register_metric
+class Chrf:
+    """chrF of the translation against the source, which stands in for a reference."""
+
+    name = "chrf"
+
+    def score(self, sources, translations, langs):
+        return [similarity.chrf_pair(t or "", s or "") for s, t in zip(sources, translations)]
+
+
+class _Over:
+    """A metric over a backend, started once a worker."""
+
+    def __init__(self, name):
+        self.model = backend(name)
+        self.model.startup()
+
+
+@register_metric
+class SafetyConsistency(_Over):
+    """The share of words that the source and the translation's way back have in common, 0 if either has none; -1 if the way back fails."""
+
+    name = "safety_consistency"
+
+    def score(self, sources, translations, langs):
+        said = each(self.model, list(translations), ["en"] * len(translations), [None] * len(translations))
+        return [word_overlap(s, back) if status == "ok" else -1.0 for s, (back, status, _) in zip(sources, said)]
+
+
+@register_metric
+class Judge(_Over):
+    """The number from 0 to 100 that the backend's `ask` answers to the judge's prompt with; -1 if it gives none."""
+
+    name = "gemba"
+
+    def score(self, sources, translations, langs):
+        parts = t.JUDGE_PROMPT.split("{}")
+        prompts = []
+        for source, said, lang in zip(sources, translations, langs):
+            slots = ("English", lang, "English", source, lang, said, "")
+            prompts.append("".join(x for pair in zip(parts, slots) for x in pair))
+        return [first_score(answer) for answer in self.model.ask(prompts)]
+
+
+def word_overlap(a: str | None, b: str | None) -> float:
+    x, y = set((a or "").lower().split()), set((b or "").lower().split())
+    return len(x & y) / len(x | y) if x and y else 0.0
+
+
+def first_score(answer: str | None) -> float:
+    """functions.text.score for an answer that is in Python already."""
+    found = (float(x) for x in re.findall(r"\b(\d+(?:\.\d+)?)\b", answer or "", re.ASCII))
+    return next((x for x in found if 0 <= x <= 100), -1.0)
+
+
 @register_backend
 class Reverse:
     """Offline stand-in: the text backwards."""

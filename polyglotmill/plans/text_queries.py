@@ -235,6 +235,15 @@ def chrf_score(spark, sf_dir):
     return pairs.select("doc_id", F.round(similarity.chrf(F.col("text"), F.col("ref")), 6).alias("chrf"))
 
 
+@query(_chrf_sql().replace("as chrf from pairs", "as score from pairs"))
+def chrf_metric(spark, sf_dir):
+    """chrF as a run asks for it: a registered metric over rows of a source and a translation."""
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("source_text"))
+    pairs = table(spark, sf_dir, "documents").join(items, F.col("doc_id") % 40 == F.col("item_id"))
+    rows = pairs.select(F.col("doc_id").cast("string").alias("record_id"), F.col("lang").alias("target_lang"), "source_text", F.col("text").alias("final_text"))
+    return models.judge(rows, ["chrf"]).select(F.col("record_id").cast("long").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
 def _lang_sql() -> str:
     clean = "' ' || regexp_replace(lower(text), '[^a-zß-ÿ]+', '  ', 'g') || ' '"
     scores = ", ".join(f"len(regexp_extract_all(c, ' (?:{w}) ')) as s_{k}" for k, w in similarity.FREQUENT.items())

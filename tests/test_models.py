@@ -172,3 +172,42 @@ def test_profiles(spark):
     got = {(r.id, r.text): r.found for r in profiles.predict(docs, "text", profiles.learn(docs, "text", "lang")).collect()}
     assert got == {(1, rows[0][1]): "en", (2, rows[1][1]): "de", (3, "the the"): "en", (4, None): None, (5, "123"): None, (5, "und der"): "de", (6, "ζζζ"): None}
     assert profiles.predict(docs.where("false"), "text", profiles.learn(docs.where("false"), "text", "lang")).count() == 0
+
+
+class Echo:
+    """Answers prompts with a number from them, and translates back to the source's words."""
+
+    name = "echo"
+
+    def startup(self):
+        pass
+
+    def supports(self, lang):
+        return True
+
+    def translate(self, texts, langs, drafts):
+        if any("bad" in x for x in texts):
+            raise RuntimeError("invalid")
+        return [x.lower() for x in texts]
+
+    def ask(self, prompts):
+        return [f"I give {len(p) + 1000} or 73.5 points" if "good" in p else "no idea" for p in prompts]
+
+
+def test_metrics_over_backends(spark):
+    rows = spark.createDataFrame([("1", "de", "the good cat", "THE GOOD DOG"), ("2", "de", "x", "bad"), ("3", "fr", "", "y")], "record_id string, target_lang string, source_text string, final_text string")
+    models.METRICS["echo_judge"] = lambda: models.Judge(Echo)
+    try:
+        assert models.metric("echo_judge").score(["good"], ["x"], ["de"]) == [73.5]
+    finally:
+        del models.METRICS["echo_judge"]
+    made = [lambda: models.SafetyConsistency(Echo), lambda: models.Judge(Echo), "chrf", "safety_consistency:offline:lower"]
+    got = {}
+    for r in models.judge(rows, made).collect():
+        got.setdefault((r.record_id, r.metric), []).append(r.score)
+    assert got["1", "safety_consistency"] == [0.5, 0.5] and got["2", "safety_consistency"] == [-1.0, 0.0] and got["3", "safety_consistency"] == [0.0, 0.0]
+    assert [got[i, "gemba"] for i in "123"] == [[73.5], [-1.0], [-1.0]]
+    assert got["1", "chrf"] == [similarity.chrf_pair("THE GOOD DOG", "the good cat")] and got["3", "chrf"] == [0.0]
+    with pytest.raises(KeyError):
+        models.metric("nothing:offline:lower")
+    assert models.first_score("250 then 42") == 42 and models.first_score("-5") == 5 and models.first_score(None) == -1
