@@ -147,6 +147,26 @@ select doc_id, source, lang, topic, f.tokens, round(weight, 6) as weight, round(
 from f join w using (source, lang, topic)"""
 
 
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _contamination_sql() -> str:
+    """Every run of a window's number of words, looked up among the windows of the items."""
+    words = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+with d as (select row_number() over () as row, doc_id, {words.format("text")} as w from documents),
+i as (select item_id, {words.format("text")} as w from benchmark),
+windows as (select distinct item_id, list_slice(w, p, p + least({decontaminate.WINDOW}, len(w)) - 1) as g
+  from (select item_id, w, unnest(range(1, greatest(len(w) - {decontaminate.WINDOW} + 1, 1) + 1)) as p from i where len(w) > 0)),
+sizes as (select distinct len(g) as n from windows),
+runs as (select row, p, n, list_slice(w, p, p + n - 1) as g from (select row, w, n, unnest(range(1, len(w) - n + 2)) as p from d join sizes on len(w) >= n)),
+hits as (select row, p, n, item_id from runs join windows using (g)),
+hit as (select row, count(distinct word)::bigint as n_hit from (select distinct row, unnest(range(p, p + n)) as word from (select distinct row, p, n from hits)) group by row),
+found as (select row, count(distinct item_id)::bigint as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as items from hits where item_id is not null group by row)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (row) left join found using (row)"""
+
+
 def _neighbours_sql() -> str:
     """Every query with every row."""
     return f"""
@@ -219,6 +239,7 @@ ORACLES = {
     "op2_chat_format": _chat_sql(),
     "op3_vantage_neighbours": _neighbours_sql(),
     "op7_raked_mixture": _mix_sql(),
+    "op5_decontamination": _contamination_sql(),
     "op12_source_divergence": _divergence_sql(),
     "op13_filter_audit": _audit_sql(),
 }

@@ -144,7 +144,7 @@ def test_stages_of_two_threads_keep_their_tables(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "labels", "embeddings"):
+    for t in ("documents", "conversations", "labels", "embeddings", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, SF).toPandas(), con.sql(queries.ORACLES[name]).df()
     columns = sorted(got.columns)
