@@ -14,7 +14,7 @@ of three tokens take the place of the rolling ones, by the same rule. Where
 tokens repeat so much that no hash is smallest, a chunk ends after MAX_WORDS
 tokens.
 
-Chunks are compared across the whole table by a 128-bit hash. The first
+Chunks are compared across the whole table by a 96-bit hash. The first
 occurrence (smallest doc_id, then position) stays; an other occurrence is
 removed if its bytes equal the first one's. With `extend`, chunks are of
 ANCHOR_WORDS tokens or more, and a match goes on token by token into the chunks
@@ -24,8 +24,10 @@ chunks match themselves, and ANCHOR_WORDS is half of MIN_WORDS. Every byte that
 goes has an equal one at a smaller place, so something of each passage stays.
 Without `extend` chunks have MIN_WORDS tokens, and only whole chunks go.
 
-Hashes travel first. Only texts in which a hash repeats are read for bytes, and
-only the chunks of such hashes, with their neighbours, travel to be compared.
+Hashes travel first, to be counted by themselves; where a chunk lies travels
+only with hashes that repeat. Only texts in which a hash repeats are read for
+bytes, and only the chunks of such hashes, with their neighbours, travel to be
+compared.
 Joins are merge joins at every size: nothing is broadcast. Counts are partial
 sums, and the joins on a hash that repeats in a third of all rows are split by
 adaptive execution.
@@ -37,8 +39,10 @@ stays.
 Cases: null text stays null and has no chunk; empty text has no chunk. Rows
 with a null doc_id keep their text. Rows that repeat a doc_id are one document
 with the texts of each row; the decisions for a text carry its hash, so they
-touch that text only. An empty table gives no rows. Only doc_id and text are
-read, so extra columns can't clash.
+touch that text only, and equal rows of one id both keep what the first keeps.
+Equal chunks tie by doc_id, then by place; of rows of one id and place, none
+goes. A very long text is one row in memory, with its tokens. An empty table
+gives no rows. Only doc_id and text are read, so extra columns can't clash.
 """
 
 from __future__ import annotations
@@ -155,8 +159,18 @@ def chunks(text: bytes, least: int = MIN_WORDS) -> Iterator[tuple[int, int, int]
     yield from zip(first, last, counts) if first or not text else [(0, len(text), 0)]
 
 
+def grouped(rows, size: int = GROUP_BYTES, least: int = MIN_WORDS) -> Iterator[tuple[tuple, list[tuple[int, int, int]]]]:
+    """Each row (its second value is the text) with the chunks of the text; the bounds of a group of texts are found at once."""
+    for group in sized(rows, lambda r: len(r[1]) + 64, size):
+        found: list[list] = [[] for _ in group]
+        for of, first, last, words in zip(*_bounds([r[1] for r in group], least)):
+            found[of].append((first, last, words))
+        yield from zip(group, found)
+
+
 def _key(piece: bytes) -> tuple[int, int]:
-    return struct.unpack(">qq", xxhash.xxh3_128_digest(piece))
+    """The first 96 bits of a 128-bit hash."""
+    return struct.unpack(">qi", xxhash.xxh3_128_digest(piece)[:12])
 
 
 def _body(piece: bytes) -> bytes:
@@ -182,12 +196,12 @@ def chunk_rows(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
                 for of, first, last, words in zip(*_bounds([t for _, t in group], least)):
                     if _eligible(b"", words, least):
                         ids.append(group[of][0]), at.append(first), digests.append(xxhash.xxh3_128_digest(_body(group[of][1][first:last])))
-                keys = np.frombuffer(b"".join(digests), ">i8").reshape(-1, 2).astype(np.int64)
-                out = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())], ["doc_id", "at", "h1", "h2"])
+                keys = np.frombuffer(b"".join(digests), [("h1", ">i8"), ("h2", ">i4"), ("rest", ">i4")])
+                out = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array(keys["h1"].astype(np.int64)), pa.array(keys["h2"].astype(np.int32))], ["doc_id", "at", "h1", "h2"])
                 # A long text has many chunks: they leave in small batches.
                 yield from (out.slice(i, OUT_ROWS) for i in range(0, len(ids), OUT_ROWS))
 
-    return map_arrow(_own(docs), run, "doc_id long, at long, h1 long, h2 long")
+    return map_arrow(_own(docs), run, "doc_id long, at long, h1 long, h2 int")
 
 
 _CHUNK = ["doc_id", "at", "last", "h1", "h2", "is_first", "body", "before", "after", "joined"]
@@ -199,7 +213,7 @@ def chunk_bytes(marked: DataFrame, least: int, extend: bool) -> DataFrame:
     A neighbour that repeats the chunk that lies beside this one's first
     occurrence goes by itself: it needn't travel, and `joined` says there is one.
     """
-    kinds = [pa.int64()] * 5 + [pa.bool_()] + [pa.binary()] * 3 + [pa.bool_()]
+    kinds = [pa.int64()] * 4 + [pa.int32(), pa.bool_()] + [pa.binary()] * 3 + [pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = tuple([] for _ in _CHUNK), 0
@@ -211,9 +225,10 @@ def chunk_bytes(marked: DataFrame, least: int, extend: bool) -> DataFrame:
             return out
 
         for batch in batches:
-            for doc, text, marks in zip(batch.column(0).to_pylist(), to_bytes(batch.column(1)), batch.column(2).to_pylist()):
+            texts = zip(batch.column(0).to_pylist(), to_bytes(batch.column(1)), batch.column(2).to_pylist())
+            for (doc, text, marks), found in grouped(texts, least=least):
                 wanted = {(m["at"], m["h1"], m["h2"]): (m["d"], m["p"]) for m in marks}
-                places, found, source = {m[0] for m in wanted}, list(chunks(text, least)), {}
+                places, source = {m[0] for m in wanted}, {}
                 for i, (first, last, _) in enumerate(found):
                     if first in places and (of := wanted.get((first, *_key(_body(text[first:last]))))):
                         source[i] = of
@@ -237,7 +252,7 @@ def chunk_bytes(marked: DataFrame, least: int, extend: bool) -> DataFrame:
                         held = 0
         yield flush()
 
-    return map_arrow(marked, run, "doc_id long, at long, last long, h1 long, h2 long, is_first boolean, body binary, before binary, after binary, joined boolean")
+    return map_arrow(marked, run, "doc_id long, at long, last long, h1 long, h2 int, is_first boolean, body binary, before binary, after binary, joined boolean")
 
 
 def _reach(own: bytes, other: bytes, back: bool) -> int:
@@ -262,9 +277,11 @@ def removals(docs: DataFrame, extend: bool = False) -> DataFrame:
     """doc_id, at, h1, h2 of the chunks that repeat an earlier chunk byte for byte, and first, last: the bytes to remove."""
     least = ANCHOR_WORDS if extend else MIN_WORDS
     hashes = cut(chunk_rows(docs, least))
-    repeated = hashes.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1").select("h1", "h2", "first")
-    repeated = _freed(cut(repeated))
-    marks = hashes.join(repeated.hint("merge"), ["h1", "h2"]).groupBy(F.col("doc_id").alias("__id"))
+    # Counts alone first: a hash and a number are all that most chunks send. The places of the others follow.
+    repeated = _freed(cut(hashes.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")))
+    hashes = _freed(cut(hashes.join(repeated.hint("merge"), ["h1", "h2"], "left_semi")))
+    first = hashes.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("first"))
+    marks = hashes.join(first.hint("merge"), ["h1", "h2"]).groupBy(F.col("doc_id").alias("__id"))
     marks = _freed(cut(marks.agg(F.collect_set(F.struct("at", "h1", "h2", F.col("first.doc_id").alias("d"), F.col("first.at").alias("p"))).alias("marks"))))
     marked = _own(docs).join(marks.hint("merge"), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "marks")
     found = _freed(cut(chunk_bytes(marked, least, extend)))
@@ -282,7 +299,7 @@ def removals(docs: DataFrame, extend: bool = False) -> DataFrame:
             columns = [batch.column(c) for c in ("doc_id", "at", "h1", "h2")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())], ["doc_id", "at", "h1", "h2", "first", "last"]).filter(pa.array(keep, pa.bool_()))
 
-    return map_arrow(same, run, "doc_id long, at long, h1 long, h2 long, first long, last long")
+    return map_arrow(same, run, "doc_id long, at long, h1 long, h2 int, first long, last long")
 
 
 def _without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -307,21 +324,20 @@ def dedup(docs: DataFrame, extend: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, n, chars = batch.column(1).to_pylist(), [], []
-            for i, marks in enumerate(batch.column(2).to_pylist()):
-                n.append(0), chars.append(0)
-                if marks and texts[i]:
-                    raw, drop, spans = texts[i].encode(), {}, []
-                    for m in marks:
-                        drop.setdefault((m["at"], m["h1"], m["h2"]), []).append((m["first"], m["last"]))
-                    places = {m["at"] for m in marks}
-                    for first, last, _ in chunks(raw, least):
-                        if first in places and (ranges := drop.get((first, *_key(_body(raw[first:last]))))):
-                            n[-1] += 1
-                            spans += ranges
-                    if spans:
-                        new = _without(raw, spans).decode()
-                        chars[-1], texts[i] = len(texts[i]) - len(new), new
+            texts, n, chars = batch.column(1).to_pylist(), [0] * batch.num_rows, [0] * batch.num_rows
+            changed = [(i, texts[i].encode(), marks) for i, marks in enumerate(batch.column(2).to_pylist()) if marks and texts[i]]
+            for (i, raw, marks), found in grouped(changed, least=least):
+                drop, spans = {}, []
+                for m in marks:
+                    drop.setdefault((m["at"], m["h1"], m["h2"]), []).append((m["first"], m["last"]))
+                places = {m["at"] for m in marks}
+                for first, last, _ in found:
+                    if first in places and (ranges := drop.get((first, *_key(_body(raw[first:last]))))):
+                        n[i] += 1
+                        spans += ranges
+                if spans:
+                    new = _without(raw, spans).decode()
+                    chars[i], texts[i] = len(texts[i]) - len(new), new
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(n, pa.int64()), pa.array(chars, pa.int64())], ["doc_id", "text", "n_chunks_removed", "n_chars_removed"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

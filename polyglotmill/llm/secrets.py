@@ -10,7 +10,10 @@ characters are the base-62 CRC32 of the random part) are kept only if it holds.
 
 Cases: null text counts as empty. Empty text has no spans. Spans are in code
 points of the whole text, end exclusive, ordered by start, then by kind as in
-KINDS. Equal rows give equal results. Only doc_id and text are read.
+KINDS. Equal rows give equal results, under one doc_id or none, too. A very long
+text is scanned whole, in time in proportion to its length, and is one row in
+memory. An empty table gives no rows. Only doc_id and text are read, so other
+columns can't clash.
 """
 
 from __future__ import annotations
