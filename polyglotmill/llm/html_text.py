@@ -38,6 +38,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -82,12 +83,14 @@ _LEFT_OPEN = frozenset("head title nav header footer menu form".split())
 _TAG_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
 _TAG_STOP = re.compile(r"[>\"']")
 _RAW_END = {name: re.compile(rf"</{name}\b", re.I) for name in RAW_TAGS}
+_ROLES = frozenset("@" + r for r in BAD_ROLES)
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HINT = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+@lru_cache(1 << 14)
 def _hinted(name: str, bad: frozenset) -> bool:
     """Whether a name, such as post-comments-list, ends with a bad word but for words of structure, and without a modifier before it."""
     words = [w.lower() for w in _NAME.findall(name)]
@@ -243,17 +246,21 @@ class Page:
         elif name == "body":
             self.stack.clear(), self.open.clear()
             zone = Zone()
-        if name in ("html", "body"):
-            own = Zone()
-        else:
-            hard = name in BAD_TAGS or "hidden" in hints or any("@" + r in hints for r in BAD_ROLES) or name == "header" and not zone.article
-            hint = "bad" in hints or "outside" in hints and not zone.article
-            self.forms += name == "form"
-            own = Zone(hard=hard, inner=hint, form=self.forms if name == "form" else 0)
-        if block or own != Zone():
+        hard = hint = False
+        form = 0
+        if name not in ("html", "body"):
+            hard = name in BAD_TAGS or name == "header" and not zone.article
+            if hints:
+                hard = hard or "hidden" in hints or not hints.isdisjoint(_ROLES)
+                hint = "bad" in hints or "outside" in hints and not zone.article
+            if name == "form":
+                self.forms += 1
+                form = self.forms
+        if block or hard or hint or form:
             if not block:
                 self._flush()
-            zone = zone._replace(hard=zone.hard or own.hard, inner=zone.inner or own.inner, form=zone.form or own.form)
+            if hard or hint or form:
+                zone = Zone(zone.hard or hard, zone.outer, zone.inner or hint, zone.article, zone.form or form)
             self.stack.append((name, zone))
             self.open[name] = self.open.get(name, 0) + 1
             self.heading = name in _HEADINGS
