@@ -206,12 +206,21 @@ def _wordset(column: str) -> str:
     return rf"list_distinct(list_filter(regexp_split_to_array(lower({column}), '[ \t\n\r\f\x0b]+'), lambda w: w <> ''))"
 
 
+#: Each of the few items meets a large part of all documents: both sides are dealt over so many keys more.
+_SALTS = 16
+
+
+def _with_items(spark, sf_dir, ref):
+    """Every document with the item whose number its own one leaves; `ref` is made once for each item."""
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("item"), ref.alias("ref"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    docs = table(spark, sf_dir, "documents").withColumns({"item": F.col("doc_id") % 40, "salt": F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)).cast("int")})
+    return docs.join(items, ["item", "salt"])
+
+
 @query(f"""with p as (select d.doc_id, {_wordset('d.text')} as a, {_wordset('b.text')} as b from documents d join benchmark b on b.item_id = d.doc_id % 40)
 select doc_id, round(case when len(a) = 0 or len(b) = 0 then 0 else len(list_intersect(a, b))::double / len(list_distinct(list_concat(a, b))) end, 6) as overlap from p""")
 def jaccard_tokens(spark, sf_dir):
-    # The items' words are made before the join, once for each item.
-    items = table(spark, sf_dir, "benchmark").select("item_id", t.word_set(F.col("text")).alias("ref"))
-    pairs = table(spark, sf_dir, "documents").join(items, F.col("doc_id") % 40 == F.col("item_id"))
+    pairs = _with_items(spark, sf_dir, t.word_set(F.col("text")))
     return pairs.select("doc_id", F.round(t.set_jaccard(t.word_set(F.col("text")), F.col("ref")), 6).alias("overlap"))
 
 
@@ -230,17 +239,15 @@ select pairs.doc_id, round(coalesce(case when p + q > 0 then 500 * p * q / (4 *
 
 @query(_chrf_sql())
 def chrf_score(spark, sf_dir):
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("ref"))
-    pairs = table(spark, sf_dir, "documents").join(items, F.col("doc_id") % 40 == F.col("item_id"))
+    pairs = _with_items(spark, sf_dir, F.col("text"))
     return pairs.select("doc_id", F.round(similarity.chrf(F.col("text"), F.col("ref")), 6).alias("chrf"))
 
 
 @query(_chrf_sql().replace("as chrf from pairs", "as score from pairs"))
 def chrf_metric(spark, sf_dir):
     """chrF as a run asks for it: a registered metric over rows of a source and a translation."""
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("source_text"))
-    pairs = table(spark, sf_dir, "documents").join(items, F.col("doc_id") % 40 == F.col("item_id"))
-    rows = pairs.select(F.col("doc_id").cast("string").alias("record_id"), F.col("lang").alias("target_lang"), "source_text", F.col("text").alias("final_text"))
+    pairs = _with_items(spark, sf_dir, F.col("text"))
+    rows = pairs.select(F.col("doc_id").cast("string").alias("record_id"), F.col("lang").alias("target_lang"), F.col("ref").alias("source_text"), F.col("text").alias("final_text"))
     return models.judge(rows, ["chrf"]).select(F.col("record_id").cast("long").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
