@@ -53,11 +53,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_arrow, sized, to_bytes
+from .common import cut, map_arrow, settled, sized, to_bytes
 from .words import PIECE, _hashes, mix
 
 MIN_WORDS = 16
@@ -273,16 +274,24 @@ def _freed(df: DataFrame) -> DataFrame:
     return df
 
 
-def removals(docs: DataFrame, extend: bool = False) -> DataFrame:
-    """doc_id, at, h1, h2 of the chunks that repeat an earlier chunk byte for byte, and first, last: the bytes to remove."""
-    least = ANCHOR_WORDS if extend else MIN_WORDS
+def _marks(docs: DataFrame, least: int) -> DataFrame:
+    """__id, marks: of each document, where its chunks are that repeat, and where they come first."""
     hashes = cut(chunk_rows(docs, least))
     # Counts alone first: a hash and a number are all that most chunks send. The places of the others follow.
     repeated = _freed(cut(hashes.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")))
     hashes = _freed(cut(hashes.join(repeated.hint("merge"), ["h1", "h2"], "left_semi")))
     first = hashes.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("first"))
     marks = hashes.join(first.hint("merge"), ["h1", "h2"]).groupBy(F.col("doc_id").alias("__id"))
-    marks = _freed(cut(marks.agg(F.collect_set(F.struct("at", "h1", "h2", F.col("first.doc_id").alias("d"), F.col("first.at").alias("p"))).alias("marks"))))
+    return marks.agg(F.collect_set(F.struct("at", "h1", "h2", F.col("first.doc_id").alias("d"), F.col("first.at").alias("p"))).alias("marks"))
+
+
+def removals(docs: DataFrame, extend: bool = False) -> DataFrame:
+    """doc_id, at, h1, h2 of the chunks that repeat an earlier chunk byte for byte, and first, last: the bytes to remove.
+
+    Scratch tables go as soon as what they were for is written.
+    """
+    least = ANCHOR_WORDS if extend else MIN_WORDS
+    marks = _freed(settled(docs.sparkSession, lambda: _marks(docs, least)))
     marked = _own(docs).join(marks.hint("merge"), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "marks")
     found = _freed(cut(chunk_bytes(marked, least, extend)))
     original = found.where("is_first").groupBy("h1", "h2").agg(F.min(F.struct("body", "before", "after")).alias("kept"))
@@ -292,10 +301,9 @@ def removals(docs: DataFrame, extend: bool = False) -> DataFrame:
         for batch in batches:
             firsts, lasts, keep = [], [], []
             for at, last, body, before, after, joined, b, a in zip(*(batch.column(c).to_pylist() for c in ("at", "last", "body", "before", "after", "joined", "b", "a"))):
-                left, right = _reach(before, b, True), _reach(after, a, False)
+                left, right = _reach(before, b, True) if before and b else 0, _reach(after, a, False) if after and a else 0
                 firsts.append(at - left), lasts.append(last + right)
-                n = sum(len(x.split()) for x in (before[len(before) - left :], body, after[:right]))
-                keep.append(n >= MIN_WORDS or joined)
+                keep.append(joined or sum(len(x.split()) for x in (before[len(before) - left :], body, after[:right])) >= MIN_WORDS)
             columns = [batch.column(c) for c in ("doc_id", "at", "h1", "h2")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())], ["doc_id", "at", "h1", "h2", "first", "last"]).filter(pa.array(keep, pa.bool_()))
 
@@ -318,15 +326,16 @@ def dedup(docs: DataFrame, extend: bool = False) -> DataFrame:
     """doc_id, text without what is removed, n_chunks_removed, n_chars_removed (code points)."""
     least = ANCHOR_WORDS if extend else MIN_WORDS
     own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    gone = removals(docs, extend).groupBy("doc_id").agg(F.collect_set(F.struct("at", "h1", "h2", "first", "last")).alias("gone"))
-    gone = _freed(cut(gone))
+    gone = _freed(settled(docs.sparkSession, lambda: removals(docs, extend).groupBy("doc_id").agg(F.collect_set(F.struct("at", "h1", "h2", "first", "last")).alias("gone"))))
     joined = own.join(gone.withColumnRenamed("doc_id", "__id").hint("merge"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, n, chars = batch.column(1).to_pylist(), [0] * batch.num_rows, [0] * batch.num_rows
-            changed = [(i, texts[i].encode(), marks) for i, marks in enumerate(batch.column(2).to_pylist()) if marks and texts[i]]
-            for (i, raw, marks), found in grouped(changed, least=least):
+            texts, gone = batch.column(1), batch.column(2)
+            n, chars, new = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), {}
+            # Most texts lose nothing, and stay as they are in their Arrow array.
+            some = np.flatnonzero(pc.and_(texts.is_valid(), gone.is_valid()).to_numpy(zero_copy_only=False)).tolist()
+            for (i, raw, marks), found in grouped(((i, to_bytes(texts.slice(i, 1))[0], gone[i].as_py()) for i in some), least=least):
                 drop, spans = {}, []
                 for m in marks:
                     drop.setdefault((m["at"], m["h1"], m["h2"]), []).append((m["first"], m["last"]))
@@ -336,9 +345,13 @@ def dedup(docs: DataFrame, extend: bool = False) -> DataFrame:
                         n[i] += 1
                         spans += ranges
                 if spans:
-                    new = _without(raw, spans).decode()
-                    chars[i], texts[i] = len(texts[i]) - len(new), new
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(n, pa.int64()), pa.array(chars, pa.int64())], ["doc_id", "text", "n_chunks_removed", "n_chars_removed"])
+                    new[i] = _without(raw, spans).decode()
+                    chars[i] = len(raw.decode()) - len(new[i])
+            if new:
+                mask = np.zeros(batch.num_rows, bool)
+                mask[list(new)] = True
+                texts = pc.replace_with_mask(texts, pa.array(mask), pa.array([new[i] for i in sorted(new)], texts.type))
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts, pa.array(n), pa.array(chars)], ["doc_id", "text", "n_chunks_removed", "n_chars_removed"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_arrow(joined, run, f"doc_id {kind}, text string, n_chunks_removed long, n_chars_removed long")
