@@ -34,11 +34,11 @@ def scratch_dir(spark: SparkSession) -> str:
 _STAGE: ContextVar[str | None] = ContextVar("stage", default=None)
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, codec: str | None = None) -> DataFrame:
     """Write df as Parquet to shared storage and read it again: lineage ends there, and a lost executor costs nothing."""
     spark = df.sparkSession
     path = f"{_STAGE.get() or scratch_dir(spark)}/scratch-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -293,7 +293,7 @@ def removals(docs: DataFrame, extend: bool = False) -> DataFrame:
     least = ANCHOR_WORDS if extend else MIN_WORDS
     marks = _freed(settled(docs.sparkSession, lambda: _marks(docs, least)))
     marked = _own(docs).join(marks.hint("merge"), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "marks")
-    found = _freed(cut(chunk_bytes(marked, least, extend)))
+    found = _freed(cut(chunk_bytes(marked, least, extend), "zstd"))  # bytes of texts: the largest table here
     original = found.where("is_first").groupBy("h1", "h2").agg(F.min(F.struct("body", "before", "after")).alias("kept"))
     same = found.where("not is_first").join(original.hint("merge"), ["h1", "h2"]).where("body = kept.body").select(*_CHUNK, F.col("kept.before").alias("b"), F.col("kept.after").alias("a"))
 
