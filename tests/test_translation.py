@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from polyglotmill import settings as s
 from polyglotmill.functions import text as t
-from polyglotmill.operators import batch, models
+from polyglotmill.operators import batch, models, relational
 from polyglotmill.plans import translation
 from polyglotmill.sources.checkpoints import Checkpoint
 from polyglotmill.streaming import incremental
@@ -102,6 +102,38 @@ def test_run_and_resume(spark, tmp_path):
         translation.run(spark, s.merged(settings, {"target_languages": ["de"]}), resume=True)
 
 
+def test_joins_by_record_are_joins_by_key(spark):
+    base = spark.createDataFrame([("1", "de", "b"), ("1", "fr", "b"), ("1", "fr", "twice"), ("2", "de", "b"), (None, "de", "b"), ("3", None, "b")], "record_id string, target_lang string, base_text string")
+    attempts = spark.createDataFrame(
+        [("1", "de", 2, True, "x", "second"), ("1", "de", 1, False, "x", "no"), ("1", "fr", 3, True, "y", None), ("2", "fr", 1, True, "x", "other"), (None, "de", 1, True, "x", "null"), ("3", None, 1, True, "x", "null")],
+        "record_id string, target_lang string, seq int, accepted boolean, backend string, text string",
+    )
+    plain, dealt = (sorted(map(str, relational.ordered_fallback(a, b, dealt=way).collect())) for way, a, b in ((False, attempts, base), (True, attempts.repartition("record_id"), base.repartition("record_id"))))
+    assert plain == dealt and len(plain) == 6 and sum("second" in x for x in plain) == 1 and not any("null" in x or "other" in x for x in plain)
+
+
+def test_nothing_saved_moves_nothing(spark, tmp_path):
+    ck = Checkpoint(spark, str(tmp_path / "ck"), "record_id string, target_lang string, status string")
+    rows = spark.createDataFrame([("1", "de", "ok"), ("2", "de", "ok")], ck.schema)
+    assert "Join" not in ck.pending(rows)._jdf.queryExecution().executedPlan().toString()
+    ck.save(rows.where("record_id = '1'"))
+    assert [r.record_id for r in ck.pending(rows).collect()] == ["2"]
+
+
+def test_keys_that_failed_are_not_kept(spark, tmp_path):
+    class Picky(models.Reverse):
+        def translate(self, texts, langs, drafts):
+            if "bad" in texts[0]:
+                raise ValueError("no such text")
+            return super().translate(texts, langs, drafts)
+
+    rows = spark.createDataFrame([("1", "de", "good", "d"), ("2", "de", "bad", "d"), ("3", "zh", "good", "d"), (None, "de", "good", "d")], "record_id string, target_lang string, source_text string, draft string")
+    saved = Checkpoint(spark, str(tmp_path / "ck"), models.ATTEMPT, ["record_id", "target_lang", "seq"])
+    assert [(r.record_id, r.text) for r in translation._attempts(rows, saved, [Picky], models.never, batch_size=1).collect()] == [("1", "doog")]
+    again = translation._attempts(rows, saved, [models.Reverse], models.never, batch_size=1).collect()
+    assert sorted((r.record_id, r.text) for r in again) == [("1", "doog"), ("2", "dab")]
+
+
 def test_prompts_are_filled_once(spark):
     row = spark.range(1).select(t.prompt(F.lit("normal"), F.lit("German {source_text}"), F.lit("say {mt_output}"), F.lit("a {source_text} {target_language}")).alias("p")).first().p
     assert row == t.PROMPTS["refine"].replace("{target_language}", "\x01").replace("{source_text}", "\x02").replace("{mt_output}", "a {source_text} {target_language}").replace("\x01", "German {source_text}").replace("\x02", "say {mt_output}")
