@@ -40,7 +40,12 @@ def source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = r.fan_out(source(spark, sf_dir), list(d.TARGET_LANGUAGES))
+    return logged(source(spark, sf_dir))
+
+
+def logged(records: DataFrame) -> DataFrame:
+    """The log of the records; where they lie, its rows lie."""
+    rows = r.fan_out(records, list(d.TARGET_LANGUAGES))
     idx = (F.array_position(F.array(*[F.lit(x) for x in d.TARGET_LANGUAGES]), F.col("target_lang")) - 1).cast("long")
     m = (F.col("doc_id") * 7 + idx * 3) % 20
     n = F.length("source_text").cast("long")

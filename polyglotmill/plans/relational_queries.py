@@ -190,9 +190,10 @@ def checkpoint_upsert(spark, sf_dir):
 won as (select *, row_number() over (partition by record_id, target_lang order by seq) as rn from attempts where accepted)
 select l.record_id, l.target_lang, coalesce(w.text, l.text) as final_text, coalesce(w.backend, 'base') as used, coalesce(w.seq, 0) as seq from log l left join won w on l.record_id = w.record_id and l.target_lang = w.target_lang and rn = 1""")
 def fallback_chain(spark, sf_dir):
-    rows = x.log(spark, sf_dir)
+    """Texts are dealt by record once, before languages and attempts multiply them."""
+    rows = x.logged(x.source(spark, sf_dir).repartition("record_id"))
     attempts = rows.withColumn("seq", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)]))).select("record_id", "target_lang", "seq", ((F.col("m") + F.col("seq")) % 4 == 0).alias("accepted"), F.concat(F.lit("b"), "seq").alias("backend"), F.concat("text", "seq").alias("text"))
-    return r.ordered_fallback(attempts, rows.select("record_id", "target_lang", F.col("text").alias("base_text")))
+    return r.ordered_fallback(attempts, rows.select("record_id", "target_lang", F.col("text").alias("base_text")), dealt=True)
 
 
 _CLEAN_SQL = f"""with {x.SQL_LOG}, said as (select record_id, target_lang, case when status in ('ok', 'success') then text else '' end as turn_text from log where status in {d.TERMINAL_STATUSES})

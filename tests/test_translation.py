@@ -1,6 +1,7 @@
 """Settings, checkpoints, batch requests and whole translation runs."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from polyglotmill import settings as s
 from polyglotmill.functions import text as t
 from polyglotmill.operators import batch, models, relational
 from polyglotmill.plans import translation
+from polyglotmill.plans.registry import QUERIES
 from polyglotmill.sources.checkpoints import Checkpoint
 from polyglotmill.streaming import incremental
 
@@ -102,6 +104,18 @@ def test_run_and_resume(spark, tmp_path):
         translation.run(spark, s.merged(settings, {"target_languages": ["de"]}), resume=True)
 
 
+def test_texts_travel_once_to_their_fallback(spark):
+    """Nothing is dealt by language as well: texts move before languages and attempts multiply them."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["fallback_chain"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert dealt and all(x.startswith("record_id") and "target_lang" not in x for x in dealt)
+
+
 def test_joins_by_record_are_joins_by_key(spark):
     base = spark.createDataFrame([("1", "de", "b"), ("1", "fr", "b"), ("1", "fr", "twice"), ("2", "de", "b"), (None, "de", "b"), ("3", None, "b")], "record_id string, target_lang string, base_text string")
     attempts = spark.createDataFrame(
