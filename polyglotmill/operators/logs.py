@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,6 +76,24 @@ def write_sorted(log: DataFrame, path: str, arrival: str = "arrival", partitions
     positions.write_sorted(log, path, order(arrival), partitions)
 
 
+def write_fanned(records: DataFrame, fan: Callable[[DataFrame], DataFrame], shape: Callable[[DataFrame], DataFrame], path: str, arrival: str = "arrival", partitions: int | None = None) -> None:
+    """write_sorted(shape(fan(records))), with each text travelling once, before it is fanned out.
+
+    fan: records to rows with a language, row by row; shape: those to rows of
+    the log, row by row. Records are dealt by ranges of question ids, fanned
+    out where they lie, sorted, and only then given all columns. There are
+    `partitions` ranges, or as many as the session has shuffle partitions if
+    those are more, so that the rows to sort in one task don't grow with the
+    table. All rows of a question are in one file; a log in which one question
+    has most of the rows is better written by `write_sorted`.
+    """
+    if partitions:
+        partitions = max(partitions, int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = positions.in_ranges(records, order(arrival)[:1], partitions)
+    rows = shape(fan(dealt).sortWithinPartitions(*order(arrival)))
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
 def preview(rows: DataFrame, languages: list[str], order_by: list[Column], records: int = 3, shown: int = 2, limit: int = 300) -> DataFrame:
     """What a run would do, without a call: the first records in the first languages, and the head of the message.
 

@@ -34,10 +34,14 @@ def arrival(df: DataFrame, name: str = "arrival") -> DataFrame:
         return df.withColumn(name, F.struct(F.lit("").alias("file"), F.monotonically_increasing_id().alias("row")))
 
 
+def in_ranges(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
+    """Rows dealt by ranges of the order."""
+    return df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+
+
 def ranged(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
     """Rows dealt by ranges of the order, sorted within each."""
-    dealt = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    return dealt.sortWithinPartitions(*order)
+    return in_ranges(df, order, partitions).sortWithinPartitions(*order)
 
 
 def deal(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
@@ -88,5 +92,5 @@ def read_sorted(df: DataFrame, name: str = "position") -> DataFrame:
     rows = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
     counted = rows.groupBy("__file").agg((F.max("__row") + 1).alias("total"))
     earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    before = counted.select("__file", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("__before"))
+    before = F.broadcast(counted.select("__file", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("__before")))  # a row a file
     return rows.join(before, "__file").select(*df.columns, (F.col("__before") + F.col("__row")).alias(name))

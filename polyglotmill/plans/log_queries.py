@@ -101,10 +101,16 @@ latency_ms::bigint as tier1_latency_ms, retries::bigint as retries from rows14""
 def sorted_log(spark, sf_dir):
     """The log by question id as text and language, ties as they arrived, written over several files and read in their order."""
     at = scratch.folder(spark)
-    rows = x.log(spark, sf_dir).where("m <> 2").withColumn("question_id", F.floor(F.col("doc_id") / 10))
-    log = logs.base_rows(rows.withColumn("source_text", F.col("text")), F.col("text"), F.col("backend"), F.col("status"), F.col("latency_ms"), F.col("retries"))
-    key = F.split_part("record_id", F.lit("_"), F.lit(1)).cast("long")
-    logs.write_sorted(log.withColumn("arrival", key), at, partitions=7)
+
+    def fan(records):
+        return x.logged(records).where("m <> 2").withColumns({"question_id": question, "arrival": F.col("doc_id")})
+
+    def shape(rows):
+        log = logs.base_rows(rows.withColumn("source_text", F.col("text")), F.col("text"), F.col("backend"), F.col("status"), F.col("latency_ms"), F.col("retries"))
+        return log.withColumn("arrival", F.split_part("record_id", F.lit("_"), F.lit(1)).cast("long"))
+
+    question = F.floor(F.col("doc_id") / 10)
+    logs.write_fanned(x.source(spark, sf_dir).withColumn("question_id", question), fan, shape, at, partitions=7)
     found = positions.read_sorted(spark.read.parquet(at))
     return found.select("position", "record_id", "question_id", "target_lang", F.sha2("tier1_translation", 256).alias("text_sha256"), "prompt_style", "tier1_backend", "tier1_status", "tier1_latency_ms", "retries")
 

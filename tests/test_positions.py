@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from polyglotmill.functions import text as t
-from polyglotmill.operators import batch, logs, positions
+from polyglotmill.operators import batch, logs, positions, relational
 from polyglotmill.sources import readers
 
 ROWS = [(i, None if i % 17 == 0 else i * 7 % 5, "hot" if i % 3 else f"k{i % 4}") for i in range(2000)]
@@ -75,6 +75,35 @@ def test_sorted_files_keep_the_order_and_ties_their_arrival(spark, tmp_path):
     assert [(r.question_id, r.target_lang, r.arrival) for r in placed] == got and [r.position for r in placed] == list(range(400))
 
 
+def test_fanned_logs_are_those_that_are_sorted_whole(spark, tmp_path):
+    records = spark.createDataFrame([(str(i), str(i % 23), None if i % 50 == 0 else f"text {i}", i // 40) for i in range(400)], "record_id string, question_id string, text string, arrival long").repartition(3)
+
+    def fan(rows):
+        return relational.fan_out(rows, ["de", "ar"]).where("not (target_lang = 'ar' and arrival = 3)")
+
+    def shape(rows):
+        return rows.select("record_id", "question_id", "target_lang", F.col("text").alias("source_text"), "text", "arrival")
+
+    logs.write_fanned(records, fan, shape, f"{tmp_path}/fanned", partitions=5)
+    logs.write_sorted(shape(fan(records)), f"{tmp_path}/whole", partitions=5)
+    files = sorted((tmp_path / "fanned").glob("part-*.parquet"))
+    key = ["question_id", "target_lang", "arrival"]
+    got, want = ([tuple(r[c] for c in key) for f in sorted((tmp_path / x).glob("part-*.parquet")) for r in spark.read.parquet(str(f)).collect()] for x in ("fanned", "whole"))
+    assert len(files) > 1 and got == want == sorted(got) and len(got) == 800 - 40
+    assert sorted(map(str, spark.read.parquet(f"{tmp_path}/fanned").collect())) == sorted(map(str, spark.read.parquet(f"{tmp_path}/whole").collect()))
+
+
+def test_places_in_files_come_without_a_shuffle_of_rows(spark, tmp_path):
+    spark.range(100).repartition(3).write.parquet(str(tmp_path / "x"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = positions.read_sorted(spark.read.parquet(str(tmp_path / "x")))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_request_files_stay_within_both_limits(spark, tmp_path):
     rng = random.Random(5)
     rows = [(f"{i:04}", "é" * rng.choice([1, 5, 40, 90])) for i in range(500)]
