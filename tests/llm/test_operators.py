@@ -625,6 +625,31 @@ def test_chunk_bounds_depend_on_near_tokens_only():
             assert all(b"".join(t[x:y] for x, y, _ in linededup.chunks(t, linededup.ANCHOR_WORDS)) == t for t in sides)
 
 
+def test_hashes_by_running_sums_are_those_of_words():
+    rng = random.Random(15)
+    texts = [b"", b" ", bytes(range(33, 256)) * 400, b"a" * 70_000, b"b" * 66_000 + b" c"]
+    texts += [b" ".join(rng.randbytes(rng.randint(0, 30)).replace(b" ", b"") for _ in range(rng.randint(1, 4000))) for _ in range(40)]
+    for t in texts:
+        for got, want in zip(linededup._hashes(t), linededup.words._hashes(t)):
+            assert np.array_equal(got, want)
+
+
+def test_marks_are_found_by_place_and_hash():
+    """Columns of marks, not objects: a mark of another text of the same id, or of another place, is not found."""
+    rng = random.Random(16)
+    texts = [prose(rng, n).encode() for n in (40, 90, 30)]
+    of, first, last, _ = linededup._bounds(texts, 8)
+    h1, h2 = linededup._keys([texts[i][a:b] for i, a, b in zip(of, first, last)])
+    mark = lambda i, **x: {"at": int(first[i]), "h1": int(h1[i]), "h2": int(h2[i])} | x
+    n = len(of)
+    rows = [None, [mark(0), mark(0, h1=5)], [], [mark(n - 1, at=int(last[n - 1])), mark(n - 1), mark(n - 1, h2=7)]]
+    kind = linededup.pa.list_(linededup.pa.struct([("at", "int64"), ("h1", "int64"), ("h2", "int32")]))
+    marks = linededup.Marks(linededup.pa.array([[mark(1)], *rows], kind).slice(1))
+    at, found = marks.found(texts, 1, of, first, last)
+    assert at.tolist() == [0, n - 1] and [marks["h1"][k] for k in found] == [h1[0], h1[n - 1]]
+    assert [len(x) for x in marks.found([b""], 0, *linededup._bounds([b""], 8)[:3])] == [0, 0]
+
+
 def test_passages_go_to_their_edges(spark):
     rng = random.Random(14)
     passages = [" ".join(prose(rng, n) + "." for _ in range(60 // n)) for n in (10, 60, 20)]
