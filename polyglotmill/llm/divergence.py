@@ -20,21 +20,23 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, map_arrow, to_bytes
+from .common import cut, map_arrow, sized, to_bytes
 
 MIN_DOCS = 30
 SMOOTHING = 5
 TOP = 50
 #: Lower-cases A-Z and turns every ASCII byte that is no letter into a space.
 TERM_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: A task hands on its counts when it holds so many terms, or so many bytes of them.
-HELD_TERMS, HELD_BYTES = 200_000, 32 << 20
-#: Long texts are read in pieces of about so many bytes, cut between terms.
-PIECE = 4 << 20
+#: A task counts and hands on when it holds so many terms, or texts of so many bytes.
+HELD_TERMS, HELD_BYTES = 4 << 20, 32 << 20
+#: Texts are handled in groups of about so many bytes. Longer ones than PIECE are read in pieces of about that, cut between terms.
+GROUP_BYTES, PIECE = 1 << 20, 4 << 20
+COUNT_BITS = 22
 #: A language's histograms are dealt over so many keys.
 SPREAD = 32
 _COUNTED = "lang string, source string, term string, n long, docs long"
@@ -49,39 +51,80 @@ def _pieces(text: bytes) -> Iterator[bytes]:
         at = end
 
 
-def _handed_on(held: dict) -> Iterator[pa.RecordBatch]:
-    for (lang, source), (counts, docs) in held.items():
-        terms = list(counts)
-        for i in range(0, len(terms), 10_000):
-            some = terms[i : i + 10_000]
-            columns = [
-                pa.array([lang] * len(some), pa.string()), pa.array([source] * len(some), pa.string()),
-                pa.array(some, pa.binary()).cast(pa.string()),
-                pa.array([counts[t] for t in some], pa.int64()), pa.array([docs[t] for t in some], pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
+def _terms(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The terms of the texts, in order, and how many each text has."""
+    clean = (b" ".join(texts) + b" ").translate(TERM_TABLE)
+    inside = np.zeros(len(clean) + 1, bool)
+    np.not_equal(np.frombuffer(clean, np.uint8), 32, out=inside[1:])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])  # the last byte is a space, so each term has its end
+    starts = edges[::2]
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(edges[1::2] - starts, out=offsets[1:])
+    found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(clean.translate(None, b" "))])
+    return found, np.diff(np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in texts])))
+
+
+def _rows(keys: list[tuple[str, str]], group: np.ndarray, terms: pa.Array, n: np.ndarray, docs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    lang, source = (pa.array([k[i] for k in keys], pa.string()) for i in (0, 1))
+    for i in range(0, len(n), 10_000):
+        part = slice(i, i + 10_000)
+        at = pa.array(group[part])
+        columns = [lang.take(at), source.take(at), terms.slice(i, 10_000).cast(pa.string()), pa.array(n[part]), pa.array(docs[part])]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
+
+
+class _Held:
+    """Terms of whole texts, until they are counted by group."""
+
+    def __init__(self) -> None:
+        self.keys: dict[tuple[str, str], int] = {}
+        self.terms, self.sizes, self.groups, self.bytes, self.n = [], [], [], 0, 0
+
+    def add(self, keys: list[tuple[str, str]], texts: list[bytes]) -> None:
+        found, sizes = _terms(texts)
+        self.terms.append(found), self.sizes.append(sizes)
+        self.groups.append(np.array([self.keys.setdefault(k, len(self.keys)) for k in keys], np.int64))
+        self.bytes, self.n = self.bytes + sum(map(len, texts)) + len(texts), self.n + len(found)
+
+    def counted(self) -> Iterator[pa.RecordBatch]:
+        """A row for each term of a group; a text and a term, and then a group and a term, are one number each to sort by."""
+        if not self.n:
+            return
+        coded = pa.concat_arrays(self.terms).dictionary_encode()
+        self.terms.clear()
+        words, group = len(coded.dictionary), np.concatenate(self.groups)
+        key = np.repeat(np.arange(len(group)), np.concatenate(self.sizes))
+        key *= words
+        key += coded.indices.to_numpy()
+        key.sort()
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        times, key = np.diff(np.append(first, len(key))), key[first]
+        # A text has fewer than 2^COUNT_BITS terms.
+        key = (group[key // words] * words + key % words << COUNT_BITS) | times
+        key.sort()
+        times, key = key & (1 << COUNT_BITS) - 1, key >> COUNT_BITS
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        n, docs, key = np.add.reduceat(times, first), np.diff(np.append(first, len(key))), key[first]
+        yield from _rows(list(self.keys), key // words, coded.dictionary.take(pa.array(key % words)), n, docs)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    terms = size = 0
+    held = _Held()
     for batch in batches:
         keys = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
-        for key, text in zip(keys, to_bytes(batch.column("text"))):
-            counts, docs = held.setdefault(key, (Counter(), Counter()))
-            seen = set()
-            for piece in _pieces(text):
-                found = piece.split()
-                counts.update(found)
-                seen.update(found)
-            new = seen.difference(docs)
-            docs.update(seen)
-            terms += len(new)
-            size += sum(map(len, new))
-            if terms > HELD_TERMS or size > HELD_BYTES:
-                yield from _handed_on(held)
-                held, terms, size = {}, 0, 0
-    yield from _handed_on(held)
+        for some in sized(zip(keys, to_bytes(batch.column("text"))), lambda r: len(r[1]) + 64, GROUP_BYTES):
+            if len(some[0][1]) > PIECE:  # alone, and counted by itself
+                counts: Counter = Counter()
+                for piece in _pieces(some[0][1]):
+                    counts.update(piece.split())
+                ones = np.ones(len(counts), np.int64)
+                yield from _rows([some[0][0]], ones - 1, pa.array(list(counts), pa.binary()), np.array(list(counts.values()), np.int64), ones)
+                continue
+            held.add([k for k, _ in some], [t for _, t in some])
+            if held.n > HELD_TERMS or held.bytes > HELD_BYTES:
+                yield from held.counted()
+                held = _Held()
+    yield from held.counted()
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -91,7 +134,8 @@ def _plain(docs: DataFrame) -> DataFrame:
 def postings(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang, source, term, n, total: the kept terms of each group; total is the term's count in its language."""
     found = map_arrow(_plain(docs), _count, _COUNTED)
-    found = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # Tasks have counted already: rows travel once, by what both the sums and the window below need.
+    found = found.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     same = Window.partitionBy("lang", "term")
     found = found.withColumn("total", F.sum("n").over(same)).withColumn("docs", F.sum("docs").over(same))
     return found.where(F.col("docs") >= min_docs).drop("docs")

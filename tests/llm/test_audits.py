@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +136,35 @@ def test_terms_of_long_texts_are_counted_whole(monkeypatch):
     assert len(pieces) > 50 and sum(pieces, []) == whole
 
 
+@pytest.mark.parametrize(("held", "group", "piece"), [(4 << 20, 1 << 20, 4 << 20), (50, 200, 100)])
+def test_terms_are_counted_in_arrow_as_by_hand(monkeypatch, held, group, piece):
+    """Terms are no Python objects but in texts longer than a piece; sums do not depend on when a task hands on."""
+    rng = random.Random(19)
+    rows = [("", "", ""), ("en", "s", ""), ("en", "s", None), ("de", "x", "... 12 !"), ("de", "x", "Ä1ä A a")]
+    rows += [(rng.choice("ab"), rng.choice("stu"), rng.choice([" ", "7", "\n. "]).join(rng.choice(["Aé", "aé", "日本", "b", "Cc"]) for _ in range(rng.randint(0, 60)))) for _ in range(300)]
+    for name, value in (("HELD_TERMS", held), ("GROUP_BYTES", group), ("PIECE", piece)):
+        monkeypatch.setattr(divergence, name, value)
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows[i : i + 90])], names=["lang", "source", "text"]) for i in range(0, len(rows), 90)]
+    got, want, made = Counter(), Counter(), list(divergence._count(iter(batches)))
+    for b in made:
+        for lang, source, term, n, docs in zip(*(c.to_pylist() for c in b.columns)):
+            got[lang, source, term, "n"] += n
+            got[lang, source, term, "docs"] += docs
+    for lang, source, text in rows:
+        terms = Counter(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")))
+        for t, n in terms.items():
+            want[lang, source, t, "n"] += n
+            want[lang, source, t, "docs"] += 1
+    assert got == want
+    assert len(made) == 1 if held > 1000 else len(made) > 10
+
+
+def test_postings_travel_once(spark):
+    frame = spark.createDataFrame([(i, f"wa w{chr(97 + i % 9)}", "en", f"s{i % 3}") for i in range(90)], DOC)
+    plan = divergence.postings(frame, 2)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange\b", plan)) == 1
+
+
 # ---- language model
 
 
