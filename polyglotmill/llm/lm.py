@@ -6,8 +6,8 @@ in Spark, and trains a log-bilinear model of the WORDS most frequent ones: two
 previous tokens give a vector, whose product with a token's vector, plus a
 bias, is its score. Each task trains on all its rows with noise-contrastive
 estimation, from the same start; the tasks' parameters are averaged by tokens,
-and that is one pass. `score` normalises over the whole vocabulary by matrix
-products, once for each distinct context of a block.
+and that is one pass. `score` normalises over the whole vocabulary: a score is a sum over the places
+before, so one matrix product of exponentials gives the sums of all contexts.
 
 A token outside the vocabulary has the probability of that class, times its
 own share (c + 1) / (N' + V' + 1) among the N' training tokens of the V'
@@ -30,6 +30,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from hashlib import sha256
 
 import numpy as np
@@ -51,6 +52,8 @@ TRAIN_BLOCK, SCORE_BLOCK = 1 << 18, 1 << 20
 HELD = 300_000
 #: Long texts are read in pieces of about so many bytes, cut between words.
 PIECE = 4 << 20
+#: Contexts of up to so many tokens are scored by tables of pairs; a sum under LEAST_SUM of its largest term is made anew.
+TABLE, LEAST_SUM = 2050, 1e-25
 #: Parameters travel in blocks of so many numbers.
 BLOCK = 1 << 14
 
@@ -160,7 +163,21 @@ class Parameters:
         return out
 
     def log_probabilities(self, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-        """Natural logarithms of P(token | context). Each distinct context is normalised once."""
+        """Natural logarithms of P(token | context)."""
+        if len(self.context) <= TABLE:
+            return self.tables.log_probabilities(before, tokens, self.bias)
+        return self.direct(before, tokens)
+
+    @cached_property
+    def tables(self) -> Tables:
+        return Tables(self)
+
+    def __getstate__(self) -> dict:
+        """Tables are made where they are used, once in a process."""
+        return {k: v for k, v in vars(self).items() if k != "tables"}
+
+    def direct(self, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """The same without tables of pairs. Each distinct context is normalised once."""
         packed = np.zeros(len(before), dtype=np.int64)
         for i in range(CONTEXT):
             packed = packed * (len(self.bias) + 1) + before[:, i]
@@ -173,6 +190,43 @@ class Parameters:
         return out
 
 
+class Tables:
+    """What a token at each of the two places adds to the score of each token, and the sums over the vocabulary of all contexts.
+
+    A score is a sum of one number for each place, so exp of it is a product, and
+    the sums of all contexts are one matrix product. Each row is scaled by its
+    largest number; where the largest of the two rows lie so far apart that a sum
+    loses digits, the context is normalised by itself.
+    """
+
+    def __init__(self, p: Parameters):
+        self.p = p
+        self.added = [(p.context * p.place[i]) @ p.target.T for i in range(CONTEXT)]
+        shifted = [self.added[0] + p.bias, self.added[1]]
+        self.most = [x.max(axis=1) for x in shifted]
+        one, two = (np.exp(np.subtract(x, m[:, None], out=x.copy() if x is self.added[1] else x)) for x, m in zip(shifted, self.most))
+        self.sums = one @ two.T
+
+    def log_z(self, before: np.ndarray) -> np.ndarray:
+        a, b = before[:, 0], before[:, 1]
+        found = self.sums[a, b].astype(np.float64)
+        with np.errstate(divide="ignore"):
+            out = np.log(found) + self.most[0][a] + self.most[1][b]
+        apart = np.flatnonzero(found < LEAST_SUM)
+        for i in range(0, len(apart), 1 << 14):
+            some = apart[i : i + (1 << 14)]
+            out[some] = self.p.log_z(self.p.predicted(before[some]))
+        return out
+
+    def log_probabilities(self, before: np.ndarray, tokens: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        out = np.empty(len(tokens))
+        for i in range(0, len(out), 1 << 16):
+            part = slice(i, i + (1 << 16))
+            near, token = before[part], tokens[part]
+            out[part] = self.added[0][near[:, 0], token] + self.added[1][near[:, 1], token] + bias[token].astype(np.float64) - self.log_z(near)
+        return out
+
+
 class Trainer:
     """Noise-contrastive estimation, with one set of noise tokens a batch and AdaGrad steps."""
 

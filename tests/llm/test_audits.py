@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
@@ -248,6 +249,26 @@ def test_the_model_learns_and_is_normalised(spark):
     assert (len(tail), sum(tail)) == (v, n) and abs(sum((c + 1) / (n + v + 1) for c in tail) + 1 / (n + v + 1) - 1) < 1e-12
 
 
+@pytest.mark.parametrize("scale", [0.3, 3, 40])
+def test_tables_of_pairs_normalise_every_context(monkeypatch, scale):
+    """All contexts by one matrix product, and by themselves in double precision; far apart, a product alone has no digits left."""
+    rng = np.random.default_rng(5)
+    size = 60
+    p = lm.Parameters(rng.normal(0, scale, (size + 1, lm.DIM)).astype(np.float32), np.ones((lm.CONTEXT, lm.DIM), np.float32), rng.normal(0, 1, (size, lm.DIM)).astype(np.float32), rng.normal(-3, 2, size).astype(np.float32))
+    before = np.stack(np.meshgrid(np.arange(size + 1), np.arange(size + 1)), axis=-1).reshape(-1, 2)
+    tokens = rng.integers(0, size, len(before))
+    scores = (p.context.astype(float)[before[:, 0]] + p.context.astype(float)[before[:, 1]]) @ p.target.astype(float).T + p.bias
+    most = scores.max(axis=1)
+    want = scores[np.arange(len(tokens)), tokens] - most - np.log(np.exp(scores - most[:, None]).sum(axis=1))
+    by_itself = []
+    monkeypatch.setattr(lm.Parameters, "log_z", lambda self, v, f=lm.Parameters.log_z: by_itself.append(len(v)) or f(self, v))
+    digits = 1e-5 + 1e-6 * np.abs(scores).max()  # parameters have single precision
+    assert np.allclose(p.log_probabilities(before, tokens), want, rtol=0, atol=digits)
+    assert sum(by_itself) == 0 if scale < 1 else sum(by_itself) > 0 if scale > 3 else True
+    assert np.allclose(p.direct(before, tokens), want, rtol=0, atol=digits)
+    assert "tables" in vars(p) and "tables" not in vars(pickle.loads(pickle.dumps(p)))
+
+
 def test_equal_partitions_train_to_equal_parameters(spark):
     frame = spark.createDataFrame(lm_docs(2), "doc_id long, text string, held_out boolean").coalesce(2)
     one, two = (lm.fit(frame, 30, 1000) for _ in range(2))
