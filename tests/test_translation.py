@@ -3,6 +3,7 @@
 import json
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from polyglotmill import settings as s
 from polyglotmill.functions import text as t
 from polyglotmill.operators import batch, models, relational
 from polyglotmill.plans import translation
-from polyglotmill.plans.registry import QUERIES
+from polyglotmill.plans.registry import ORACLES, QUERIES
 from polyglotmill.sources.checkpoints import Checkpoint
 from polyglotmill.streaming import incremental
 
@@ -104,6 +105,22 @@ def test_run_and_resume(spark, tmp_path):
         translation.run(spark, s.merged(settings, {"target_languages": ["de"]}), resume=True)
 
 
+def run_and_sql(spark, at, rows, schema="doc_id long, text string, source string"):
+    """The rows of translation_run over a table of documents, and those of its SQL."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{at}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{at}/documents.parquet/*.parquet'")
+    want = con.sql(ORACLES["translation_run"])
+    got = QUERIES["translation_run"](spark, str(at)).select(want.columns)
+    return sorted(map(str, map(tuple, got.collect()))), sorted(map(str, want.fetchall()))
+
+
+def test_phrases_of_the_text_are_no_refusals(spark, tmp_path):
+    texts = ["pas an ai queen.", "pas an ai queen", "I'm sorry", "Je suis, Es tut mir leid", "yrros m'I", "abba", " abba", "\u00a0abba", "abba\t", "\tabba", "", " ", "a", None]
+    got, want = run_and_sql(spark, tmp_path, [(i, x, "s") for i, x in enumerate(texts)])
+    assert got == want
+
+
 def test_texts_travel_once_to_their_fallback(spark):
     """Nothing is dealt by language as well: texts move before languages and attempts multiply them."""
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
