@@ -121,6 +121,21 @@ def test_phrases_of_the_text_are_no_refusals(spark, tmp_path):
     assert got == want
 
 
+def test_records_without_an_id_of_their_own_are_whole(spark, tmp_path):
+    rows = [(1, "abc", "s"), (1, "abc", "s"), (1, "abc", "t"), (1, "abcd", "s"), (2, "xy", "s"), (None, "abc", "s"), (None, "abc", "s"), (None, "abcd", "s"), (2, None, "s")]
+    got, want = run_and_sql(spark, tmp_path, rows)
+    assert got == want
+
+
+def test_names_of_records_hold(spark):
+    one = [("1", "a", "en", {"k": "v"}), ("1", "a", "en", {"k": "v"}), ("1", "a", "en", {"k": None}), (None, "a", "en", {}), ("2", "a", "en", {})]
+    schema = "record_id string, source_text string, source_lang string, metadata map<string,string>"
+    ids = [sorted(r.record_id for r in translation._keyed(spark.createDataFrame(x, schema)).collect()) for x in (one, one[::-1])]
+    assert ids[0] == ids[1] and len(set(ids[0])) == 5 and "2" in ids[0] and "1" not in ids[0]
+    alone = spark.createDataFrame(one[3:][1:], schema)
+    assert translation._keyed(alone) is alone
+
+
 def test_texts_travel_once_to_their_fallback(spark):
     """Nothing is dealt by language as well: texts move before languages and attempts multiply them."""
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
